@@ -20,7 +20,7 @@ the globe) falls into two adjacent coarse cells, so the block holds every
 airport and the search always ends. Work is (occupied cells) x (airports in
 a neighbourhood); observations then join K on their cell: an equi-join.
 
-K is materialised with ``checkpoint()`` and broadcast only when its row count
+K is written to the checkpoint folder and broadcast only when its row count
 is under ``broadcast_max_cells``; beyond that the join is a shuffle join whose
 skewed cells (a hub airport) AQE splits.
 """
@@ -30,13 +30,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import checkpoint_root
+from contrail.session import materialize
 
 FINE = 0.25
 LEVELS = (1, 4, 16, 64, 256, 1024, 4096)      # coarse side = FINE * m degrees
 LON_CELLS = (-720, 720)                        # fine cell indexes of [-180, 180]
 LAT_CELLS = (-360, 360)                        # fine cell indexes of [-90, 90]
 BROADCAST_MAX_CELLS = 500_000
+BROADCAST_MAX_AIRPORTS = 200_000
 
 AIRPORT_FIELDS = ("airport_icao", "airport_name", "airport_country", "airport_lat", "airport_lon")
 
@@ -69,22 +70,47 @@ def _rect_distances(cx: Column, cy: Column, alon: Column, alat: Column) -> tuple
     return F.sqrt(nx * nx + ny * ny), F.sqrt(fx * fx + fy * fy)
 
 
-def candidate_airports(cells: DataFrame, airports: DataFrame) -> DataFrame:
-    """Occupied cells (``_cx``, ``_cy``) -> ``_cands`` array of candidate airports."""
-    ap = (
+def first_level(n_airports: int) -> int:
+    """Index of the first search level: the one whose 3x3 block is about as
+    wide as the mean airport spacing. Any start gives the same (exact) result;
+    this only saves levels that could not settle a cell."""
+    if n_airports <= 0:
+        return len(LEVELS) - 1
+    spacing = (360.0 * 180.0 / n_airports) ** 0.5
+    for i, m in enumerate(LEVELS):
+        if 3 * FINE * m >= spacing:
+            return i
+    return len(LEVELS) - 1
+
+
+def candidate_airports(cells: DataFrame, airports: DataFrame,
+                       broadcast_max_airports: int = BROADCAST_MAX_AIRPORTS) -> DataFrame:
+    """Occupied cells (``_cx``, ``_cy``) -> ``_cands`` array of candidate airports.
+
+    One small job per level: a level writes the candidates of the cells it
+    settles and the cells still open, and the search stops when none is open.
+    """
+    ap = materialize(
         airports.filter(F.col("airport_lat").isNotNull() & F.col("airport_lon").isNotNull())
         .select(*AIRPORT_FIELDS)
         .withColumn("_ax", _clamp(_cell(F.col("airport_lon")), LON_CELLS))
-        .withColumn("_ay", _clamp(_cell(F.col("airport_lat")), LAT_CELLS))
-    )
-    remaining = (
+        .withColumn("_ay", _clamp(_cell(F.col("airport_lat")), LAT_CELLS)),
+        "airports")
+    # The dimension is broadcast to the probes only behind a row-count check.
+    n_airports = ap.count()
+    small_ap = n_airports <= broadcast_max_airports
+    start = first_level(n_airports)
+    remaining = materialize(
         cells.select("_cx", "_cy").distinct()
-        .withColumn("_inbox", F.col("_cx").between(*LON_CELLS) & F.col("_cy").between(*LAT_CELLS))
-    )
+        .withColumn("_inbox", F.col("_cx").between(*LON_CELLS) & F.col("_cy").between(*LAT_CELLS)),
+        "cells")
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                         for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    by_cell = Window.partitionBy("_cx", "_cy")
     found = []
     for i, m in enumerate(LEVELS):
+        if i < start:
+            continue
         last = i == len(LEVELS) - 1
         side = FINE * m
         probes = (
@@ -94,18 +120,26 @@ def candidate_airports(cells: DataFrame, airports: DataFrame) -> DataFrame:
             .drop("_o")
         )
         level_ap = (ap.withColumn("_px", F.floor(F.col("_ax") / F.lit(m)))
-                    .withColumn("_py", F.floor(F.col("_ay") / F.lit(m))))
-        cand = probes.join(level_ap, on=["_px", "_py"], how="inner")
+                    .withColumn("_py", F.floor(F.col("_ay") / F.lit(m)))
+                    .withColumn("_hit", F.lit(True)))
+        # Left join: a cell without any airport in its block stays open.
+        cand = probes.join(F.broadcast(level_ap) if small_ap else level_ap, on=["_px", "_py"], how="left")
         dmin, dmax = _rect_distances(F.col("_cx"), F.col("_cy"), F.col("airport_lon"), F.col("airport_lat"))
-        cand = cand.withColumn("_dmin", dmin).withColumn("_dmax", dmax)
-        bound = F.min("_dmax").over(Window.partitionBy("_cx", "_cy"))
-        settled = F.lit(True) if last else (F.col("_inbox") & (F.col("_u") < F.lit(side)))
-        cand = cand.withColumn("_u", bound).withColumn("_settled", settled)
-        found.append(cand.filter(F.col("_settled") & (F.col("_dmin") <= F.col("_u")))
-                     .select("_cx", "_cy", *AIRPORT_FIELDS))
-        if not last:
-            done = cand.filter("_settled").select("_cx", "_cy").distinct()
-            remaining = remaining.join(done, on=["_cx", "_cy"], how="left_anti")
+        cand = (cand.withColumn("_dmin", dmin).withColumn("_dmax", dmax)
+                .withColumn("_u", F.min("_dmax").over(by_cell)))
+        # (a cell with no airport at all in its block has _u NULL: open)
+        settled = F.lit(True) if last else F.coalesce(F.col("_inbox") & (F.col("_u") < F.lit(side)), F.lit(False))
+        keep = settled & (F.col("_dmin") <= F.col("_u"))
+        level = materialize(
+            cand.withColumn("_open", ~settled)
+            .withColumn("_first", F.row_number().over(by_cell.orderBy("_px", "_py", "airport_icao")) == 1)
+            .filter(keep | (F.col("_open") & F.col("_first")))
+            .select("_cx", "_cy", "_inbox", "_open", *AIRPORT_FIELDS),
+            "level")
+        found.append(level.filter(~F.col("_open")).select("_cx", "_cy", *AIRPORT_FIELDS))
+        remaining = level.filter("_open").select("_cx", "_cy", "_inbox").distinct()
+        if last or remaining.isEmpty():
+            break
     allc = found[0]
     for part in found[1:]:
         allc = allc.unionByName(part)
@@ -115,9 +149,8 @@ def candidate_airports(cells: DataFrame, airports: DataFrame) -> DataFrame:
 
 def materialize_candidates(cells: DataFrame, airports: DataFrame,
                            broadcast_max_cells: int = BROADCAST_MAX_CELLS) -> tuple[DataFrame, bool]:
-    """Checkpoint K (cuts the level lineage) and report whether it may be broadcast."""
-    checkpoint_root(cells.sparkSession)
-    k = candidate_airports(cells, airports).checkpoint(eager=True)
+    """Write K (cuts the level lineage) and report whether it may be broadcast."""
+    k = materialize(candidate_airports(cells, airports), "candidates")
     return k, k.count() <= broadcast_max_cells
 
 

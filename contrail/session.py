@@ -23,6 +23,7 @@ _SESSION_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     # Idempotent micro-batch writes replace only the partitions they touch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -97,3 +98,15 @@ def table_path(root: str, *parts: str) -> str:
 
 def default_shuffle_partitions() -> int:
     return int(os.environ.get("CONTRAIL_SHUFFLE_PARTITIONS", K.DEFAULT_SHUFFLE_PARTITIONS))
+
+
+def materialize(df, *parts: str):
+    """Write ``df`` as Parquet below the checkpoint root and read it back.
+
+    Cuts the lineage with one job (an eager ``checkpoint()`` computes its
+    input twice) and survives executor loss: the files are in the shared
+    checkpoint folder.
+    """
+    path = scratch_path(df.sparkSession, *(parts or ("stage",)))
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

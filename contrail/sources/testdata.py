@@ -34,7 +34,10 @@ from pyspark.sql import functions as F
 from contrail import schemas
 from contrail.sources.tables import airports_dim
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch_ntz() -> F.Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +54,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.get_json_object("props", "$.k").cast("int")
     alt = F.when(k == 50, F.lit(None)).otherwise(k * 160 - 600).cast("float")
-    secs = F.timestamp_diff("SECOND", _EPOCH_NTZ, F.col("ts")).cast("long")
+    secs = F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")).cast("long")
     joined = ev.join(nation, (F.col("user_id") % 25) == F.col("n_nationkey"), "left")
     return joined.select(
         secs.alias("time"),
