@@ -139,3 +139,64 @@ def with_ctes(level: str, *extra: str) -> str:
 
 def q(level: str, body: str, *extra: str) -> str:
     return with_ctes(level, *extra) + body
+
+
+# ------------------------------------------------------------- gold CTEs
+
+MINUTE_US = 60_000_000
+HOUR_US = 60 * MINUTE_US
+
+
+def _ts(us_expr: str) -> str:
+    return f"make_timestamp(CAST({us_expr} AS BIGINT))"
+
+
+def phase_stats_cte(width_us: int = MINUTE_US, name: str = "phase_stats") -> str:
+    return f"""
+{name} AS (
+  SELECT {_ts('ws')} AS window_start, {_ts(f'ws + {width_us}')} AS window_end, flight_phase,
+         count(*) AS flight_count, avg(altitude_meters) AS avg_altitude, avg(velocity_kmh) AS avg_velocity
+  FROM (SELECT *, CAST(floor(epoch_us(event_timestamp) / {width_us}.0) AS BIGINT) * {width_us} AS ws FROM features)
+  GROUP BY ws, flight_phase
+)"""
+
+
+def country_stats_cte(width_us: int = MINUTE_US, name: str = "country_stats") -> str:
+    return f"""
+{name} AS (
+  SELECT {_ts('ws')} AS window_start, {_ts(f'ws + {width_us}')} AS window_end, origin_country,
+         count(*) AS flight_count, avg(altitude_meters) AS avg_altitude, avg(velocity_kmh) AS avg_velocity,
+         count(*) FILTER (WHERE on_ground) AS ground_count,
+         count(*) FILTER (WHERE NOT on_ground) AS airborne_count
+  FROM (SELECT *, CAST(floor(epoch_us(event_timestamp) / {width_us}.0) AS BIGINT) * {width_us} AS ws FROM features)
+  GROUP BY ws, origin_country
+)"""
+
+
+def anomalies_cte(width_us: int = 5 * MINUTE_US, slide_us: int = MINUTE_US, name: str = "anomalies") -> str:
+    n = width_us // slide_us
+    return f"""
+{name} AS (
+  SELECT window_start, window_end, origin_country, total_observations, altitude_anomalies, velocity_anomalies,
+         (altitude_anomalies + velocity_anomalies) / total_observations AS anomaly_rate,
+         max_altitude, min_altitude, max_velocity, avg_altitude, avg_velocity, stddev_altitude, stddev_velocity
+  FROM (
+    SELECT {_ts('ws')} AS window_start, {_ts(f'ws + {width_us}')} AS window_end, origin_country,
+      count(*) AS total_observations,
+      count(CASE WHEN altitude_meters > 12000 OR altitude_meters < -100 THEN 1 END) AS altitude_anomalies,
+      count(CASE WHEN velocity_kmh > 1000 OR velocity_kmh < 0 THEN 1 END) AS velocity_anomalies,
+      max(altitude_meters) AS max_altitude, min(altitude_meters) AS min_altitude,
+      max(velocity_kmh) AS max_velocity, avg(altitude_meters) AS avg_altitude, avg(velocity_kmh) AS avg_velocity,
+      stddev_samp(altitude_meters) AS stddev_altitude, stddev_samp(velocity_kmh) AS stddev_velocity
+    FROM (SELECT f.*, (CAST(floor(epoch_us(f.event_timestamp) / {slide_us}.0) AS BIGINT) - r.k) * {slide_us} AS ws
+          FROM features f CROSS JOIN range(0, {n}) AS r(k))
+    WHERE epoch_us(event_timestamp) >= ws AND epoch_us(event_timestamp) < ws + {width_us}
+    GROUP BY ws, origin_country)
+)"""
+
+
+def rounded(cols: str, names: tuple[str, ...], digits: int = 6) -> str:
+    """``SELECT * EXCLUDE (...), round(c, 6) AS c, ...`` over ``cols``."""
+    ex = ", ".join(names)
+    rs = ", ".join(f"round({c}, {digits}) AS {c}" for c in names)
+    return f"SELECT * EXCLUDE ({ex}), {rs} FROM {cols}"

@@ -115,3 +115,242 @@ def q_top_airports(spark, sf):
     return (ground.groupBy("airport_icao", "airport_name", "airport_country")
             .agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col("airport_icao").asc_nulls_last()).limit(10))
+
+
+# -------------------------------------------------------------------- gold
+
+from contrail.operators import gold as G  # noqa: E402
+from contrail.operators import reports as RP  # noqa: E402
+from contrail.operators import serving as SV  # noqa: E402
+
+GOLD_ROUND = ("avg_altitude", "avg_velocity")
+ANOM_ROUND = ("avg_altitude", "avg_velocity", "stddev_altitude", "stddev_velocity")
+
+
+def phase_stats(spark, sf, window="1 minute"):
+    return G.phase_stats(features(spark, sf), window=window)
+
+
+def anomalies(spark, sf, window="5 minutes", slide="1 minute"):
+    return G.country_anomalies(features(spark, sf), window=window, slide=slide)
+
+
+@register("phase_stats_tumbling", O.q("features", O.rounded("phase_stats", GOLD_ROUND), O.phase_stats_cte()))
+def q_phase_stats(spark, sf):
+    return present(phase_stats(spark, sf), GOLD_ROUND)
+
+
+@register("phase_stats_hourly", O.q("features", O.rounded("phase_stats", GOLD_ROUND), O.phase_stats_cte(O.HOUR_US)))
+def q_phase_stats_hourly(spark, sf):
+    return present(phase_stats(spark, sf, "1 hour"), GOLD_ROUND)
+
+
+@register("country_stats_tumbling", O.q("features", O.rounded("country_stats", GOLD_ROUND), O.country_stats_cte()))
+def q_country_stats(spark, sf):
+    return present(G.country_stats(features(spark, sf)), GOLD_ROUND)
+
+
+@register("country_anomalies_sliding", O.q("features", O.rounded("anomalies", ANOM_ROUND), O.anomalies_cte()))
+def q_anomalies(spark, sf):
+    return present(anomalies(spark, sf), ANOM_ROUND)
+
+
+@register("country_anomalies_6h", O.q("features", O.rounded("anomalies", ANOM_ROUND),
+                                      O.anomalies_cte(6 * O.HOUR_US, O.HOUR_US)))
+def q_anomalies_6h(spark, sf):
+    return present(anomalies(spark, sf, "6 hours", "1 hour"), ANOM_ROUND)
+
+
+# ----------------------------------------------------------------- reports
+
+@register("country_stats_top", O.q("silver", """SELECT origin_country, count(*) AS nb_observations,
+  round(avg(altitude_meters), 2) AS avg_altitude, round(avg(velocity_kmh), 2) AS avg_velocity
+FROM silver WHERE origin_country IS NOT NULL GROUP BY origin_country
+ORDER BY nb_observations DESC, origin_country ASC LIMIT 10"""))
+def q_country_stats_top(spark, sf):
+    return RP.country_stats_top(silver(spark, sf))
+
+
+@register("ground_vs_air", O.q("silver", """SELECT on_ground, count(*) AS count,
+  round(avg(velocity_kmh), 2) AS avg_velocity FROM silver GROUP BY on_ground"""))
+def q_ground_vs_air(spark, sf):
+    return RP.ground_vs_air(silver(spark, sf))
+
+
+@register("altitude_distribution", O.q("silver", """SELECT CASE
+    WHEN altitude_meters IS NULL THEN 'NULL'
+    WHEN altitude_meters < 1000 THEN '0-1000m'
+    WHEN altitude_meters < 5000 THEN '1000-5000m'
+    WHEN altitude_meters < 10000 THEN '5000-10000m'
+    ELSE '10000m+' END AS altitude_range, count(*) AS count
+FROM silver GROUP BY 1"""))
+def q_altitude_distribution(spark, sf):
+    return RP.altitude_distribution(silver(spark, sf))
+
+
+@register("flight_evolution", O.q("silver", """SELECT icao24, callsign, origin_country, event_timestamp, altitude_meters,
+  lag(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp) AS prev_altitude,
+  altitude_meters - lag(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp) AS altitude_change,
+  round(avg(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp
+        ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 2) AS rolling_avg_altitude,
+  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS INTEGER)
+        AS velocity_rank_in_country
+FROM silver WHERE icao24 IS NOT NULL AND altitude_meters IS NOT NULL
+ORDER BY icao24, event_timestamp LIMIT 20"""))
+def q_flight_evolution(spark, sf):
+    return present(RP.flight_evolution(silver(spark, sf)))
+
+
+@register("velocity_rank", O.q("silver", """SELECT *,
+  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS INTEGER)
+        AS velocity_rank_in_country FROM silver"""))
+def q_velocity_rank(spark, sf):
+    return present(RP.velocity_rank_in_country(silver(spark, sf)))
+
+
+@register("layer_counts", O.q("features", """SELECT 'bronze' AS layer, count(*) AS rows FROM bronze
+UNION ALL SELECT 'silver', count(*) FROM silver
+UNION ALL SELECT 'silver_ml', count(*) FROM features"""))
+def q_layer_counts(spark, sf):
+    b = bronze(spark, sf)
+    s = to_silver(b)
+    return RP.layer_counts({"bronze": b, "silver": s,
+                            "silver_ml": feat.build_features(clean_ranges(s), testdata.airports(spark, sf))})
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf):
+    return present(RP.sample_rows(features(spark, sf)), ROLLING_COLS)
+
+
+@register("phase_share", O.q("features", """SELECT flight_phase, count(*) AS count,
+  round(count(*) * 100.0 / (SELECT count(*) FROM features), 4) AS share_pct FROM features GROUP BY 1"""))
+def q_phase_share(spark, sf):
+    return RP.phase_share(features(spark, sf))
+
+
+@register("country_speed_top", O.q("features", """SELECT origin_country, round(avg(velocity_kmh), 6) AS avg_velocity
+FROM features WHERE origin_country IS NOT NULL GROUP BY 1
+ORDER BY avg(velocity_kmh) DESC NULLS LAST, origin_country LIMIT 15"""))
+def q_country_speed_top(spark, sf):
+    return present(RP.country_speed_top(features(spark, sf)), ("avg_velocity",))
+
+
+@register("altitude_histogram", O.q("features", """SELECT b.bin, s.lo + b.bin * (s.hi - s.lo) / 50.0 AS bin_start,
+  s.lo + (b.bin + 1) * (s.hi - s.lo) / 50.0 AS bin_end, coalesce(c.count, 0) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) b
+CROSS JOIN st s
+LEFT JOIN (SELECT CAST(least(floor((CAST(altitude_meters AS DOUBLE) - st.lo) * 50.0 / (st.hi - st.lo)), 49) AS INTEGER) AS bin,
+                  count(*) AS count
+           FROM features, st WHERE altitude_meters IS NOT NULL GROUP BY 1) c ON c.bin = b.bin""",
+    """st AS (SELECT CASE WHEN min(a) = max(a) THEN min(a) - 0.5 ELSE min(a) END AS lo,
+                     CASE WHEN min(a) = max(a) THEN max(a) + 0.5 ELSE max(a) END AS hi
+          FROM (SELECT CAST(altitude_meters AS DOUBLE) AS a FROM features))"""))
+def q_altitude_histogram(spark, sf):
+    return RP.histogram(features(spark, sf), "altitude_meters")
+
+
+_CORR_COLS = ("altitude_meters", "velocity_kmh", "latitude", "longitude",
+              "altitude_change", "velocity_change", "rolling_avg_altitude")
+
+
+def _corr_sql() -> str:
+    parts = []
+    for a in _CORR_COLS:
+        for b in _CORR_COLS:
+            parts.append(f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, "
+                         f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM features")
+    return O.q("features", "\nUNION ALL ".join(parts))
+
+
+@register("correlation_matrix", _corr_sql())
+def q_correlation(spark, sf):
+    return present(RP.correlation_matrix(features(spark, sf), _CORR_COLS), ("corr",))
+
+
+@register("traffic_per_minute", O.q("features", """SELECT make_timestamp(m * 60000000) AS minute,
+  coalesce(c.n, 0) AS nb_flights
+FROM (SELECT range AS m FROM range((SELECT min(CAST(epoch_us(event_timestamp) // 60000000 AS BIGINT)) FROM features),
+                                   (SELECT max(CAST(epoch_us(event_timestamp) // 60000000 AS BIGINT)) FROM features) + 1)) s
+LEFT JOIN (SELECT CAST(epoch_us(event_timestamp) // 60000000 AS BIGINT) AS mm, count(*) AS n FROM features GROUP BY 1) c
+  ON c.mm = s.m"""))
+def q_traffic(spark, sf):
+    return present(RP.traffic_per_minute(features(spark, sf)))
+
+
+# ----------------------------------------------------------------- serving
+
+GOLD_SQL = (O.phase_stats_cte(), O.anomalies_cte())
+
+
+@register("kpis", O.q("features", """SELECT CAST(coalesce(sum(flight_count), 0) AS BIGINT) AS total_flights,
+  round(CASE WHEN count(*) = 0 THEN 0.0 ELSE avg(avg_altitude) END, 6) AS avg_altitude,
+  round(CASE WHEN count(*) = 0 THEN 0.0 ELSE avg(avg_velocity) END, 6) AS avg_velocity,
+  round((SELECT coalesce(avg(anomaly_rate) * 100, 0.0) FROM anomalies), 6) AS anomaly_rate_pct
+FROM phase_stats""", *GOLD_SQL))
+def q_kpis(spark, sf):
+    f = features(spark, sf)
+    return present(SV.kpis(G.phase_stats(f), G.country_anomalies(f)),
+                   ("avg_altitude", "avg_velocity", "anomaly_rate_pct"))
+
+
+@register("phase_totals", O.q("features", """SELECT flight_phase, sum(flight_count) AS flight_count,
+  round(avg(avg_altitude), 6) AS avg_altitude, round(avg(avg_velocity), 6) AS avg_velocity
+FROM phase_stats GROUP BY 1""", *GOLD_SQL))
+def q_phase_totals(spark, sf):
+    return present(SV.phase_totals(phase_stats(spark, sf)), GOLD_ROUND)
+
+
+@register("phase_totals_weighted", O.q("features", """SELECT flight_phase, sum(flight_count) AS flight_count,
+  round(sum(avg_altitude * flight_count) / sum(CASE WHEN avg_altitude IS NOT NULL THEN flight_count END), 6)
+    AS avg_altitude,
+  round(sum(avg_velocity * flight_count) / sum(CASE WHEN avg_velocity IS NOT NULL THEN flight_count END), 6)
+    AS avg_velocity
+FROM phase_stats GROUP BY 1""", *GOLD_SQL))
+def q_phase_totals_weighted(spark, sf):
+    return present(SV.phase_totals(phase_stats(spark, sf), weighted=True), GOLD_ROUND)
+
+
+@register("phase_timeline", O.q("features", "SELECT window_start, flight_phase, flight_count FROM phase_stats",
+                                 *GOLD_SQL))
+def q_phase_timeline(spark, sf):
+    return present(SV.phase_timeline(phase_stats(spark, sf)))
+
+
+@register("latest_windows", O.q("features", O.rounded("(SELECT * FROM phase_stats ORDER BY window_start DESC, "
+                                                      "flight_phase ASC LIMIT 10)", GOLD_ROUND), *GOLD_SQL))
+def q_latest_windows(spark, sf):
+    return present(SV.latest_windows(phase_stats(spark, sf)), GOLD_ROUND)
+
+
+@register("worst_anomaly_windows", O.q("features", O.rounded(
+    "(SELECT * FROM anomalies WHERE anomaly_rate > 0 ORDER BY anomaly_rate DESC, window_start DESC, "
+    "origin_country ASC LIMIT 10)", ANOM_ROUND), *GOLD_SQL))
+def q_worst_windows(spark, sf):
+    return present(SV.worst_anomaly_windows(anomalies(spark, sf)), ANOM_ROUND)
+
+
+@register("latest_anomaly_by_country", O.q("features", O.rounded(
+    "(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY origin_country "
+    "ORDER BY window_start DESC) AS rn FROM anomalies) WHERE rn = 1 "
+    "ORDER BY anomaly_rate DESC, origin_country ASC LIMIT 10)", ANOM_ROUND), *GOLD_SQL))
+def q_latest_by_country(spark, sf):
+    return present(SV.latest_anomaly_by_country(anomalies(spark, sf)), ANOM_ROUND)
+
+
+@register("recent_alerts", O.q("features", """SELECT origin_country,
+  printf('%.1f%%', round(anomaly_rate * 100, 1)) AS anomaly_rate, altitude_anomalies, velocity_anomalies
+FROM anomalies WHERE anomaly_rate > 0.1 ORDER BY window_start DESC, origin_country ASC LIMIT 10""", *GOLD_SQL))
+def q_recent_alerts(spark, sf):
+    return SV.recent_alerts(anomalies(spark, sf))
+
+
+@register("anomaly_heatmap", O.q("features", """SELECT t.origin_country, h.hour, round(coalesce(c.r, 0.0), 6) AS anomaly_rate
+FROM (SELECT origin_country FROM anomalies WHERE origin_country IS NOT NULL GROUP BY 1
+      ORDER BY avg(anomaly_rate) DESC, origin_country ASC LIMIT 15) t
+CROSS JOIN (SELECT DISTINCT strftime(window_start, '%H:%M') AS hour FROM anomalies) h
+LEFT JOIN (SELECT origin_country, strftime(window_start, '%H:%M') AS hour, avg(anomaly_rate) AS r
+           FROM anomalies GROUP BY 1, 2) c ON c.origin_country = t.origin_country AND c.hour = h.hour""",
+    *GOLD_SQL))
+def q_heatmap(spark, sf):
+    return present(SV.anomaly_heatmap(anomalies(spark, sf)), ("anomaly_rate",))
