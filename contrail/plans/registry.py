@@ -354,3 +354,87 @@ LEFT JOIN (SELECT origin_country, strftime(window_start, '%H:%M') AS hour, avg(a
     *GOLD_SQL))
 def q_heatmap(spark, sf):
     return present(SV.anomaly_heatmap(anomalies(spark, sf)), ("anomaly_rate",))
+
+
+# --------------------------------------------------------------- wire codec
+
+from contrail.sources import wire as W  # noqa: E402
+
+
+@register("wire_round_trip", O.q("bronze", "SELECT * FROM bronze"))
+def q_wire_round_trip(spark, sf):
+    return W.parse_wire(W.to_wire_json(bronze(spark, sf)))
+
+
+@register("state_vectors", O.q("bronze", "SELECT * FROM bronze"))
+def q_state_vectors(spark, sf):
+    return W.normalize_states(W.payload_json(bronze(spark, sf)))
+
+
+# ---------------------------------------------------------------- streaming
+
+from contrail import schemas as SCH  # noqa: E402
+from contrail.session import scratch_path  # noqa: E402
+from contrail.sources.tables import read_table_stream  # noqa: E402
+from contrail.streaming import jobs as J  # noqa: E402
+
+
+def _run_stream(spark, source_df, schema, build, name: str) -> DataFrame:
+    """Write ``source_df`` as the input folder, stream it with availableNow
+    through ``build`` into a Parquet folder, return that folder as a table."""
+    root = scratch_path(spark, "stream", name)
+    src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
+    source_df.write.mode("overwrite").parquet(src)
+    q = build(read_table_stream(spark, src, schema), out, ckpt)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(spark.read.parquet(out).schema).parquet(out)
+
+
+def _closed(cte: str, delay: str) -> str:
+    return (f"(SELECT * FROM {cte} WHERE window_end <= "
+            f"(SELECT max(event_timestamp) FROM features) - INTERVAL {delay})")
+
+
+@register("stream_silver", O.q("silver", "SELECT * FROM silver"))
+def q_stream_silver(spark, sf):
+    out = _run_stream(spark, bronze(spark, sf), SCH.WIRE,
+                      lambda s, p, c: J.start_silver(s, p, c, trigger=J.AVAILABLE_NOW), "silver")
+    return present(out)
+
+
+@register("stream_features", O.q("features", "SELECT * EXCLUDE (rolling_avg_altitude, rolling_std_altitude, "
+                                             "rolling_avg_velocity), round(rolling_avg_altitude, 6) AS "
+                                             "rolling_avg_altitude, round(rolling_std_altitude, 6) AS "
+                                             "rolling_std_altitude, round(rolling_avg_velocity, 6) AS "
+                                             "rolling_avg_velocity FROM features"))
+def q_stream_features(spark, sf):
+    airports = testdata.airports(spark, sf)
+    out = _run_stream(spark, bronze(spark, sf), SCH.WIRE,
+                      lambda s, p, c: J.start_features(s, airports, p, c, trigger=J.AVAILABLE_NOW), "features")
+    return present(out.drop("batch_id"), ROLLING_COLS)
+
+
+def _gold_stream(spark, sf, table: str, name: str, **params) -> DataFrame:
+    out = _run_stream(spark, features(spark, sf), SCH.SILVER_ML,
+                      lambda s, p, c: J.start_gold(s, table, p, c, trigger=J.AVAILABLE_NOW, **params), name)
+    return out
+
+
+@register("stream_phase_stats", O.q("features", O.rounded(_closed("phase_stats", "2 MINUTE"), GOLD_ROUND),
+                                    O.phase_stats_cte()))
+def q_stream_phase_stats(spark, sf):
+    return present(_gold_stream(spark, sf, "phase_stats", "phase_stats"), GOLD_ROUND)
+
+
+@register("stream_country_stats", O.q("features", O.rounded(_closed("country_stats", "2 MINUTE"), GOLD_ROUND),
+                                      O.country_stats_cte()))
+def q_stream_country_stats(spark, sf):
+    return present(_gold_stream(spark, sf, "country_stats", "country_stats"), GOLD_ROUND)
+
+
+@register("stream_country_anomalies", O.q("features", O.rounded(_closed("anomalies", "6 MINUTE"), ANOM_ROUND),
+                                          O.anomalies_cte()))
+def q_stream_anomalies(spark, sf):
+    return present(_gold_stream(spark, sf, "country_anomalies", "anomalies"), ANOM_ROUND)
