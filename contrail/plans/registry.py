@@ -374,7 +374,7 @@ def q_state_vectors(spark, sf):
 # ---------------------------------------------------------------- streaming
 
 from contrail import schemas as SCH  # noqa: E402
-from contrail.session import scratch_path  # noqa: E402
+from contrail.session import materialize, scratch_path  # noqa: E402
 from contrail.sources.tables import read_table_stream  # noqa: E402
 from contrail.streaming import jobs as J  # noqa: E402
 
@@ -438,3 +438,61 @@ def q_stream_country_stats(spark, sf):
                                           O.anomalies_cte()))
 def q_stream_anomalies(spark, sf):
     return present(_gold_stream(spark, sf, "country_anomalies", "anomalies"), ANOM_ROUND)
+
+
+# ----------------------------------------------------------------------- ML
+
+from contrail.operators import classify as ML  # noqa: E402
+
+_MODELS: dict[tuple, tuple] = {}
+
+
+def _fitted(spark, sf):
+    """Fit once per (application, data folder); the four ML queries share it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        # Written once: the split is then stable and the features are not
+        # recomputed by every training / evaluation job.
+        data = materialize(ML.ml_input(features(spark, sf)), "ml_input")
+        train_df, test_df = ML.split(data)
+        _MODELS[key] = (ML.train(train_df), test_df)
+    return _MODELS[key]
+
+
+_ML_INPUT_SQL = ", ".join(f"coalesce({c}, 0) AS {c}" for c in ML.FEATURES)
+
+
+@register("ml_input", O.q("features", f"""SELECT * EXCLUDE ({', '.join(ML.FEATURES)}), {_ML_INPUT_SQL}
+FROM features WHERE flight_phase IS NOT NULL""".replace(
+    "coalesce(rolling_avg_altitude, 0) AS rolling_avg_altitude",
+    "round(coalesce(rolling_avg_altitude, 0), 6) AS rolling_avg_altitude").replace(
+    "coalesce(rolling_std_altitude, 0) AS rolling_std_altitude",
+    "round(coalesce(rolling_std_altitude, 0), 6) AS rolling_std_altitude").replace(
+    "coalesce(rolling_avg_velocity, 0) AS rolling_avg_velocity",
+    "round(coalesce(rolling_avg_velocity, 0), 6) AS rolling_avg_velocity")))
+def q_ml_input(spark, sf):
+    return present(ML.ml_input(features(spark, sf)), ROLLING_COLS)
+
+
+@register("predictions")
+def q_predictions(spark, sf):
+    model, test_df = _fitted(spark, sf)
+    return present(ML.predictions_table(ML.score(model, test_df)))
+
+
+@register("confusion_matrix")
+def q_confusion(spark, sf):
+    model, test_df = _fitted(spark, sf)
+    return ML.confusion_matrix(ML.score(model, test_df))
+
+
+@register("model_metrics")
+def q_metrics(spark, sf):
+    model, test_df = _fitted(spark, sf)
+    return ML.evaluate(ML.score(model, test_df))
+
+
+@register("feature_importance")
+def q_importance(spark, sf):
+    model, _ = _fitted(spark, sf)
+    return ML.feature_importance(model)
