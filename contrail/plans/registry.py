@@ -37,7 +37,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def present(df: DataFrame, rounded=()) -> DataFrame:
+def present(df: DataFrame, rounded=(), digits: int = ROUND) -> DataFrame:
     """UTC wall-clock timestamps and rounded floating columns."""
     cols = []
     for f in df.schema.fields:
@@ -45,7 +45,7 @@ def present(df: DataFrame, rounded=()) -> DataFrame:
         if isinstance(f.dataType, TimestampType):
             c = c.cast("timestamp_ntz")
         if f.name in rounded:
-            c = F.round(c, ROUND)
+            c = F.round(c, digits)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -284,31 +284,32 @@ GOLD_SQL = (O.phase_stats_cte(), O.anomalies_cte())
 
 
 @register("kpis", O.q("features", """SELECT CAST(coalesce(sum(flight_count), 0) AS BIGINT) AS total_flights,
-  round(CASE WHEN count(*) = 0 THEN 0.0 ELSE avg(avg_altitude) END, 6) AS avg_altitude,
-  round(CASE WHEN count(*) = 0 THEN 0.0 ELSE avg(avg_velocity) END, 6) AS avg_velocity,
-  round((SELECT coalesce(avg(anomaly_rate) * 100, 0.0) FROM anomalies), 6) AS anomaly_rate_pct
+  round(CASE WHEN count(*) = 0 THEN 0.0 ELSE avg(avg_altitude) END, 4) AS avg_altitude,
+  round(CASE WHEN count(*) = 0 THEN 0.0 ELSE avg(avg_velocity) END, 4) AS avg_velocity,
+  round((SELECT coalesce(avg(anomaly_rate) * 100, 0.0) FROM anomalies), 4) AS anomaly_rate_pct
 FROM phase_stats""", *GOLD_SQL))
 def q_kpis(spark, sf):
     f = features(spark, sf)
     return present(SV.kpis(G.phase_stats(f), G.country_anomalies(f)),
-                   ("avg_altitude", "avg_velocity", "anomaly_rate_pct"))
+                   ("avg_altitude", "avg_velocity", "anomaly_rate_pct"), 4)
 
 
-@register("phase_totals", O.q("features", """SELECT flight_phase, sum(flight_count) AS flight_count,
-  round(avg(avg_altitude), 6) AS avg_altitude, round(avg(avg_velocity), 6) AS avg_velocity
+# Means of per-window means: 4 decimals (two engines sum them in different orders).
+@register("phase_totals", O.q("features", """SELECT flight_phase, CAST(sum(flight_count) AS BIGINT) AS flight_count,
+  round(avg(avg_altitude), 4) AS avg_altitude, round(avg(avg_velocity), 4) AS avg_velocity
 FROM phase_stats GROUP BY 1""", *GOLD_SQL))
 def q_phase_totals(spark, sf):
-    return present(SV.phase_totals(phase_stats(spark, sf)), GOLD_ROUND)
+    return present(SV.phase_totals(phase_stats(spark, sf)), GOLD_ROUND, 4)
 
 
-@register("phase_totals_weighted", O.q("features", """SELECT flight_phase, sum(flight_count) AS flight_count,
-  round(sum(avg_altitude * flight_count) / sum(CASE WHEN avg_altitude IS NOT NULL THEN flight_count END), 6)
+@register("phase_totals_weighted", O.q("features", """SELECT flight_phase, CAST(sum(flight_count) AS BIGINT) AS flight_count,
+  round(sum(avg_altitude * flight_count) / sum(CASE WHEN avg_altitude IS NOT NULL THEN flight_count END), 4)
     AS avg_altitude,
-  round(sum(avg_velocity * flight_count) / sum(CASE WHEN avg_velocity IS NOT NULL THEN flight_count END), 6)
+  round(sum(avg_velocity * flight_count) / sum(CASE WHEN avg_velocity IS NOT NULL THEN flight_count END), 4)
     AS avg_velocity
 FROM phase_stats GROUP BY 1""", *GOLD_SQL))
 def q_phase_totals_weighted(spark, sf):
-    return present(SV.phase_totals(phase_stats(spark, sf), weighted=True), GOLD_ROUND)
+    return present(SV.phase_totals(phase_stats(spark, sf), weighted=True), GOLD_ROUND, 4)
 
 
 @register("phase_timeline", O.q("features", "SELECT window_start, flight_phase, flight_count FROM phase_stats",

@@ -44,6 +44,23 @@ def _norm(v):
     return v
 
 
+def kind(series) -> str:
+    """Coarse type of a column: int, float, bool, str, time or empty."""
+    vals = [v for v in series.tolist() if v is not None and not (isinstance(v, float) and math.isnan(v))]
+    if not vals:
+        return "empty"
+    v = vals[0]
+    if isinstance(v, bool):
+        return "bool"
+    if isinstance(v, int) or (hasattr(v, "dtype") and "int" in str(v.dtype)):
+        return "int"
+    if isinstance(v, float):
+        return "float"
+    if hasattr(v, "isoformat"):
+        return "time"
+    return type(v).__name__
+
+
 def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     cols = sorted(pdf.columns)
     out = []
@@ -71,6 +88,10 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, dict]:
                 res["oracle_rows"] = len(ddf)
                 res["cols_match"] = sorted(spdf.columns) == sorted(ddf.columns)
                 if res["cols_match"]:
+                    kinds = {c: (kind(spdf[c]), kind(ddf[c])) for c in spdf.columns}
+                    bad = {c: k for c, k in kinds.items() if k[0] != k[1] and "empty" not in k}
+                    if bad:
+                        res["dtype_mismatch"] = bad
                     a, b = rows_of(spdf), rows_of(ddf)
                     res["values_match"] = a == b
                     if a != b:
@@ -94,7 +115,7 @@ if __name__ == "__main__":
     names = sys.argv[2:] or None
     spark = create_session("oracle-compare", master="local[8]", shuffle_partitions=8)
     rep = compare(spark, sf, names)
-    bad = [n for n, r in rep.items() if r.get("error") or r.get("values_match") is False
+    bad = [n for n, r in rep.items() if r.get("error") or r.get("values_match") is False or r.get("dtype_mismatch")
            or r.get("cols_match") is False or ("oracle_rows" in r and r["oracle_rows"] != r["spark_rows"])]
     print("FAILED:", bad)
     print("ok:", len(rep) - len(bad), "of", len(rep))
