@@ -497,3 +497,34 @@ def q_metrics(spark, sf):
 def q_importance(spark, sf):
     model, _ = _fitted(spark, sf)
     return ML.feature_importance(model)
+
+
+# ------------------------------------------------------ SQL text and density
+
+from contrail.operators import sql_reports as SQLR  # noqa: E402
+
+
+def _sql_report(name: str):
+    def run(spark, sf):
+        SQLR.register(spark, silver(spark, sf))
+        return SQLR.run(spark, name)
+    return run
+
+
+for _name in SQLR.STATEMENTS:
+    register(f"{_name}_sql", ORACLE[_name])(_sql_report(_name))
+
+
+@register("altitude_density", O.q("features", """SELECT g.point, round(s.lo - 3 * s.bw + g.point * s.step, 6) AS x,
+  round(sum(exp(-0.5 * ((s.lo - 3 * s.bw + g.point * s.step - f.a) / s.bw)
+                     * ((s.lo - 3 * s.bw + g.point * s.step - f.a) / s.bw))) / (s.n * s.bw * sqrt(2 * pi())), 12)
+    AS density
+FROM (SELECT CAST(range AS INTEGER) AS point FROM range(200)) g CROSS JOIN kst s
+CROSS JOIN (SELECT CAST(altitude_meters AS DOUBLE) AS a FROM features WHERE altitude_meters IS NOT NULL) f
+GROUP BY g.point, s.lo, s.bw, s.step, s.n""",
+    """kst AS (SELECT n, lo, bw, ((hi + 3 * bw) - (lo - 3 * bw)) / 199.0 AS step
+  FROM (SELECT count(*) AS n, min(a) AS lo, max(a) AS hi, stddev_samp(a) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw
+        FROM (SELECT CAST(altitude_meters AS DOUBLE) AS a FROM features WHERE altitude_meters IS NOT NULL)))"""))
+def q_density(spark, sf):
+    out = RP.density(features(spark, sf), "altitude_meters")
+    return out.select("point", F.round("x", 6).alias("x"), F.round("density", 12).alias("density"))
