@@ -62,8 +62,10 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
 
 
 def read_airport_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Airport CSV with a header; every column stays a string until cast."""
-    return spark.read.option("header", "true").schema(schemas.AIRPORT_CSV).csv(path)
+    """Airport CSV with a header; columns are matched by header name (the file
+    has more columns than used, in its own order) and stay strings until cast
+    (no schema inference pass)."""
+    return spark.read.option("header", "true").option("inferSchema", "false").csv(path)
 
 
 def airports_dim(csv_rows: DataFrame, types=K.AIRPORT_TYPES) -> DataFrame:

@@ -60,3 +60,19 @@ def test_binary_value(spark):
     r = parse_wire(df).first()
     assert (r.time, r.icao24) == (7, "z")
     assert df.select(F.col("value").cast("string")).first()[0].startswith("{")
+
+
+def test_airport_csv_reader(spark, tmp_dir):
+    import os
+
+    from contrail.sources.tables import read_airports
+
+    path = os.path.join(tmp_dir, "airports.csv")
+    with open(path, "w") as fh:
+        fh.write("id,ident,type,name,latitude_deg,longitude_deg,iso_country\n")
+        fh.write("1,LFPG,large_airport,Paris CDG,49.0097,2.5479,FR\n")
+        fh.write("2,XSML,small_airport,Tiny,1.0,2.0,FR\n")
+        fh.write("3,LFBD,medium_airport,Bordeaux,not-a-number,-0.7156,FR\n")
+    rows = sorted(read_airports(spark, path).collect())
+    assert [r.airport_icao for r in rows] == ["LFBD", "LFPG"]
+    assert rows[0].airport_lat is None and rows[1].airport_lat == 49.0097 and rows[1].airport_country == "FR"
