@@ -20,9 +20,12 @@ the globe) falls into two adjacent coarse cells, so the block holds every
 airport and the search always ends. Work is (occupied cells) x (airports in
 a neighbourhood); observations then join K on their cell: an equi-join.
 
-K is written to the checkpoint folder and broadcast only when its row count
-is under ``broadcast_max_cells``; beyond that the join is a shuffle join whose
-skewed cells (a hub airport) AQE splits.
+The occupied cells and every level's result are written to the checkpoint
+folder (one small job per level, the search stops when no cell is open).
+K has one row per occupied cell; it is broadcast only when that count is
+under ``broadcast_max_cells``, beyond that the join is a shuffle join whose
+skewed cells (a hub airport) AQE splits. The airport dimension is broadcast
+to the level probes only under ``broadcast_max_airports`` rows.
 """
 
 from __future__ import annotations
@@ -84,26 +87,27 @@ def first_level(n_airports: int) -> int:
 
 
 def candidate_airports(cells: DataFrame, airports: DataFrame,
-                       broadcast_max_airports: int = BROADCAST_MAX_AIRPORTS) -> DataFrame:
+                       broadcast_max_airports: int = BROADCAST_MAX_AIRPORTS, distinct: bool = True) -> DataFrame:
     """Occupied cells (``_cx``, ``_cy``) -> ``_cands`` array of candidate airports.
 
     One small job per level: a level writes the candidates of the cells it
     settles and the cells still open, and the search stops when none is open.
     """
-    ap = materialize(
+    ap = (
         airports.filter(F.col("airport_lat").isNotNull() & F.col("airport_lon").isNotNull())
         .select(*AIRPORT_FIELDS)
         .withColumn("_ax", _clamp(_cell(F.col("airport_lon")), LON_CELLS))
-        .withColumn("_ay", _clamp(_cell(F.col("airport_lat")), LAT_CELLS)),
-        "airports")
+        .withColumn("_ay", _clamp(_cell(F.col("airport_lat")), LAT_CELLS))
+        .cache())   # small dimension, read by every level; released below
     # The dimension is broadcast to the probes only behind a row-count check.
     n_airports = ap.count()
     small_ap = n_airports <= broadcast_max_airports
     start = first_level(n_airports)
-    remaining = materialize(
-        cells.select("_cx", "_cy").distinct()
-        .withColumn("_inbox", F.col("_cx").between(*LON_CELLS) & F.col("_cy").between(*LAT_CELLS)),
-        "cells")
+    # Occupied cells are computed once (one scan of the observations).
+    occupied = cells.select("_cx", "_cy")
+    if distinct:
+        occupied = materialize(occupied.distinct(), "cells")
+    remaining = occupied.withColumn("_inbox", F.col("_cx").between(*LON_CELLS) & F.col("_cy").between(*LAT_CELLS))
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                         for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     by_cell = Window.partitionBy("_cx", "_cy")
@@ -140,6 +144,7 @@ def candidate_airports(cells: DataFrame, airports: DataFrame,
         remaining = level.filter("_open").select("_cx", "_cy", "_inbox").distinct()
         if last or remaining.isEmpty():
             break
+    ap.unpersist()
     allc = found[0]
     for part in found[1:]:
         allc = allc.unionByName(part)
@@ -149,9 +154,13 @@ def candidate_airports(cells: DataFrame, airports: DataFrame,
 
 def materialize_candidates(cells: DataFrame, airports: DataFrame,
                            broadcast_max_cells: int = BROADCAST_MAX_CELLS) -> tuple[DataFrame, bool]:
-    """Write K (cuts the level lineage) and report whether it may be broadcast."""
-    k = materialize(candidate_airports(cells, airports), "candidates")
-    return k, k.count() <= broadcast_max_cells
+    """K over written level parts, and whether it may be broadcast.
+
+    K has exactly one row per occupied cell, so its size is the number of
+    occupied cells, counted once."""
+    occupied = materialize(cells.select("_cx", "_cy").distinct(), "cells")
+    n_cells = occupied.count()
+    return candidate_airports(occupied, airports, distinct=False), n_cells <= broadcast_max_cells
 
 
 def attach_candidates(df: DataFrame, k: DataFrame, small: bool) -> DataFrame:

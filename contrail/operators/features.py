@@ -11,16 +11,19 @@ Semantics (kept from the original job):
    row and the 5 before it, per aircraft, over the rows of step 2;
 4. the flight-phase label.
 
-Physical plan: steps 1-3 share ONE hash exchange of the data on
-(icao24, time chunk) — the temporal window, the airport attach (broadcast of
-the checked candidate table), the group minimum and the rolling window all
-run on that partitioning. See ``trailing`` for how a chunk gets the rows
-before it.
+Physical plan: steps 1-3 share ONE hash exchange of the data — the temporal
+window, the airport attach (broadcast of the checked candidate table), the
+group minimum and the rolling window all run on that partitioning and sort
+order. Ordinary aircraft are partitioned by icao24; aircraft with more rows
+than ``hot_key_rows`` (found by one aggregate over the key column) are
+partitioned by (icao24, time chunk) instead, and a chunk gets the rows before
+it from a small side table (see ``trailing``), so no aircraft is ever a
+single task's worth of data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import constants as K
@@ -32,24 +35,41 @@ from contrail.operators.trailing import CHUNK_COL, previous, trail_mean, trail_s
 KEY = "icao24"
 TS = "event_timestamp"
 DEFAULT_CHUNK = "1 hour"
-
-
-def temporal_features(df: DataFrame, chunk: str = DEFAULT_CHUNK) -> DataFrame:
-    """prev_altitude, prev_velocity, altitude_change, velocity_change, observation_rank."""
-    out = trailing_rows(df, KEY, TS, ["altitude_meters", "velocity_kmh"], preceding=1,
-                        chunk=chunk, trail="_t1", pos="observation_rank")
-    return (
-        out.withColumn("prev_altitude", previous("_t1", "altitude_meters"))
-        .withColumn("prev_velocity", previous("_t1", "velocity_kmh"))
-        .withColumn("altitude_change", F.col("altitude_meters") - F.col("prev_altitude"))
-        .withColumn("velocity_change", F.col("velocity_kmh") - F.col("prev_velocity"))
-        .drop("_t1")
-    )
-
-
-def rolling_features(df: DataFrame, chunk: str = DEFAULT_CHUNK, preceding: int = K.ROLLING_PRECEDING) -> DataFrame:
+# An aircraft with more rows than this is split into time chunks (its rows
+# would otherwise make one window task); the list of such aircraft is at most
+# rows / HOT_KEY_ROWS long and is broadcast up to BROADCAST_MAX_HOT entries.
+HOT_KEY_ROWS = 1_000_000
+BROADCAST_MAX_HOT = 100_000
+
+
+def temporal_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK) -> DataFrame:
+    """prev_altitude, prev_velocity, altitude_change, velocity_change, observation_rank.
+
+    ``chunk=None``: plain window per aircraft; otherwise the chunked form
+    (``trailing``), for aircraft too large for one task. Same values."""
+    if chunk is None:
+        w = Window.partitionBy(KEY).orderBy(TS)
+        out = (df.withColumn("prev_altitude", F.lag("altitude_meters").over(w))
+               .withColumn("prev_velocity", F.lag("velocity_kmh").over(w))
+               .withColumn("observation_rank", F.row_number().over(w)))
+    else:
+        out = trailing_rows(df, KEY, TS, ["altitude_meters", "velocity_kmh"], preceding=1,
+                            chunk=chunk, trail="_t1", pos="observation_rank")
+        out = (out.withColumn("prev_altitude", previous("_t1", "altitude_meters"))
+               .withColumn("prev_velocity", previous("_t1", "velocity_kmh")).drop("_t1"))
+    return (out.withColumn("altitude_change", F.col("altitude_meters") - F.col("prev_altitude"))
+            .withColumn("velocity_change", F.col("velocity_kmh") - F.col("prev_velocity")))
+
+
+def rolling_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK,
+                     preceding: int = K.ROLLING_PRECEDING) -> DataFrame:
     """rolling_avg_altitude, rolling_std_altitude, rolling_avg_velocity over
-    the current row and ``preceding`` rows before it."""
+    the current row and ``preceding`` rows before it (``chunk`` as above)."""
+    if chunk is None:
+        r = Window.partitionBy(KEY).orderBy(TS).rowsBetween(-preceding, 0)
+        return (df.withColumn("rolling_avg_altitude", F.avg("altitude_meters").over(r))
+                .withColumn("rolling_std_altitude", F.stddev("altitude_meters").over(r))
+                .withColumn("rolling_avg_velocity", F.avg("velocity_kmh").over(r)))
     out = trailing_rows(df, KEY, TS, ["altitude_meters", "velocity_kmh"], preceding=preceding,
                         chunk=chunk, trail="_t5", pos="_pos5")
     return (
@@ -64,26 +84,54 @@ def with_phase(df: DataFrame) -> DataFrame:
     return df.withColumn("flight_phase", flight_phase())
 
 
-def build_features(clean: DataFrame, airports: DataFrame, chunk: str = DEFAULT_CHUNK,
-                   broadcast_max_cells: int = ap.BROADCAST_MAX_CELLS) -> DataFrame:
-    """Cleaned silver rows -> Silver_ML columns (see module doc)."""
-    temporal = temporal_features(clean, chunk)          # exchange on (icao24, chunk)
+def _features_path(clean: DataFrame, k: DataFrame, small: bool, chunk: str | None) -> DataFrame:
+    """Steps 1-4 on one partitioning: (icao24) for ``chunk=None``, else
+    (icao24, chunk). The airport attach is a broadcast or a cell join; the
+    group minimum and both windows reuse the partitioning of step 1."""
+    temporal = temporal_features(clean, chunk)
     kept = temporal.filter(F.col("on_ground").isNotNull())
+    cells = ap.with_cell(kept, when=F.col("on_ground") == F.lit(True))
+    keys = (KEY, CHUNK_COL, TS) if chunk else (KEY, TS)
+    enriched = ap.apply_enrichment(cells, k, small, group_keys=keys)
+    return with_phase(rolling_features(enriched, chunk)).select(*schemas.SILVER_ML_COLUMNS)
+
+
+def hot_keys(clean: DataFrame, hot_key_rows: int) -> DataFrame:
+    """Aircraft with more than ``hot_key_rows`` rows (partial aggregation on
+    the key column only)."""
+    return (clean.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > hot_key_rows).select(KEY))
+
+
+def build_features(clean: DataFrame, airports: DataFrame, chunk: str = DEFAULT_CHUNK,
+                   hot_key_rows: int = HOT_KEY_ROWS,
+                   broadcast_max_cells: int = ap.BROADCAST_MAX_CELLS,
+                   broadcast_max_hot: int = BROADCAST_MAX_HOT) -> DataFrame:
+    """Cleaned silver rows -> Silver_ML columns (see module doc).
+
+    Aircraft with more than ``hot_key_rows`` rows are split into time chunks
+    (``chunk``); all others use plain per-aircraft windows. Both give the
+    same values; the split only decides how the work is spread over tasks."""
     ground = F.col("on_ground") == F.lit(True)
-    cells = ap.with_cell(kept, when=ground)
     k, small = ap.materialize_candidates(
         ap.with_cell(clean.filter(ground)).select("_cx", "_cy"), airports, broadcast_max_cells)
-    enriched = ap.apply_enrichment(cells, k, small, group_keys=(KEY, CHUNK_COL, TS))
-    rolled = rolling_features(enriched, chunk)
-    return with_phase(rolled).select(*schemas.SILVER_ML_COLUMNS)
-
-
-def features_reference_order(clean: DataFrame, airports: DataFrame, chunk: str = DEFAULT_CHUNK) -> DataFrame:
+    hot = hot_keys(clean, hot_key_rows)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _features_path(clean, k, small, None)
+    flagged = clean.join(F.broadcast(hot.withColumn("_hot", F.lit(True))) if n_hot <= broadcast_max_hot
+                         else hot.withColumn("_hot", F.lit(True)), on=KEY, how="left")
+    cold = _features_path(flagged.filter(F.col("_hot").isNull()).drop("_hot"), k, small, None)
+    warm = _features_path(flagged.filter(F.col("_hot")).drop("_hot"), k, small, chunk)
+    return cold.unionByName(warm)
+
+
+def features_reference_order(clean: DataFrame, airports: DataFrame, chunk: str | None = DEFAULT_CHUNK) -> DataFrame:
     """Same result as ``build_features`` composed from the public steps
     (each step plans its own exchange); kept for tests and reuse."""
     temporal = temporal_features(clean, chunk)
-    enriched = ap.enrich_ground(temporal, airports)
-    return with_phase(rolling_features(enriched.drop(CHUNK_COL), chunk)).select(*schemas.SILVER_ML_COLUMNS)
+    enriched = ap.enrich_ground(temporal.drop(CHUNK_COL) if chunk else temporal, airports)
+    return with_phase(rolling_features(enriched, chunk)).select(*schemas.SILVER_ML_COLUMNS)
 
 
 def phase_distribution(features: DataFrame) -> DataFrame:

@@ -96,6 +96,13 @@ def q_features(spark, sf):
     return present(features(spark, sf), ROLLING_COLS)
 
 
+@register("features_time_chunked", ORACLE["features_full"])
+def q_features_chunked(spark, sf):
+    """Every aircraft through the time-chunked (hot-key) path: same rows."""
+    out = feat.build_features(clean(spark, sf), testdata.airports(spark, sf), hot_key_rows=0)
+    return present(out, ROLLING_COLS)
+
+
 @register("phase_distribution", O.q("features", "SELECT flight_phase, count(*) AS count FROM features GROUP BY 1"))
 def q_phase_distribution(spark, sf):
     return feat.phase_distribution(features(spark, sf))
