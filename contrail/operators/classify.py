@@ -39,7 +39,10 @@ def build_pipeline(features: Sequence[str] = FEATURES, label: str = LABEL, trees
         StringIndexer(inputCol=label, outputCol="label", handleInvalid="skip"),
         VectorAssembler(inputCols=list(features), outputCol="features_raw", handleInvalid="skip"),
         StandardScaler(inputCol="features_raw", outputCol="features", withStd=True, withMean=False),
-        RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed),
+        # maxMemoryInMB / cacheNodeIds only change how many nodes are split per
+        # pass over the data (fewer passes); the trees are the same.
+        RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed,
+                               maxMemoryInMB=1024, cacheNodeIds=True),
     ])
 
 
