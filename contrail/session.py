@@ -27,18 +27,26 @@ _SESSION_CONF = {
 }
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def create_session(
     app_name: str = "contrail",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     log_level: str = "WARN",
     extra_conf: dict[str, str] | None = None,
+    packages: list[str] | None = None,
+    rocksdb_state: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session configured for these jobs.
 
     ``shuffle_partitions`` defaults to Spark's own value; AQE coalesces it at
     runtime. Streaming state keeps the partition count it started with, so set
-    it explicitly for long-running streams.
+    it explicitly (about 2x the executor cores) before a stream first starts.
+    ``packages``: Maven coordinates to add (Kafka source, Delta tables).
+    ``rocksdb_state``: keep streaming window state in RocksDB (off-heap, for
+    large state) instead of the default in-memory provider.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -46,6 +54,10 @@ def create_session(
     conf = dict(_SESSION_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if packages:
+        conf["spark.jars.packages"] = ",".join(packages)
+    if rocksdb_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     if extra_conf:
         conf.update(extra_conf)
     for key, value in conf.items():
