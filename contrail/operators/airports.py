@@ -22,8 +22,8 @@ a neighbourhood); observations then join K on their cell: an equi-join.
 
 The occupied cells and every level's result are written to the checkpoint
 folder (one small job per level, the search stops when no cell is open).
-K has one row per occupied cell; it is broadcast only when that count is
-under ``broadcast_max_cells``, beyond that the join is a shuffle join whose
+K has one row per occupied cell; it is broadcast only when its (cell,
+airport) entries are at most ``broadcast_max_cells``, beyond that the join is a shuffle join whose
 skewed cells (a hub airport) AQE splits. The airport dimension is broadcast
 to the level probes only under ``broadcast_max_airports`` rows.
 """
@@ -39,7 +39,9 @@ FINE = 0.25
 LEVELS = (1, 4, 16, 64, 256, 1024, 4096)      # coarse side = FINE * m degrees
 LON_CELLS = (-720, 720)                        # fine cell indexes of [-180, 180]
 LAT_CELLS = (-360, 360)                        # fine cell indexes of [-90, 90]
-BROADCAST_MAX_CELLS = 500_000
+# Broadcast bound of the candidate table, in (cell, airport) entries:
+# ~100 bytes each in memory, so 1M entries stay near 100 MB per executor.
+BROADCAST_MAX_CELLS = 1_000_000
 BROADCAST_MAX_AIRPORTS = 200_000
 
 AIRPORT_FIELDS = ("airport_icao", "airport_name", "airport_country", "airport_lat", "airport_lon")
@@ -87,7 +89,8 @@ def first_level(n_airports: int) -> int:
 
 
 def candidate_airports(cells: DataFrame, airports: DataFrame,
-                       broadcast_max_airports: int = BROADCAST_MAX_AIRPORTS, distinct: bool = True) -> DataFrame:
+                       broadcast_max_airports: int = BROADCAST_MAX_AIRPORTS, distinct: bool = True,
+                       with_entries: bool = False):
     """Occupied cells (``_cx``, ``_cy``) -> ``_cands`` array of candidate airports.
 
     One small job per level: a level writes the candidates of the cells it
@@ -148,19 +151,18 @@ def candidate_airports(cells: DataFrame, airports: DataFrame,
     allc = found[0]
     for part in found[1:]:
         allc = allc.unionByName(part)
-    return allc.groupBy("_cx", "_cy").agg(
-        F.collect_list(F.struct(*AIRPORT_FIELDS)).alias("_cands"))
+    k = allc.groupBy("_cx", "_cy").agg(F.collect_list(F.struct(*AIRPORT_FIELDS)).alias("_cands"))
+    return (k, allc) if with_entries else k
 
 
 def materialize_candidates(cells: DataFrame, airports: DataFrame,
                            broadcast_max_cells: int = BROADCAST_MAX_CELLS) -> tuple[DataFrame, bool]:
-    """K over written level parts, and whether it may be broadcast.
-
-    K has exactly one row per occupied cell, so its size is the number of
-    occupied cells, counted once."""
+    """K over written level parts, and whether it may be broadcast: its
+    (cell, airport) entries are counted on the written parts (one small job)
+    and compared with ``broadcast_max_cells``."""
     occupied = materialize(cells.select("_cx", "_cy").distinct(), "cells")
-    n_cells = occupied.count()
-    return candidate_airports(occupied, airports, distinct=False), n_cells <= broadcast_max_cells
+    k, entries = candidate_airports(occupied, airports, distinct=False, with_entries=True)
+    return k, entries.count() <= broadcast_max_cells
 
 
 def attach_candidates(df: DataFrame, k: DataFrame, small: bool) -> DataFrame:
