@@ -62,10 +62,17 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(predictions: DataFrame) -> DataFrame:
-    """One row: accuracy and weighted F1."""
-    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
-    acc = ev.evaluate(predictions, {ev.metricName: "accuracy"})
-    f1 = ev.evaluate(predictions, {ev.metricName: "f1"})
+    """One row: accuracy and weighted F1.
+
+    The forest scores the test rows once: the (label, prediction) pairs are
+    persisted for the two metric passes and released after."""
+    pairs = predictions.select("label", "prediction").persist()
+    try:
+        ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
+        acc = ev.evaluate(pairs, {ev.metricName: "accuracy"})
+        f1 = ev.evaluate(pairs, {ev.metricName: "f1"})
+    finally:
+        pairs.unpersist()
     return predictions.sparkSession.createDataFrame([(float(acc), float(f1))], "accuracy double, f1 double")
 
 
