@@ -28,7 +28,7 @@ def main() -> None:
 
     from contrail.session import create_session
 
-    spark = create_session("contrail-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
+    spark = create_session("contrail-bench", master=f"local[{cpus}]", shuffle_partitions=cpus,
                            log_level="ERROR", extra_conf={"spark.driver.memory": "16g",
                                                           "spark.ui.enabled": "false"})
     if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):

@@ -129,4 +129,6 @@ def test_feature_paths_agree_on_test_tables(spark):
     base = sorted(build_features(clean, airports).collect(), key=key)
     chunked = sorted(build_features(clean, airports, hot_key_rows=0, chunk="1 day").collect(), key=key)
     fallback = sorted(build_features(clean, airports, broadcast_max_cells=0).collect(), key=key)
-    assert base == chunked == fallback and len(base) > 0
+    from contrail.operators.features import features_reference_order
+    steps = sorted(features_reference_order(clean, airports).collect(), key=key)
+    assert base == chunked == fallback == steps and len(base) > 0
