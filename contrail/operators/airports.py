@@ -236,3 +236,38 @@ def apply_enrichment(cells_df: DataFrame, k: DataFrame, small: bool,
         .withColumn("airport_country", F.col("_a.airport_country"))
         .drop("_a", "_gmin", "_cands", "_rmin", "_cx", "_cy")
     )
+
+
+class AirportIndex:
+    """Candidate airports per occupied cell, grown as new cells appear.
+
+    For streams: a micro-batch only searches the cells no earlier batch has
+    seen; the index is a Parquet folder (``path``, normally inside the
+    stream's own folder, so it survives restarts). It assumes the airport
+    table does not change for the life of that folder."""
+
+    def __init__(self, airports: DataFrame, path: str, broadcast_max_cells: int = BROADCAST_MAX_CELLS):
+        self.airports = airports
+        self.path = path
+        self.broadcast_max_cells = broadcast_max_cells
+
+    def _known(self, spark):
+        try:
+            return spark.read.parquet(self.path)
+        except Exception:  # no index written yet
+            return None
+
+    def candidates(self, cells: DataFrame) -> tuple[DataFrame, bool]:
+        spark = cells.sparkSession
+        occupied = materialize(cells.select("_cx", "_cy").distinct(), "cells")
+        known = self._known(spark)
+        new = occupied if known is None else occupied.join(known.select("_cx", "_cy"), ["_cx", "_cy"], "left_anti")
+        if not new.isEmpty():
+            k_new = candidate_airports(new, self.airports, distinct=False)
+            k_new.write.mode("append").parquet(self.path)
+            known = spark.read.parquet(self.path)
+        if known is None:  # no ground rows at all so far
+            return candidate_airports(occupied, self.airports, distinct=False), True
+        k = known.join(occupied, ["_cx", "_cy"], "left_semi")
+        entries = k.select(F.sum(F.size("_cands"))).first()[0] or 0
+        return k, entries <= self.broadcast_max_cells

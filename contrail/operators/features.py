@@ -106,15 +106,19 @@ def hot_keys(clean: DataFrame, hot_key_rows: int) -> DataFrame:
 def build_features(clean: DataFrame, airports: DataFrame, chunk: str = DEFAULT_CHUNK,
                    hot_key_rows: int = HOT_KEY_ROWS,
                    broadcast_max_cells: int = ap.BROADCAST_MAX_CELLS,
-                   broadcast_max_hot: int = BROADCAST_MAX_HOT) -> DataFrame:
+                   broadcast_max_hot: int = BROADCAST_MAX_HOT,
+                   index: ap.AirportIndex | None = None) -> DataFrame:
     """Cleaned silver rows -> Silver_ML columns (see module doc).
 
     Aircraft with more than ``hot_key_rows`` rows are split into time chunks
     (``chunk``); all others use plain per-aircraft windows. Both give the
     same values; the split only decides how the work is spread over tasks."""
     ground = F.col("on_ground") == F.lit(True)
-    k, small = ap.materialize_candidates(
-        ap.with_cell(clean.filter(ground)).select("_cx", "_cy"), airports, broadcast_max_cells)
+    cells = ap.with_cell(clean.filter(ground)).select("_cx", "_cy")
+    if index is not None:       # streams: reuse the cells earlier batches searched
+        k, small = index.candidates(cells)
+    else:
+        k, small = ap.materialize_candidates(cells, airports, broadcast_max_cells)
     hot = hot_keys(clean, hot_key_rows)
     n_hot = hot.count()
     if n_hot == 0:

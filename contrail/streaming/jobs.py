@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from contrail import constants as K
 from contrail.operators import gold
+from contrail.operators.airports import AirportIndex
 from contrail.operators.features import build_features
 from contrail.operators.silver import clean_ranges, to_silver
 from contrail.sources.tables import read_table_stream, write_stream
@@ -44,14 +45,19 @@ def start_silver(bronze_stream: DataFrame, path: str, checkpoint: str, fmt: str
                         query_name=name, merge_schema=(fmt == "delta"))
 
 
-def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet"):
+def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", index_path: str | None = None):
     """``foreachBatch`` function: one Bronze micro-batch -> Silver_ML rows
-    written to ``path/batch_id=<id>`` (replay-safe)."""
+    written to ``path/batch_id=<id>`` (replay-safe).
+
+    ``index_path``: folder of the airport-candidate index shared by the
+    batches (default: next to the output), so a batch only searches cells
+    that no earlier batch has seen."""
+    index = AirportIndex(airports, index_path or path.rstrip("/") + "_airport_index")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read by the cell search and by the feature plan
         try:
-            ml = build_features(clean_ranges(to_silver(batch)), airports)
+            ml = build_features(clean_ranges(to_silver(batch)), airports, index=index)
             (ml.withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").save(path))

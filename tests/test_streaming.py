@@ -82,3 +82,25 @@ def test_feature_batch_replay_is_idempotent(spark, tmp_dir):
     process(bronze, 1)
     df = spark.read.parquet(out)
     assert df.count() == 10 and df.filter("batch_id = 0").count() == 5
+
+
+def test_airport_index_reuse_matches_fresh_search(spark, tmp_dir):
+    from contrail.operators.airports import AirportIndex, with_cell
+    from contrail.operators.features import build_features
+    from contrail.operators.silver import clean_ranges, to_silver
+    from contrail.sources import testdata
+
+    sf = "/root/testdata/sf0.001"
+    bronze = testdata.bronze(spark, sf)
+    airports = testdata.airports(spark, sf)
+    index = AirportIndex(airports, os.path.join(tmp_dir, "index"))
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    sizes = []
+    for part in (bronze.filter("time % 2 = 0"), bronze.filter("time % 2 = 1"), bronze):
+        clean = clean_ranges(to_silver(part))
+        fresh = sorted(build_features(clean, airports).collect(), key=key)
+        reused = sorted(build_features(clean, airports, index=index).collect(), key=key)
+        assert fresh == reused
+        sizes.append(spark.read.parquet(os.path.join(tmp_dir, "index")).count())
+    cells = with_cell(clean_ranges(to_silver(bronze)).filter("on_ground")).select("_cx", "_cy").distinct().count()
+    assert sizes[2] == sizes[1] == cells          # the third batch saw no new cell
