@@ -103,6 +103,37 @@ def q_features_chunked(spark, sf):
     return present(out, ROLLING_COLS)
 
 
+@register("enrich_ground", O.q("features", """SELECT icao24, event_timestamp, on_ground, observation_rank,
+  airport_icao, airport_name, airport_country FROM enriched"""))
+def q_enrich_ground(spark, sf):
+    """Split / nearest airport / union step on its own (standalone functions)."""
+    from contrail.operators.airports import enrich_ground
+
+    out = enrich_ground(feat.temporal_features(clean(spark, sf)).drop("_chunk"), testdata.airports(spark, sf))
+    return present(out.select("icao24", "event_timestamp", "on_ground", "observation_rank",
+                              "airport_icao", "airport_name", "airport_country"))
+
+
+@register("rolling_features", O.q("features", """SELECT icao24, event_timestamp, airport_icao,
+  round(rolling_avg_altitude, 6) AS rolling_avg_altitude, round(rolling_std_altitude, 6) AS rolling_std_altitude,
+  round(rolling_avg_velocity, 6) AS rolling_avg_velocity FROM rolling"""))
+def q_rolling(spark, sf):
+    """Rolling statistics over the enriched rows, standalone (time-chunked) form."""
+    from contrail.operators.airports import enrich_ground
+
+    enriched = enrich_ground(feat.temporal_features(clean(spark, sf)).drop("_chunk"), testdata.airports(spark, sf))
+    out = feat.rolling_features(enriched)
+    return present(out.select("icao24", "event_timestamp", "airport_icao", *ROLLING_COLS), ROLLING_COLS)
+
+
+@register("flight_phases", O.q("features", """SELECT icao24, event_timestamp, on_ground, altitude_meters,
+  altitude_change, flight_phase FROM features"""))
+def q_flight_phases(spark, sf):
+    out = features(spark, sf)
+    return present(out.select("icao24", "event_timestamp", "on_ground", "altitude_meters", "altitude_change",
+                              "flight_phase"))
+
+
 @register("phase_distribution", O.q("features", "SELECT flight_phase, count(*) AS count FROM features GROUP BY 1"))
 def q_phase_distribution(spark, sf):
     return feat.phase_distribution(features(spark, sf))
