@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from contrail import constants as K
-from contrail import schemas
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
