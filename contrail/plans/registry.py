@@ -65,8 +65,23 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return clean_ranges(silver(spark, sf))
 
 
+_INDEXES: dict[tuple, object] = {}
+
+
+def airport_index(spark: SparkSession, sf: str):
+    """One airport-candidate index per (application, data folder): the
+    queries of a session share the cells already searched."""
+    from contrail.operators.airports import AirportIndex
+    from contrail.session import scratch_path as _scratch
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INDEXES:
+        _INDEXES[key] = AirportIndex(testdata.airports(spark, sf), _scratch(spark, "airport_index"))
+    return _INDEXES[key]
+
+
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return feat.build_features(clean(spark, sf), testdata.airports(spark, sf))
+    return feat.build_features(clean(spark, sf), testdata.airports(spark, sf), index=airport_index(spark, sf))
 
 
 ROLLING_COLS = ("rolling_avg_altitude", "rolling_std_altitude", "rolling_avg_velocity")
