@@ -187,16 +187,22 @@ def attach_candidates(df: DataFrame, k: DataFrame, small: bool) -> DataFrame:
 
 def nearest_rows(df: DataFrame, group_keys=("icao24", "event_timestamp")) -> DataFrame:
     """Keep ground rows whose own minimum equals the group minimum; one row per
-    airport at that distance. Needs ``_cands``/``_rmin`` from ``attach_candidates``."""
-    g = Window.partitionBy(*group_keys)
+    airport at that distance. Needs ``_cands``/``_rmin`` from ``attach_candidates``.
+
+    The group minimum is a partial aggregate joined back null-safely, so many
+    copies of one (aircraft, time) are not gathered in one task (AQE splits a
+    skewed join key)."""
+    gmin = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(group_keys)]).agg(
+        F.min("_rmin").alias("_gmin"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(group_keys)]
     return (
-        df.withColumn("_gmin", F.min("_rmin").over(g))
+        df.join(gmin, on=cond, how="inner")
         .filter(F.col("_rmin") == F.col("_gmin"))
         .withColumn("_a", F.explode(F.filter("_cands", lambda c: c["dist"] == F.col("_gmin"))))
         .withColumn("airport_icao", F.col("_a.airport_icao"))
         .withColumn("airport_name", F.col("_a.airport_name"))
         .withColumn("airport_country", F.col("_a.airport_country"))
-        .drop("_a", "_gmin", "_cands", "_rmin", "_cx", "_cy")
+        .drop("_a", "_gmin", "_cands", "_rmin", "_cx", "_cy", *[f"_g{i}" for i in range(len(group_keys))])
     )
 
 
