@@ -289,8 +289,8 @@ def q_country_speed_top(spark, sf):
     return present(RP.country_speed_top(features(spark, sf)), ("avg_velocity",))
 
 
-@register("altitude_histogram", O.q("features", """SELECT b.bin, s.lo + b.bin * (s.hi - s.lo) / 50.0 AS bin_start,
-  s.lo + (b.bin + 1) * (s.hi - s.lo) / 50.0 AS bin_end, coalesce(c.count, 0) AS count
+@register("altitude_histogram", O.q("features", """SELECT b.bin, s.lo + b.bin * ((s.hi - s.lo) / 50.0) AS bin_start,
+  s.lo + (b.bin + 1) * ((s.hi - s.lo) / 50.0) AS bin_end, coalesce(c.count, 0) AS count
 FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) b
 CROSS JOIN st s
 LEFT JOIN (SELECT CAST(least(floor((CAST(altitude_meters AS DOUBLE) - st.lo) * 50.0 / (st.hi - st.lo)), 49) AS INTEGER) AS bin,

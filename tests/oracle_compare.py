@@ -34,7 +34,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}") if v != 0 else 0.0
+        return float(v) if v != 0 else 0.0   # exact: a strict value hash sees every bit
     if isinstance(v, pd.Timestamp):
         return v.isoformat()
     if hasattr(v, "isoformat"):
