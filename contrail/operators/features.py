@@ -65,13 +65,17 @@ def rolling_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK,
                      preceding: int = K.ROLLING_PRECEDING) -> DataFrame:
     """rolling_avg_altitude, rolling_std_altitude, rolling_avg_velocity over
     the current row and ``preceding`` rows before it (``chunk`` as above)."""
+    # Rows sharing a timestamp (an observation kept once per equidistant
+    # airport) are ordered by airport, so each copy gets the same window in
+    # every run and engine.
+    tie = ["airport_icao"] if "airport_icao" in df.columns else []
     if chunk is None:
-        r = Window.partitionBy(KEY).orderBy(TS).rowsBetween(-preceding, 0)
+        r = Window.partitionBy(KEY).orderBy(TS, *tie).rowsBetween(-preceding, 0)
         return (df.withColumn("rolling_avg_altitude", F.avg("altitude_meters").over(r))
                 .withColumn("rolling_std_altitude", F.stddev("altitude_meters").over(r))
                 .withColumn("rolling_avg_velocity", F.avg("velocity_kmh").over(r)))
     out = trailing_rows(df, KEY, TS, ["altitude_meters", "velocity_kmh"], preceding=preceding,
-                        chunk=chunk, trail="_t5", pos="_pos5")
+                        chunk=chunk, trail="_t5", pos="_pos5", tiebreak=tie)
     return (
         out.withColumn("rolling_avg_altitude", trail_mean("_t5", "altitude_meters"))
         .withColumn("rolling_std_altitude", trail_stddev("_t5", "altitude_meters"))

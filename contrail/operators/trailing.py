@@ -64,11 +64,12 @@ def trailing_rows(
     chunk: str = "1 hour",
     trail: str = "_trail",
     pos: str = "_pos",
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     if preceding < 1:
         raise ValueError("preceding must be >= 1")
     df = with_chunk(df, ts, chunk)
-    w = Window.partitionBy(key, CHUNK_COL).orderBy(ts)
+    w = Window.partitionBy(key, CHUNK_COL).orderBy(ts, *tiebreak)
     value = F.struct(*[F.col(f) for f in fields])
     staged = (
         df.withColumn("_rn", F.row_number().over(w))

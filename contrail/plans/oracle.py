@@ -101,7 +101,8 @@ rolling AS (
     stddev_samp(altitude_meters) OVER r AS rolling_std_altitude,
     avg(velocity_kmh) OVER r AS rolling_avg_velocity
   FROM enriched
-  WINDOW r AS (PARTITION BY icao24 ORDER BY event_timestamp ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+  WINDOW r AS (PARTITION BY icao24 ORDER BY event_timestamp, airport_icao NULLS FIRST
+               ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
 )"""
 
 PHASE_CASE = """CASE
