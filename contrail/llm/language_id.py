@@ -18,17 +18,25 @@ from pyspark.sql import functions as F
 
 from contrail.llm.common import Batches
 
-#: bounds of what is learned from: texts per language, bytes of one text, bytes of a dictionary
+#: bounds of what is learned from: texts per language, characters of one text, bytes of a dictionary
 SAMPLE_TEXTS = 64
-SAMPLE_BYTES = 2048
+SAMPLE_CHARS = 2048
 DICTIONARY_BYTES = 64 * 1024
 BLOCK = 4096
-LEVEL = 3
+#: texts below so many bytes are compressed three times over: too short a text is stored as it is
+SHORT = 200
 #: margin (share of the winner's size) at which the score is 1, and the least score that is accepted
 FULL_MARGIN = 0.10
-ACCEPT = 0.01
+ACCEPT = 0.05
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]+")
+_PARAMETERS = {"strategy": zstandard.STRATEGY_LAZY, "min_match": 4, "window_log": 18, "hash_log": 17, "chain_log": 17,
+               "search_log": 4}
+
+
+def normal(text: str) -> bytes:
+    """The words of a text (letters only, lower case), one space apart."""
+    return " ".join(_WORD.findall(text.lower())).encode()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -38,7 +46,7 @@ def held_out(doc_id: Column) -> Column:
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """Language -> dictionary content, from training rows only.
 
-    Per language the SAMPLE_TEXTS distinct texts with the smallest hashes, the first SAMPLE_BYTES of
+    Per language the SAMPLE_TEXTS distinct texts with the smallest hashes, the first SAMPLE_CHARS of
     each: a fixed bound per language however large the table (the per-language limit is applied
     in every task before anything is shuffled).
     """
@@ -48,28 +56,31 @@ def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     chosen = rows.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= SAMPLE_TEXTS).select("lang", "h")
     # SAMPLE_TEXTS rows per language at most
     starts = rows.join(F.broadcast(chosen), ["lang", "h"]).select(
-        "lang", "h", F.substring("text", 1, SAMPLE_BYTES).alias("start")).groupBy("lang", "h").agg(F.min("start").alias("start"))
+        "lang", "h", F.substring("text", 1, SAMPLE_CHARS).alias("start")).groupBy("lang", "h").agg(F.min("start").alias("start"))
     held: dict[str, list[bytes]] = {}
     for row in starts.orderBy("lang", F.desc("h")).collect():
-        held.setdefault(row["lang"], []).append(row["start"].encode())
-    return {k: b"\n".join(v)[-DICTIONARY_BYTES:] for k, v in sorted(held.items())}
+        held.setdefault(row["lang"], []).append(normal(row["start"]))
+    return {k: b" ".join(v)[-DICTIONARY_BYTES:] for k, v in sorted(held.items())}
 
 
 @functools.lru_cache(maxsize=4)
 def _coders(models: tuple[tuple[str, bytes], ...]) -> list[tuple[str, zstandard.ZstdCompressor]]:
+    settings = zstandard.ZstdCompressionParameters(**_PARAMETERS)
     out = []
     for lang, content in models:
         known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        known.precompute_compress(level=LEVEL)
-        out.append((lang, zstandard.ZstdCompressor(dict_data=known, write_checksum=False, write_content_size=False)))
+        known.precompute_compress(compression_params=settings)
+        out.append((lang, zstandard.ZstdCompressor(dict_data=known, compression_params=settings)))
     return out
 
 
 def classify(text: str | None, models: tuple[tuple[str, bytes], ...]) -> tuple[str, float]:
     """(language, score); ``und`` with score 0 for no text, no letter or no model."""
-    if not text or not models or not _LETTER.search(text):
+    if not text or not models or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
-    raw = text.encode()
+    raw = normal(text)
+    if len(raw) < SHORT:
+        raw = (raw + b" ") * 3
     blocks = [raw[i:i + BLOCK] for i in range(0, len(raw), BLOCK)]
     sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in _coders(models))
     if len(sizes) == 1:
