@@ -95,7 +95,9 @@ def exact_groups(docs: DataFrame, fingerprint_bits: int = 64) -> DataFrame:
     key = ["n_bytes", "recipe", "apart"]
     rows = rows.join(apart, "text_sha256", "left").select(
         "doc_id", "text_sha256", "n_bytes", "recipe", F.coalesce("apart", F.lit("")).alias("apart"), "row")
-    groups = rows.groupBy(*key).agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
+    # written, so that the join's two sides are plain exchanges and a hot group can be split
+    groups = stage(rows.groupBy(*key).agg(
+        F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size")), "groups")
     return rows.join(groups, key).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
