@@ -11,9 +11,11 @@ Jaccard estimate from all registers drops the hopeless ones, and the rest is ver
 full shingle sets. At a similarity of 0.75 a pair escapes all 32 bands with a probability of 5e-6.
 
 Large groups never become all pairs. Equal sets are one node from the start. In a first round
-each band bucket checks its members against its smallest member only; in a second round only
-members that are *not* in the component with most of the bucket's members are checked against
-the bucket's other components, so no link between components is lost.
+each band bucket checks its members against its centre only, the member with the most company in all
+its buckets; in a second round only members that are *not* in the component with most of the
+bucket's members are checked against the bucket's other components, so no link between components
+is lost. There, two sets share at most as many shingles as either shares with anyone at all: that exact
+bound settles most members of a group of near copies that are themselves too far from the others.
 """
 
 from __future__ import annotations
@@ -121,6 +123,30 @@ def _shingles(words: int):
     return run
 
 
+def _each_shingle(batches: Batches) -> Batches:
+    for batch in batches:
+        sets = [np.frombuffer(z.as_buffer(), np.int64) for z in batch.column("shingles")]
+        nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), [len(x) for x in sets])
+        whole = np.concatenate([*sets, np.empty(0, np.int64)])
+        for k in range(0, len(whole), 1 << 20):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[k:k + (1 << 20)]), pa.array(whole[k:k + (1 << 20)])], ["node", "shingle"])
+
+
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(node, own): how many of a node's shingles no other node has. Nodes without any do not appear."""
+    each = sets.mapInArrow(_each_shingle, "node long, shingle long")
+    return each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where(
+        "node = other").groupBy("node").agg(F.count("*").alias("own"))
+
+
+def _bounded(p: str, q: str, threshold: int) -> Column:
+    """Two sets share at most what either shares with anyone; can that reach the threshold?"""
+    n, m = F.col(f"{p}.n"), F.col(f"{q}.n")
+    both = F.least(n - F.col(f"{p}.own"), m - F.col(f"{q}.own"))
+    return both * 100 >= (n + m - both) * threshold
+
+
 def _verify(threshold: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -161,9 +187,13 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
         .dropDuplicates(["node", "set_id"]), "representatives")
 
     rows = reps.select("node", F.posexplode("bands").alias("band", "value"))
-    shared = rows.groupBy("band", "value").agg(F.min("node").alias("first"), F.count("*").alias("members")).where(
-        "members > 1").select("band", "value", "first")
+    shared = rows.groupBy("band", "value").agg(F.count("*").alias("members")).where("members > 1")
     members = stage(rows.join(shared, ["band", "value"]), "members")
+    # a node in many large buckets is likely to be near all that is in them: it is its buckets' centre
+    weight = members.groupBy("node").agg(F.sum("members").alias("weight"))
+    centre = F.max_by("node", F.struct("weight", -F.col("node")))
+    members = stage(members.join(weight, "node").select("band", "value", "node", "weight"), "weighted")
+    centres = members.groupBy("band", "value").agg(centre.alias("first"))
     wanted = members.select("node").distinct()
     known = reps.join(wanted, "node", "left_semi").select("node", "n", "bands")
     ids = reps.join(wanted, "node", "left_semi").select("node", "set_id")
@@ -171,8 +201,9 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     sets = stage(texts.mapInArrow(_shingles(words), "node long, set_id binary, shingles binary")
                  .join(ids, ["node", "set_id"], "left_semi").select("node", "shingles"), "sets")
 
-    # round 1: each bucket's members against its smallest member
-    stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    # round 1: each bucket's members against its centre
+    stars = members.join(centres, ["band", "value"]).where("node <> first").select(
+        F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
     stars = stage(
         stars.join(known.select(F.col("node").alias("a"), F.struct("n", "bands").alias("p")), "a")
         .join(known.select(F.col("node").alias("b"), F.struct("n", "bands").alias("q")), "b")
@@ -187,14 +218,18 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     mixed = sizes.groupBy("band", "value").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where(
         "parts > 1").select("band", "value", "main")
-    open_rows = stage(at.join(mixed, ["band", "value"]).join(known, "node"), "open")
+    open_rows = stage(at.join(mixed, ["band", "value"]), "open")
+    # any further link is between two of these, so what none of the others has cannot be shared
+    own = own_shingles(sets.join(open_rows.select("node").distinct(), "node", "left_semi"))
+    facts = known.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    open_rows = stage(open_rows.join(facts, "node"), "bounded")
     p = open_rows.where("component <> main").select(
-        "band", "value", F.struct("node", "component", "main", "n", "bands").alias("p"))
-    q = open_rows.select("band", "value", F.struct("node", "component", "main", "n", "bands").alias("q"))
+        "band", "value", F.struct("node", "component", "main", "n", "own", "bands").alias("p"))
+    q = open_rows.select("band", "value", F.struct("node", "component", "main", "n", "own", "bands").alias("q"))
     first_shared = F.array_position(F.zip_with("p.bands", "q.bands", lambda x, y: x == y), F.lit(True)) == F.col("band") + 1
     once = (F.col("q.component") == F.col("q.main")) | (F.col("p.node") < F.col("q.node"))  # both outside: one order
     rest = (p.join(q, ["band", "value"]).where(F.col("p.component") != F.col("q.component")).where(once)
-            .where(first_shared).where(_possible("p", "q", threshold))
+            .where(_bounded("p", "q", threshold)).where(first_shared).where(_possible("p", "q", threshold))
             .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct())
     more = stage(verified(stage(rest.join(stars, ["a", "b"], "left_anti"), "rest"), sets, threshold), "more")
 
