@@ -8,7 +8,7 @@ with a probability equal to their Jaccard similarity, also for short texts.
 
 Four registers are one band. Documents that share a band are candidates; a collision-corrected
 Jaccard estimate from all registers drops the hopeless ones, and the rest is verified on the
-full shingle sets. At a similarity of 0.75 a pair escapes all 32 bands with a probability of 5e-6.
+full shingle sets. At a similarity of 0.75 a pair escapes all BANDS = 32 bands with a probability of 5e-6.
 
 Large groups never become all pairs. Equal sets are one node from the start. In a first round
 each band bucket checks its members against its centre only, the member with the most company in all
@@ -31,7 +31,8 @@ from contrail.llm.components import components
 
 WORDS = 5
 THRESHOLD = 75  # per cent
-BUCKETS = 128  # registers, four to a band
+BUCKETS = 256  # registers, four to a band
+BANDS = 32  # bands that are looked up; all registers serve the estimate
 MANTISSA = 10  # bits
 #: standard deviations that an estimate may lie below the threshold before a pair is dropped unverified
 MARGIN = 4.5
@@ -186,7 +187,7 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
         .select(F.col("doc_id").alias("node"), "set_id", F.col("n_shingles").alias("n"), "bands")
         .dropDuplicates(["node", "set_id"]), "representatives")
 
-    rows = reps.select("node", F.posexplode("bands").alias("band", "value"))
+    rows = reps.select("node", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "value"))
     shared = rows.groupBy("band", "value").agg(F.count("*").alias("members")).where("members > 1")
     members = stage(rows.join(shared, ["band", "value"]), "members")
     # a node in many large buckets is likely to be near all that is in them: it is its buckets' centre
