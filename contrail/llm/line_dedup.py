@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import fold, id_text, stage
+from contrail.llm.common import id_text, stage
 
 THRESHOLD = 90  # per cent
 MIN_WORDS = 3
@@ -25,7 +25,7 @@ _SPACE = "[ \\t\\x0B\\f\\r]+"
 
 def _ranks(docs: DataFrame) -> Column:
     """Constant array: rank by corpus frequency of each hash bucket of words."""
-    words = id_text(docs).select(F.explode(F.split(fold(F.col("text")), "[ \\t\\n\\x0B\\f\\r]+")).alias("w")).where("w <> ''")
+    words = id_text(docs).select(F.explode(F.split(F.lower("text"), "[ \\t\\n\\x0B\\f\\r]+")).alias("w")).where("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).agg(F.count("*").alias("n"))
     found = {r["bucket"]: r["n"] for r in counts.collect()}  # BUCKETS rows at most
     order = sorted(range(BUCKETS), key=lambda b: (found.get(b, 0), b))
@@ -41,13 +41,12 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _words(line: Column, ranks: Column) -> Column:
     """Sorted distinct 63-bit word keys, rarest first: rank of the hash bucket, then the rest of the hash."""
-    def key(word: Column) -> Column:
-        h = F.xxhash64(word)
+    def key(h: Column) -> Column:
         rank = F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
         return F.shiftleft(rank, 49).bitwiseOR(F.shiftrightunsigned(h, 15))
 
-    return F.array_sort(F.array_distinct(F.transform(
-        F.split(F.trim(F.regexp_replace(fold(line), _SPACE, " ")), " "), key)))
+    hashes = F.transform(F.array_remove(F.split(F.lower(line), _SPACE), ""), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.transform(hashes, key)))
 
 
 def _least(n: Column, m: Column, threshold: int) -> Column:
@@ -58,7 +57,7 @@ def _least(n: Column, m: Column, threshold: int) -> Column:
 def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, line_no, first_doc_id, first_line_no of every line that an earlier line repeats.
 
-    Lines are split at \\n and compared as sets of lower-cased (A-Z) words; a line goes if
+    Lines are split at \\n and compared as sets of lower-cased words; a line goes if
     100 * |A & B| >= threshold * |A | B| for an earlier line, in order of (doc_id, line_no), whether
     or not that one goes too. The smallest such line is reported (of equal sets the first one).
 
@@ -69,39 +68,43 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
     """
     ranks = _ranks(docs)
     t = F.lit(threshold)
-    sets = _lines(docs).select("doc_id", "line_no", _words(F.col("line"), ranks).alias("words"))
     n = F.size("words")
-    sets = sets.where(n >= min_words)
-    lines = stage(sets.select(
+    lines = _lines(docs).select("doc_id", "line_no", _words(F.col("line"), ranks).alias("words")).select(
         "doc_id", "line_no", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(1), "words").alias("s2"), n.alias("n"),
-        F.slice("words", F.lit(1), n - F.ceil(n * t / 100).cast("int") + 1).alias("prefix")), "lines")
+        F.slice("words", F.lit(1), n - F.ceil(n * t / 100).cast("int") + 1).alias("prefix"))
+    # filtered after it is written: a filter before would work out the words twice
+    lines = stage(lines, "lines").where(F.col("n") >= min_words)
     classes = stage(lines.groupBy("s1", "s2").agg(
-        F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("f"), F.count("*").alias("copies")), "line_classes")
+        F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("f"), F.count("*").alias("copies"))
+        .withColumn("id", F.monotonically_increasing_id()), "line_classes")
 
-    words = classes.select(
-        "s1", "s2", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"),
-        F.posexplode("f.prefix").alias("i", "word"))
+    words = classes.select("id", F.col("f.n").alias("n"), F.posexplode("f.prefix").alias("i", "word"))
     a, b = words.alias("a"), words.alias("b")
     need = _least(F.col("a.n"), F.col("b.n"), threshold)
     pairs = a.join(b, F.col("a.word") == F.col("b.word")).where(
-        (F.col("a.at") < F.col("b.at"))
+        (F.col("a.id") < F.col("b.id"))
         & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * t)
         & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= need))
-    pairs = stage(pairs.select(F.col("a.at").alias("x"), F.col("b.at").alias("y"), F.col("b.s1").alias("s1"),
-                               F.col("b.s2").alias("s2")).distinct(), "line_pairs")
-
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("at")).distinct()
-    texts = id_text(docs).join(wanted.select(F.col("at.doc_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    full = _lines(texts).join(wanted.select("at.doc_id", "at.line_no"), ["doc_id", "line_no"], "left_semi").select(
-        F.struct("doc_id", "line_no").alias("at"), _words(F.col("line"), ranks).alias("words"))
-    full = stage(full, "line_sets")
+    pairs = stage(pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct(), "line_pairs")
+
+    wanted = classes.join(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "id", "left_semi")
+    wanted = wanted.groupBy(F.col("f.doc_id").alias("doc_id")).agg(
+        F.collect_list(F.struct("f.line_no", "id")).alias("wanted"))  # one document's lines
+    whole = id_text(docs).join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), "wanted")
+    full = whole.select("doc_id", F.explode(F.transform("wanted", lambda w: F.struct(
+        w["id"].alias("id"), w["line_no"].alias("line_no"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
+    full = stage(full.select(
+        F.col("w.id").alias("id"), F.struct("doc_id", F.col("w.line_no").alias("line_no")).alias("at"),
+        _words(F.col("w.line"), ranks).alias("words")), "line_sets")
     both = F.size(F.array_intersect("p", "q"))
-    close = (pairs.join(full.select(F.col("at").alias("x"), F.col("words").alias("p")), "x")
-             .join(full.select(F.col("at").alias("y"), F.col("words").alias("q")), "y")
+    close = (pairs.join(full.select(F.col("id").alias("x"), F.col("at").alias("at_x"), F.col("words").alias("p")), "x")
+             .join(full.select(F.col("id").alias("y"), F.col("at").alias("at_y"), F.col("words").alias("q")), "y")
              .where(both * 100 >= t * (F.size("p") + F.size("q") - both))
-             .groupBy("s1", "s2").agg(F.min("x").alias("earlier")))
+             .select(F.when(F.col("at_x") < F.col("at_y"), F.col("y")).when(F.col("at_y") < F.col("at_x"), F.col("x")).alias("id"),
+                     F.least("at_x", "at_y").alias("at")).where("id is not null")
+             .groupBy("id").agg(F.min("at").alias("earlier")))
 
-    hit = classes.join(close, ["s1", "s2"], "left").where("copies > 1 or earlier is not null").select(
+    hit = classes.join(close, "id", "left").where("copies > 1 or earlier is not null").select(
         "s1", "s2", F.struct("f.doc_id", "f.line_no").alias("own"), "earlier")
     at = F.struct("doc_id", "line_no")
     return lines.join(hit, ["s1", "s2"]).select(
