@@ -49,6 +49,12 @@ def _words(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(hashes, key)))
 
 
+def _parity(words: Column) -> Column:
+    """64 parity bits of a set: two sets' bits differ in no more places than the sets have words apart."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def _least(n: Column, m: Column, threshold: int) -> Column:
     """Overlap that two sets of n and m words need."""
     return F.ceil((n + m) * threshold / (100 + threshold))
@@ -71,20 +77,21 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
     n = F.size("words")
     lines = _lines(docs).select("doc_id", "line_no", _words(F.col("line"), ranks).alias("words")).select(
         "doc_id", "line_no", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(1), "words").alias("s2"), n.alias("n"),
-        F.slice("words", F.lit(1), n - F.ceil(n * t / 100).cast("int") + 1).alias("prefix"))
+        _parity(F.col("words")).alias("bits"), F.slice("words", F.lit(1), n - F.ceil(n * t / 100).cast("int") + 1).alias("prefix"))
     # filtered after it is written: a filter before would work out the words twice
     lines = stage(lines, "lines").where(F.col("n") >= min_words)
     classes = stage(lines.groupBy("s1", "s2").agg(
-        F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("f"), F.count("*").alias("copies"))
+        F.min(F.struct("doc_id", "line_no", "n", "bits", "prefix")).alias("f"), F.count("*").alias("copies"))
         .withColumn("id", F.monotonically_increasing_id()), "line_classes")
 
-    words = classes.select("id", F.col("f.n").alias("n"), F.posexplode("f.prefix").alias("i", "word"))
+    words = classes.select("id", F.col("f.n").alias("n"), F.col("f.bits").alias("bits"), F.posexplode("f.prefix").alias("i", "word"))
     a, b = words.alias("a"), words.alias("b")
     need = _least(F.col("a.n"), F.col("b.n"), threshold)
     pairs = a.join(b, F.col("a.word") == F.col("b.word")).where(
         (F.col("a.id") < F.col("b.id"))
         & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * t)
-        & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= need))
+        & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= need)
+        & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= F.col("a.n") + F.col("b.n") - need * 2))
     pairs = stage(pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct(), "line_pairs")
 
     wanted = classes.join(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "id", "left_semi")
