@@ -68,7 +68,6 @@ TOP_COUNTRIES_SPEED = 15
 EVOLUTION_LIMIT = 20
 HISTOGRAM_BINS = 50
 SAMPLE_FRACTION = 0.1
-SAMPLE_CAP = 10000
 SAMPLE_SEED = 42
 
 # Classifier.

@@ -13,8 +13,10 @@ def _c(x) -> Column:
 
 
 def epoch_to_timestamp(seconds) -> Column:
-    """Unix seconds -> TIMESTAMP, without a round trip through zone text."""
-    return F.timestamp_seconds(_c(seconds))
+    """Unix seconds -> TIMESTAMP, without a round trip through zone text; NULL outside years 1-9999
+    (a value in other units must not stop a stream)."""
+    s = _c(seconds)
+    return F.when(s.between(-62_135_596_800, 253_402_300_799), F.timestamp_seconds(s))
 
 
 def to_kmh(metres_per_second) -> Column:

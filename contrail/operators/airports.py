@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import materialize
+from contrail.session import folder_exists, materialize
 
 FINE = 0.25
 LEVELS = (1, 4, 16, 64, 256, 1024, 4096)      # coarse side = FINE * m degrees
@@ -249,19 +249,20 @@ class AirportIndex:
 
     For streams: a micro-batch only searches the cells no earlier batch has
     seen; the index is a Parquet folder (``path``, normally inside the
-    stream's own folder, so it survives restarts). It assumes the airport
-    table does not change for the life of that folder."""
+    stream's own folder, so it survives restarts). Each version of the airport
+    table has its own subfolder, named by a fingerprint of its rows."""
 
     def __init__(self, airports: DataFrame, path: str, broadcast_max_cells: int = BROADCAST_MAX_CELLS):
         self.airports = airports
-        self.path = path
+        rows = airports.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*airports.columns).cast("decimal(38,0)")).alias("h")).first()
+        self.path = f"{path.rstrip('/')}/airports-{rows['n']}-{rows['h'] or 0}"
         self.broadcast_max_cells = broadcast_max_cells
 
     def _known(self, spark):
-        try:
-            return spark.read.parquet(self.path)
-        except Exception:  # no index written yet
-            return None
+        if not folder_exists(spark, f"{self.path}/_SUCCESS"):
+            return None  # no index written yet; any other failure to read it is an error
+        # two queries that share the folder may both have added a cell
+        return spark.read.parquet(self.path).dropDuplicates(["_cx", "_cy"])
 
     def candidates(self, cells: DataFrame) -> tuple[DataFrame, bool]:
         spark = cells.sparkSession
@@ -271,7 +272,7 @@ class AirportIndex:
         if not new.isEmpty():
             k_new = candidate_airports(new, self.airports, distinct=False)
             k_new.write.mode("append").parquet(self.path)
-            known = spark.read.parquet(self.path)
+            known = self._known(spark)
         if known is None:  # no ground rows at all so far
             return candidate_airports(occupied, self.airports, distinct=False), True
         k = known.join(occupied, ["_cx", "_cy"], "left_semi")

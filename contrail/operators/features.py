@@ -40,23 +40,33 @@ DEFAULT_CHUNK = "1 hour"
 # rows / HOT_KEY_ROWS long and is broadcast up to BROADCAST_MAX_HOT entries.
 HOT_KEY_ROWS = 1_000_000
 BROADCAST_MAX_HOT = 100_000
+# Order of an aircraft's rows: time, then all other columns, so that only fully equal rows tie and no
+# value depends on how the input is laid out. NULLs first.
+ORDER = (TS, "callsign", "origin_country", "longitude", "latitude", "velocity_kmh", "altitude_meters",
+         "on_ground", "category")
 
 
-def temporal_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK) -> DataFrame:
+def _ties(df: DataFrame, *more: str) -> list[str]:
+    return [c for c in (*ORDER[1:], *more) if c in df.columns]
+
+
+def temporal_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK, keep_chunk: bool = False) -> DataFrame:
     """prev_altitude, prev_velocity, altitude_change, velocity_change, observation_rank.
 
     ``chunk=None``: plain window per aircraft; otherwise the chunked form
-    (``trailing``), for aircraft too large for one task. Same values."""
+    (``trailing``), for aircraft too large for one task. Same values. ``keep_chunk``
+    leaves the chunk column in, for a rolling window on the same partitioning."""
     if chunk is None:
-        w = Window.partitionBy(KEY).orderBy(TS)
+        w = Window.partitionBy(KEY).orderBy(TS, *_ties(df))
         out = (df.withColumn("prev_altitude", F.lag("altitude_meters").over(w))
                .withColumn("prev_velocity", F.lag("velocity_kmh").over(w))
                .withColumn("observation_rank", F.row_number().over(w)))
     else:
         out = trailing_rows(df, KEY, TS, ["altitude_meters", "velocity_kmh"], preceding=1,
-                            chunk=chunk, trail="_t1", pos="observation_rank")
+                            chunk=chunk, trail="_t1", pos="observation_rank", tiebreak=_ties(df))
         out = (out.withColumn("prev_altitude", previous("_t1", "altitude_meters"))
-               .withColumn("prev_velocity", previous("_t1", "velocity_kmh")).drop("_t1"))
+               .withColumn("prev_velocity", previous("_t1", "velocity_kmh"))
+               .drop("_t1", *([] if keep_chunk else [CHUNK_COL])))
     return (out.withColumn("altitude_change", F.col("altitude_meters") - F.col("prev_altitude"))
             .withColumn("velocity_change", F.col("velocity_kmh") - F.col("prev_velocity")))
 
@@ -68,7 +78,7 @@ def rolling_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK,
     # Rows sharing a timestamp (an observation kept once per equidistant
     # airport) are ordered by airport, so each copy gets the same window in
     # every run and engine.
-    tie = ["airport_icao"] if "airport_icao" in df.columns else []
+    tie = _ties(df, "airport_icao")
     if chunk is None:
         r = Window.partitionBy(KEY).orderBy(TS, *tie).rowsBetween(-preceding, 0)
         return (df.withColumn("rolling_avg_altitude", F.avg("altitude_meters").over(r))
@@ -92,7 +102,7 @@ def _features_path(clean: DataFrame, k: DataFrame, small: bool, chunk: str | Non
     """Steps 1-4 on one partitioning: (icao24) for ``chunk=None``, else
     (icao24, chunk). The airport attach is a broadcast or a cell join; the
     group minimum and both windows reuse the partitioning of step 1."""
-    temporal = temporal_features(clean, chunk)
+    temporal = temporal_features(clean, chunk, keep_chunk=True)
     kept = temporal.filter(F.col("on_ground").isNotNull())
     cells = ap.with_cell(kept, when=F.col("on_ground") == F.lit(True))
     keys = (KEY, CHUNK_COL, TS) if chunk else (KEY, TS)
@@ -138,7 +148,7 @@ def features_reference_order(clean: DataFrame, airports: DataFrame, chunk: str |
     """Same result as ``build_features`` composed from the public steps
     (each step plans its own exchange); kept for tests and reuse."""
     temporal = temporal_features(clean, chunk)
-    enriched = ap.enrich_ground(temporal.drop(CHUNK_COL) if chunk else temporal, airports)
+    enriched = ap.enrich_ground(temporal, airports)
     return with_phase(rolling_features(enriched, chunk)).select(*schemas.SILVER_ML_COLUMNS)
 
 

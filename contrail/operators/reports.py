@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import constants as K
+from contrail.session import materialize
 from contrail.functions import altitude_bucket
 from contrail.operators.trailing import previous, trail_mean
 
@@ -55,7 +56,7 @@ def velocity_rank_in_country(silver: DataFrame) -> DataFrame:
     w = Window.partitionBy("origin_country").orderBy(F.col("velocity_kmh").desc_nulls_last())
     ranks = per_speed.withColumn(
         "velocity_rank_in_country",
-        (F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).cast("int"),
+        (F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).cast("long"),
     ).drop("_n")
     on = [silver["origin_country"].eqNullSafe(ranks["origin_country"]),
           silver["velocity_kmh"].eqNullSafe(ranks["velocity_kmh"])]
@@ -83,6 +84,7 @@ def flight_evolution(silver: DataFrame, n: int = K.EVOLUTION_LIMIT) -> DataFrame
         .withColumn("_id", F.row_number().over(Window.orderBy("icao24", "event_timestamp")))
         .drop("_t")
     )
+    top = materialize(top, "evolution")  # used twice below, numbered once
     keys = top.select("_id", F.col("origin_country").alias("_country"), F.col("velocity_kmh").alias("_v"))
     faster = base.select("origin_country", "velocity_kmh").join(
         F.broadcast(keys),
@@ -92,7 +94,7 @@ def flight_evolution(silver: DataFrame, n: int = K.EVOLUTION_LIMIT) -> DataFrame
     ).groupBy("_id").agg(F.count(F.lit(1)).alias("_faster"))
     return (
         top.join(faster, "_id", "left")
-        .withColumn("velocity_rank_in_country", (F.coalesce("_faster", F.lit(0)) + 1).cast("int"))
+        .withColumn("velocity_rank_in_country", (F.coalesce("_faster", F.lit(0)) + 1).cast("long"))
         .select("icao24", "callsign", "origin_country", "event_timestamp", "altitude_meters",
                 "prev_altitude", "altitude_change", "rolling_avg_altitude", "velocity_rank_in_country")
         .orderBy("icao24", "event_timestamp")
@@ -112,16 +114,22 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------- plot numbers
 
 
-def sample_rows(df: DataFrame, fraction: float = K.SAMPLE_FRACTION, cap: int = K.SAMPLE_CAP,
-                seed: int = K.SAMPLE_SEED) -> DataFrame:
-    """Seeded Bernoulli sample capped at ``cap`` rows (the sampling operator)."""
-    return df.sample(fraction=fraction, seed=seed).limit(cap)
+def sample_rows(df: DataFrame, fraction: float = K.SAMPLE_FRACTION, seed: int = K.SAMPLE_SEED,
+                cap: int | None = None) -> DataFrame:
+    """Seeded sample of the whole table: rows whose hash of (seed, aircraft, time, airport) is in the
+    lowest ``fraction``. The same rows for any layout. ``cap``, if given, keeps the smallest hashes."""
+    parts = [F.lit(str(seed)), F.col("icao24"), F.unix_micros("event_timestamp").cast("string")]
+    if "airport_icao" in df.columns:
+        parts.append(F.col("airport_icao"))
+    score = F.md5(F.concat_ws("|", *(F.coalesce(p, F.lit("")) for p in parts)).cast("binary"))
+    out = df.where(F.substring(score, 1, 8) < F.lit(f"{min(int(fraction * 2 ** 32), 2 ** 32 - 1):08x}"))
+    return out if cap is None else out.orderBy(score).limit(cap)
 
 
 def phase_share(ml: DataFrame) -> DataFrame:
     """Rows per phase and their percentage of all rows."""
     counts = ml.groupBy("flight_phase").agg(F.count(F.lit(1)).alias("count"))
-    total = ml.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))  # a row per phase
     return counts.withColumn("share_pct", F.round(F.col("count") * F.lit(100.0) / total, 4))
 
 

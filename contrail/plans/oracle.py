@@ -59,7 +59,9 @@ temporal AS (
     velocity_kmh - lag(velocity_kmh) OVER w AS velocity_change,
     CAST(row_number() OVER w AS INTEGER) AS observation_rank
   FROM clean
-  WINDOW w AS (PARTITION BY icao24 ORDER BY event_timestamp)
+  WINDOW w AS (PARTITION BY icao24 ORDER BY event_timestamp NULLS FIRST, callsign NULLS FIRST, origin_country NULLS FIRST,
+    longitude NULLS FIRST, latitude NULLS FIRST, velocity_kmh NULLS FIRST, altitude_meters NULLS FIRST,
+    on_ground NULLS FIRST, category NULLS FIRST)
 )"""
 
 AIRPORTS = """
@@ -101,7 +103,9 @@ rolling AS (
     stddev_samp(altitude_meters) OVER r AS rolling_std_altitude,
     avg(velocity_kmh) OVER r AS rolling_avg_velocity
   FROM enriched
-  WINDOW r AS (PARTITION BY icao24 ORDER BY event_timestamp, airport_icao NULLS FIRST
+  WINDOW r AS (PARTITION BY icao24 ORDER BY event_timestamp NULLS FIRST, callsign NULLS FIRST, origin_country NULLS FIRST,
+    longitude NULLS FIRST, latitude NULLS FIRST, velocity_kmh NULLS FIRST, altitude_meters NULLS FIRST,
+    on_ground NULLS FIRST, category NULLS FIRST, airport_icao NULLS FIRST
                ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
 )"""
 

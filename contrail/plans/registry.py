@@ -65,23 +65,8 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return clean_ranges(silver(spark, sf))
 
 
-_INDEXES: dict[tuple, object] = {}
-
-
-def airport_index(spark: SparkSession, sf: str):
-    """One airport-candidate index per (application, data folder): the
-    queries of a session share the cells already searched."""
-    from contrail.operators.airports import AirportIndex
-    from contrail.session import scratch_path as _scratch
-
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _INDEXES:
-        _INDEXES[key] = AirportIndex(testdata.airports(spark, sf), _scratch(spark, "airport_index"))
-    return _INDEXES[key]
-
-
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return feat.build_features(clean(spark, sf), testdata.airports(spark, sf), index=airport_index(spark, sf))
+    return feat.build_features(clean(spark, sf), testdata.airports(spark, sf))
 
 
 ROLLING_COLS = ("rolling_avg_altitude", "rolling_std_altitude", "rolling_avg_velocity")
@@ -246,7 +231,7 @@ def q_altitude_distribution(spark, sf):
   altitude_meters - lag(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp) AS altitude_change,
   round(avg(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp
         ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 2) AS rolling_avg_altitude,
-  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS INTEGER)
+  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS BIGINT)
         AS velocity_rank_in_country
 FROM silver WHERE icao24 IS NOT NULL AND altitude_meters IS NOT NULL
 ORDER BY icao24, event_timestamp LIMIT 20"""))
@@ -255,7 +240,7 @@ def q_flight_evolution(spark, sf):
 
 
 @register("velocity_rank", O.q("silver", """SELECT *,
-  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS INTEGER)
+  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS BIGINT)
         AS velocity_rank_in_country FROM silver"""))
 def q_velocity_rank(spark, sf):
     return present(RP.velocity_rank_in_country(silver(spark, sf)))
@@ -271,7 +256,8 @@ def q_layer_counts(spark, sf):
                             "silver_ml": feat.build_features(clean_ranges(s), testdata.airports(spark, sf))})
 
 
-@register("sample_rows")
+@register("sample_rows", ORACLE["features_full"] + """ WHERE substr(md5(concat_ws('|', '42', coalesce(icao24, ''),
+  coalesce(CAST(epoch_us(event_timestamp) AS VARCHAR), ''), coalesce(airport_icao, ''))), 1, 8) < '19999999'""")
 def q_sample_rows(spark, sf):
     return present(RP.sample_rows(features(spark, sf)), ROLLING_COLS)
 

@@ -103,6 +103,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "contrail", *parts, uuid.uuid4().hex])
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def table_path(root: str, *parts: str) -> str:
     """``table_path('s3a://lake', 'silver', 'flights')`` -> ``s3a://lake/silver/flights``."""
     return "/".join([root.rstrip("/"), *parts])

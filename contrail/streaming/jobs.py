@@ -26,6 +26,7 @@ from contrail.operators import gold
 from contrail.operators.airports import AirportIndex
 from contrail.operators.features import build_features
 from contrail.operators.silver import clean_ranges, to_silver
+from contrail.session import folder_exists
 from contrail.sources.tables import read_table_stream, write_stream
 from contrail.sources.wire import parse_wire
 
@@ -47,7 +48,9 @@ def start_silver(bronze_stream: DataFrame, path: str, checkpoint: str, fmt: str
 
 def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", index_path: str | None = None):
     """``foreachBatch`` function: one Bronze micro-batch -> Silver_ML rows
-    written to ``path/batch_id=<id>`` (replay-safe).
+    written to ``path/batch_id=<id>``. A replayed batch whose folder is already
+    there (it appears whole, when the write commits) is skipped: rewriting it would give
+    its rows to readers of the folder a second time.
 
     ``index_path``: folder of the airport-candidate index shared by the
     batches (default: next to the output), so a batch only searches cells
@@ -55,6 +58,8 @@ def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", i
     index = AirportIndex(airports, index_path or path.rstrip("/") + "_airport_index")
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        if folder_exists(batch.sparkSession, f"{path.rstrip('/')}/batch_id={batch_id}"):
+            return
         batch.persist()  # read by the cell search and by the feature plan
         try:
             ml = build_features(clean_ranges(to_silver(batch)), airports, index=index)

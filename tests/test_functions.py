@@ -61,3 +61,22 @@ def test_kmh_and_percent_and_distance(spark):
                   planar_distance("a", "b", "c", "d").alias("dist")).first()
     assert r.k == 36.0 and r.p == "12.5%" and r.dist == 5.0
     assert spark.range(1).select(percent_text(F.lit(0.1)).alias("p")).first().p == "10.0%"
+
+
+def test_epoch_out_of_range_is_null(spark):
+    from contrail.functions.flight import epoch_to_timestamp
+
+    df = spark.createDataFrame([(0,), (1_700_000_000_000_000,), (10 ** 15 * 3,), (None,)], "s long")
+    got = [r[0] for r in df.select(epoch_to_timestamp("s").cast("string")).collect()]
+    assert got == ["1970-01-01 00:00:00", None, None, None]
+
+
+def test_sample_reads_the_whole_table(spark):
+    from contrail.operators.reports import sample_rows
+
+    df = spark.range(0, 200_000, numPartitions=8).select(
+        F.concat(F.lit("a"), F.col("id")).alias("icao24"), F.timestamp_seconds("id").alias("event_timestamp"), "id")
+    out = sample_rows(df)
+    assert abs(out.count() - 20_000) < 1_000 and out.agg(F.max("id")).first()[0] > 199_000
+    assert sorted(sample_rows(df.repartition(3)).collect()) == sorted(out.collect())
+    assert sample_rows(df, cap=10).count() == 10

@@ -78,7 +78,9 @@ def test_feature_batch_replay_is_idempotent(spark, tmp_dir):
           None, None, None, None, None, None, 1) for i in range(5)], schemas.WIRE)
     process = jobs.feature_batch_writer(airports, out)
     process(bronze, 0)
-    process(bronze, 0)          # replay of the same batch id
+    files = sorted(os.listdir(f"{out}/batch_id=0"))
+    process(bronze, 0)          # replay of the same batch id: readers of the folder see no new file
+    assert sorted(os.listdir(f"{out}/batch_id=0")) == files
     process(bronze, 1)
     df = spark.read.parquet(out)
     assert df.count() == 10 and df.filter("batch_id = 0").count() == 5
@@ -101,6 +103,28 @@ def test_airport_index_reuse_matches_fresh_search(spark, tmp_dir):
         fresh = sorted(build_features(clean, airports).collect(), key=key)
         reused = sorted(build_features(clean, airports, index=index).collect(), key=key)
         assert fresh == reused
-        sizes.append(spark.read.parquet(os.path.join(tmp_dir, "index")).count())
+        sizes.append(spark.read.parquet(index.path).count())
     cells = with_cell(clean_ranges(to_silver(bronze)).filter("on_ground")).select("_cx", "_cy").distinct().count()
     assert sizes[2] == sizes[1] == cells          # the third batch saw no new cell
+
+
+def test_changed_airports_get_their_own_index(spark, tmp_dir):
+    from contrail.operators.airports import AirportIndex
+
+    path = os.path.join(tmp_dir, "index")
+    old, new, again = (AirportIndex(spark.createDataFrame([(code, code, "c", place, place)], schemas.AIRPORTS), path).path
+                       for code, place in (("FAR", 9.0), ("NEAR", 0.0), ("FAR", 9.0)))
+    assert old == again != new and old.startswith(path) and new.startswith(path)
+
+
+def test_unreadable_index_is_an_error_not_an_empty_one(spark, tmp_dir):
+    import pytest
+
+    from contrail.operators.airports import AirportIndex
+
+    airports = spark.createDataFrame([("P", "p", "c", 0.0, 0.0)], schemas.AIRPORTS)
+    index = AirportIndex(airports, os.path.join(tmp_dir, "index"))
+    os.makedirs(index.path)
+    open(os.path.join(index.path, "_SUCCESS"), "w").close()  # committed, but without readable files
+    with pytest.raises(Exception):
+        index.candidates(spark.createDataFrame([(0, 0)], "_cx long, _cy long"))

@@ -45,3 +45,20 @@ def test_chunked_equals_plain(spark, seed, chunk):
     a = sorted(plain.select(cols).collect())
     b = sorted(chunked.select(cols).collect())
     assert a == b   # bit-identical, not approximately equal
+
+
+def test_ties_do_not_depend_on_layout(spark):
+    from contrail.operators.features import rolling_features, temporal_features
+
+    rnd = random.Random(9)
+    rows = [(f"k{rnd.randrange(3)}", 1_700_000_000 + rnd.randrange(60), float(rnd.randrange(100)), float(rnd.randrange(50)))
+            for _ in range(600)]  # several rows per aircraft and second
+    df = (spark.createDataFrame(rows, "icao24 string, t long, altitude_meters double, velocity_kmh double")
+          .withColumn("event_timestamp", F.timestamp_seconds("t")))
+    results = []
+    for n, chunk in ((7, None), (3, None), (5, "10 seconds"), (1, "1 minute")):
+        out = rolling_features(temporal_features(df.repartition(n), chunk=chunk), chunk=chunk)
+        assert chunk is not None or "_chunk" not in out.columns
+        results.append(sorted(out.select("icao24", "t", "altitude_meters", "velocity_kmh", "prev_altitude", "observation_rank",
+                                         "rolling_avg_altitude", "rolling_std_altitude").collect(), key=str))
+    assert all(r == results[0] for r in results)
