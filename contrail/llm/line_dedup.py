@@ -8,6 +8,9 @@ the length filter and the positional filter (what is left after the shared posit
 the overlap) act, and what remains is verified on the full sets.
 
 Lines with equal sets are one class from the start, so frequent lines cost one row in the join.
+A group of near copies does not become all pairs either: a line is first checked against the earliest
+line of each of its prefix words. Only lines earlier than the match found there can still
+change the result, so the join proper is left with those.
 """
 
 from __future__ import annotations
@@ -60,6 +63,40 @@ def _least(n: Column, m: Column, threshold: int) -> Column:
     return F.ceil((n + m) * threshold / (100 + threshold))
 
 
+def _possible(a: str, b: str, threshold: int) -> Column:
+    """Length, positional and parity filter of two postings of one word."""
+    a_n, b_n = F.col(f"{a}.n"), F.col(f"{b}.n")
+    need = _least(a_n, b_n, threshold)
+    return ((F.least(a_n, b_n) * 100 >= F.greatest(a_n, b_n) * threshold)
+            & (F.least(a_n - F.col(f"{a}.i"), b_n - F.col(f"{b}.i")) >= need)
+            & (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= a_n + b_n - need * 2))
+
+
+def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: Column, name: str) -> DataFrame:
+    """id, at, words of those of ``classes`` that are in ``pairs``; the words come from the texts."""
+    wanted = classes.join(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "id", "left_semi")
+    wanted = wanted.groupBy(F.col("f.doc_id").alias("doc_id")).agg(
+        F.collect_list(F.struct("f.line_no", "id", "s1", "s2")).alias("wanted"))  # one document's lines
+    whole = id_text(docs).join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), "wanted")
+    full = whole.select("doc_id", F.explode(F.transform("wanted", lambda w: F.struct(
+        w["id"].alias("id"), w["line_no"].alias("line_no"), w["s1"].alias("s1"), w["s2"].alias("s2"),
+        F.get("lines", w["line_no"]).alias("line")))).alias("w"))
+    full = stage(full.select(
+        F.col("w.id").alias("id"), F.struct("doc_id", F.col("w.line_no").alias("line_no")).alias("at"),
+        F.col("w.s1").alias("s1"), F.col("w.s2").alias("s2"), _words(F.col("w.line"), ranks).alias("words")), name)
+    # of rows that repeat a doc_id only the one with the class's own words counts
+    return full.where((F.xxhash64("words") == F.col("s1")) & (F.xxhash64(F.lit(1), "words") == F.col("s2"))).drop("s1", "s2")
+
+
+def _earliest(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """id, earlier: for each x of ``pairs`` the earliest of its y whose words are similar enough."""
+    both = F.size(F.array_intersect("p", "q"))
+    return (pairs.join(sets.select(F.col("id").alias("x"), F.col("words").alias("p")), "x")
+            .join(sets.select(F.col("id").alias("y"), "at", F.col("words").alias("q")), "y")
+            .where(both * 100 >= F.lit(threshold) * (F.size("p") + F.size("q") - both))
+            .groupBy(F.col("x").alias("id")).agg(F.min("at").alias("earlier")))
+
+
 def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, line_no, first_doc_id, first_line_no of every line that an earlier line repeats.
 
@@ -84,32 +121,27 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
         F.min(F.struct("doc_id", "line_no", "n", "bits", "prefix")).alias("f"), F.count("*").alias("copies"))
         .withColumn("id", F.monotonically_increasing_id()), "line_classes")
 
-    words = classes.select("id", F.col("f.n").alias("n"), F.col("f.bits").alias("bits"), F.posexplode("f.prefix").alias("i", "word"))
-    a, b = words.alias("a"), words.alias("b")
-    need = _least(F.col("a.n"), F.col("b.n"), threshold)
-    pairs = a.join(b, F.col("a.word") == F.col("b.word")).where(
-        (F.col("a.id") < F.col("b.id"))
-        & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * t)
-        & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= need)
-        & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= F.col("a.n") + F.col("b.n") - need * 2))
-    pairs = stage(pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct(), "line_pairs")
-
-    wanted = classes.join(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "id", "left_semi")
-    wanted = wanted.groupBy(F.col("f.doc_id").alias("doc_id")).agg(
-        F.collect_list(F.struct("f.line_no", "id")).alias("wanted"))  # one document's lines
-    whole = id_text(docs).join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), "wanted")
-    full = whole.select("doc_id", F.explode(F.transform("wanted", lambda w: F.struct(
-        w["id"].alias("id"), w["line_no"].alias("line_no"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
-    full = stage(full.select(
-        F.col("w.id").alias("id"), F.struct("doc_id", F.col("w.line_no").alias("line_no")).alias("at"),
-        _words(F.col("w.line"), ranks).alias("words")), "line_sets")
-    both = F.size(F.array_intersect("p", "q"))
-    close = (pairs.join(full.select(F.col("id").alias("x"), F.col("at").alias("at_x"), F.col("words").alias("p")), "x")
-             .join(full.select(F.col("id").alias("y"), F.col("at").alias("at_y"), F.col("words").alias("q")), "y")
-             .where(both * 100 >= t * (F.size("p") + F.size("q") - both))
-             .select(F.when(F.col("at_x") < F.col("at_y"), F.col("y")).when(F.col("at_y") < F.col("at_x"), F.col("x")).alias("id"),
-                     F.least("at_x", "at_y").alias("at")).where("id is not null")
-             .groupBy("id").agg(F.min("at").alias("earlier")))
+    postings = classes.select(
+        "id", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"), F.col("f.bits").alias("bits"),
+        F.posexplode("f.prefix").alias("i", "word"))
+    row = F.struct("at", "id", "n", "bits", "i")
+    # the earliest line of every prefix word that two classes or more have
+    leads = stage(postings.groupBy("word").agg(F.min(row).alias("lead"), F.count("*").alias("m")).where("m > 1").drop("m"), "line_leads")
+    own = postings.select("word", row.alias("x")).join(leads, "word").where("lead.at < x.at")
+
+    first = stage(own.where(_possible("x", "lead", threshold)).select(
+        F.col("x.id").alias("x"), F.col("lead.id").alias("y")).distinct(), "line_pairs_lead")
+    sets = _sets(docs, classes, first, ranks, "line_sets")
+    known = stage(_earliest(first, sets, threshold), "line_matches_lead")
+
+    # what is left: lines earlier than the earliest match so far, under words whose earliest line is earlier than that
+    open_ = own.join(known, F.col("x.id") == known["id"], "left").withColumn("until", F.coalesce("earlier", "x.at")).where(
+        "lead.at < until").select("word", "x", "until", F.col("lead.id").alias("lead_id"))
+    rest = open_.join(postings.select("word", row.alias("y")), "word").where(
+        (F.col("y.at") < F.col("until")) & (F.col("y.id") != F.col("lead_id")) & _possible("x", "y", threshold))
+    rest = stage(rest.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct(), "line_pairs")
+    more = _sets(docs, classes.join(sets.select("id"), "id", "left_anti"), rest, ranks, "line_sets_more")
+    close = known.unionByName(_earliest(rest, sets.unionByName(more), threshold)).groupBy("id").agg(F.min("earlier").alias("earlier"))
 
     hit = classes.join(close, "id", "left").where("copies > 1 or earlier is not null").select(
         "s1", "s2", F.struct("f.doc_id", "f.line_no").alias("own"), "earlier")
