@@ -9,8 +9,9 @@ the overlap) act, and what remains is verified on the full sets.
 
 Lines with equal sets are one class from the start, so frequent lines cost one row in the join.
 A group of near copies does not become all pairs either: a line is first checked against the earliest
-line of each of its prefix words. Only lines earlier than the match found there can still
-change the result, so the join proper is left with those.
+line of each of its common prefix words (of COMMON_FROM classes or more; a rarer word adds at most
+that many pairs a line). Only lines earlier than the match found there can still change the
+result, so the join proper is left with those.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from contrail.llm.common import id_text, stage
 
 THRESHOLD = 90  # per cent
 MIN_WORDS = 3
+#: classes of a prefix word from which on the word's earliest line is tried before the others (the result is the same)
+COMMON_FROM = 64
 BUCKETS = 1 << 14
 _SPACE = "[ \\t\\x0B\\f\\r]+"
 
@@ -97,7 +100,8 @@ def _earliest(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             .groupBy(F.col("x").alias("id")).agg(F.min("at").alias("earlier")))
 
 
-def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS,
+                  common_from: int = COMMON_FROM) -> DataFrame:
     """doc_id, line_no, first_doc_id, first_line_no of every line that an earlier line repeats.
 
     Lines are split at \\n and compared as sets of lower-cased words; a line goes if
@@ -121,24 +125,27 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
         F.min(F.struct("doc_id", "line_no", "n", "bits", "prefix")).alias("f"), F.count("*").alias("copies"))
         .withColumn("id", F.monotonically_increasing_id()), "line_classes")
 
-    postings = classes.select(
-        "id", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"), F.col("f.bits").alias("bits"),
-        F.posexplode("f.prefix").alias("i", "word"))
-    row = F.struct("at", "id", "n", "bits", "i")
-    # the earliest line of every prefix word that two classes or more have
-    leads = stage(postings.groupBy("word").agg(F.min(row).alias("lead"), F.count("*").alias("m")).where("m > 1").drop("m"), "line_leads")
-    own = postings.select("word", row.alias("x")).join(leads, "word").where("lead.at < x.at")
+    def postings(of: DataFrame, *more: str) -> DataFrame:
+        return of.select("id", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"), F.col("f.bits").alias("bits"),
+                         *more, F.posexplode("f.prefix").alias("i", "word"))
 
-    first = stage(own.where(_possible("x", "lead", threshold)).select(
+    row = F.struct("at", "id", "n", "bits", "i")
+    # the earliest line of every prefix word of many classes
+    common = stage(classes.select(F.explode("f.prefix").alias("word")).groupBy("word").agg(F.count("*").alias("m"))
+                   .where(F.col("m") >= common_from).select("word"), "line_common")
+    leads = stage(postings(classes).join(common, "word").groupBy("word").agg(F.min(row).alias("lead")), "line_leads")
+    first = stage(postings(classes).select("word", row.alias("x")).join(leads, "word").where(
+        (F.col("lead.at") < F.col("x.at")) & _possible("x", "lead", threshold)).select(
         F.col("x.id").alias("x"), F.col("lead.id").alias("y")).distinct(), "line_pairs_lead")
     sets = _sets(docs, classes, first, ranks, "line_sets")
     known = stage(_earliest(first, sets, threshold), "line_matches_lead")
 
-    # what is left: lines earlier than the earliest match so far, under words whose earliest line is earlier than that
-    open_ = own.join(known, F.col("x.id") == known["id"], "left").withColumn("until", F.coalesce("earlier", "x.at")).where(
-        "lead.at < until").select("word", "x", "until", F.col("lead.id").alias("lead_id"))
-    rest = open_.join(postings.select("word", row.alias("y")), "word").where(
-        (F.col("y.at") < F.col("until")) & (F.col("y.id") != F.col("lead_id")) & _possible("x", "y", threshold))
+    # the join proper: lines earlier than the earliest match so far, under words whose earliest line is earlier than that
+    until = classes.join(known, "id", "left").withColumn("until", F.coalesce("earlier", F.struct("f.doc_id", "f.line_no")))
+    x = postings(until, "until").join(leads, "word", "left").where("lead is null or lead.at < until").select(
+        "word", F.struct("id", "until", "n", "bits", "i").alias("x"))
+    rest = x.join(postings(classes).select("word", row.alias("y")), "word").where(
+        (F.col("y.at") < F.col("x.until")) & _possible("x", "y", threshold))
     rest = stage(rest.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct(), "line_pairs")
     more = _sets(docs, classes.join(sets.select("id"), "id", "left_anti"), rest, ranks, "line_sets_more")
     close = known.unionByName(_earliest(rest, sets.unionByName(more), threshold)).groupBy("id").agg(F.min("earlier").alias("earlier"))
