@@ -26,16 +26,34 @@ from contrail.session import scratch_path
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder, read it back; the files go when the driver ends."""
+def _folder(spark, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def stage(df: DataFrame, name: str, held: list[str] | None = None) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder, read it back; the files go when the driver ends.
+
+    The path is added to ``held``, for an operator that can :func:`discard` them earlier.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    folder, files = _folder(spark, path)
+    files.deleteOnExit(folder)
+    if held is not None:
+        held.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark, held: list[str]) -> None:
+    """Delete staged tables that nothing will read again."""
+    for path in held:
+        folder, files = _folder(spark, path)
+        files.delete(folder, True)
+    held.clear()
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -19,19 +19,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import id_text, stage
+from contrail.llm.common import discard, id_text, stage
 
 THRESHOLD = 90  # per cent
 MIN_WORDS = 3
 #: classes of a prefix word from which on the word's earliest line is tried before the others (the result is the same)
 COMMON_FROM = 64
 BUCKETS = 1 << 14
-_SPACE = "[ \\t\\x0B\\f\\r]+"
+
+
+def _split(text: Column, breaks: str = "\t\x0B\f\r") -> Column:
+    """Words and empty strings between blanks and ``breaks`` (a single-character split needs no regular expression)."""
+    for c in breaks:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.split(text, " ")
 
 
 def _ranks(docs: DataFrame) -> Column:
     """Constant array: rank by corpus frequency of each hash bucket of words."""
-    words = id_text(docs).select(F.explode(F.split(F.lower("text"), "[ \\t\\n\\x0B\\f\\r]+")).alias("w")).where("w <> ''")
+    words = id_text(docs).select(F.explode(_split(F.lower("text"), "\t\n\x0B\f\r")).alias("w")).where("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).agg(F.count("*").alias("n"))
     found = {r["bucket"]: r["n"] for r in counts.collect()}  # BUCKETS rows at most
     order = sorted(range(BUCKETS), key=lambda b: (found.get(b, 0), b))
@@ -51,7 +57,7 @@ def _words(line: Column, ranks: Column) -> Column:
         rank = F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
         return F.shiftleft(rank, 49).bitwiseOR(F.shiftrightunsigned(h, 15))
 
-    hashes = F.transform(F.array_remove(F.split(F.lower(line), _SPACE), ""), lambda w: F.xxhash64(w))
+    hashes = F.transform(F.array_remove(_split(F.lower(line)), ""), lambda w: F.xxhash64(w))
     return F.sort_array(F.array_distinct(F.transform(hashes, key)))
 
 
@@ -75,7 +81,7 @@ def _possible(a: str, b: str, threshold: int) -> Column:
             & (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= a_n + b_n - need * 2))
 
 
-def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: Column, name: str) -> DataFrame:
+def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: Column, name: str, held: list[str]) -> DataFrame:
     """id, at, words of those of ``classes`` that are in ``pairs``; the words come from the texts."""
     wanted = classes.join(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "id", "left_semi")
     wanted = wanted.groupBy(F.col("f.doc_id").alias("doc_id")).agg(
@@ -86,7 +92,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: Column,
         F.get("lines", w["line_no"]).alias("line")))).alias("w"))
     full = stage(full.select(
         F.col("w.id").alias("id"), F.struct("doc_id", F.col("w.line_no").alias("line_no")).alias("at"),
-        F.col("w.s1").alias("s1"), F.col("w.s2").alias("s2"), _words(F.col("w.line"), ranks).alias("words")), name)
+        F.col("w.s1").alias("s1"), F.col("w.s2").alias("s2"), _words(F.col("w.line"), ranks).alias("words")), name, held)
     # of rows that repeat a doc_id only the one with the class's own words counts
     return full.where((F.xxhash64("words") == F.col("s1")) & (F.xxhash64(F.lit(1), "words") == F.col("s2"))).drop("s1", "s2")
 
@@ -113,6 +119,7 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
     repeat a doc_id have lines of the same rank, which do not remove each other. Empty tables
     give an empty result; extra columns are not read.
     """
+    held: list[str] = []
     ranks = _ranks(docs)
     t = F.lit(threshold)
     n = F.size("words")
@@ -120,10 +127,10 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
         "doc_id", "line_no", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(1), "words").alias("s2"), n.alias("n"),
         _parity(F.col("words")).alias("bits"), F.slice("words", F.lit(1), n - F.ceil(n * t / 100).cast("int") + 1).alias("prefix"))
     # filtered after it is written: a filter before would work out the words twice
-    lines = stage(lines, "lines").where(F.col("n") >= min_words)
+    lines = stage(lines, "lines", held).where(F.col("n") >= min_words)
     classes = stage(lines.groupBy("s1", "s2").agg(
         F.min(F.struct("doc_id", "line_no", "n", "bits", "prefix")).alias("f"), F.count("*").alias("copies"))
-        .withColumn("id", F.monotonically_increasing_id()), "line_classes")
+        .withColumn("id", F.monotonically_increasing_id()), "line_classes", held)
 
     def postings(of: DataFrame, *more: str) -> DataFrame:
         return of.select("id", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"), F.col("f.bits").alias("bits"),
@@ -132,13 +139,13 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
     row = F.struct("at", "id", "n", "bits", "i")
     # the earliest line of every prefix word of many classes
     common = stage(classes.select(F.explode("f.prefix").alias("word")).groupBy("word").agg(F.count("*").alias("m"))
-                   .where(F.col("m") >= common_from).select("word"), "line_common")
-    leads = stage(postings(classes).join(common, "word").groupBy("word").agg(F.min(row).alias("lead")), "line_leads")
+                   .where(F.col("m") >= common_from).select("word"), "line_common", held)
+    leads = stage(postings(classes).join(common, "word").groupBy("word").agg(F.min(row).alias("lead")), "line_leads", held)
     first = stage(postings(classes).select("word", row.alias("x")).join(leads, "word").where(
         (F.col("lead.at") < F.col("x.at")) & _possible("x", "lead", threshold)).select(
-        F.col("x.id").alias("x"), F.col("lead.id").alias("y")).distinct(), "line_pairs_lead")
-    sets = _sets(docs, classes, first, ranks, "line_sets")
-    known = stage(_earliest(first, sets, threshold), "line_matches_lead")
+        F.col("x.id").alias("x"), F.col("lead.id").alias("y")).distinct(), "line_pairs_lead", held)
+    sets = _sets(docs, classes, first, ranks, "line_sets", held)
+    known = stage(_earliest(first, sets, threshold), "line_matches_lead", held)
 
     # the join proper: lines earlier than the earliest match so far, under words whose earliest line is earlier than that
     until = classes.join(known, "id", "left").withColumn("until", F.coalesce("earlier", F.struct("f.doc_id", "f.line_no")))
@@ -146,17 +153,20 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
         "word", F.struct("id", "until", "n", "bits", "i").alias("x"))
     rest = x.join(postings(classes).select("word", row.alias("y")), "word").where(
         (F.col("y.at") < F.col("x.until")) & _possible("x", "y", threshold))
-    rest = stage(rest.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct(), "line_pairs")
-    more = _sets(docs, classes.join(sets.select("id"), "id", "left_anti"), rest, ranks, "line_sets_more")
+    rest = stage(rest.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct(), "line_pairs", held)
+    more = _sets(docs, classes.join(sets.select("id"), "id", "left_anti"), rest, ranks, "line_sets_more", held)
     close = known.unionByName(_earliest(rest, sets.unionByName(more), threshold)).groupBy("id").agg(F.min("earlier").alias("earlier"))
 
     hit = classes.join(close, "id", "left").where("copies > 1 or earlier is not null").select(
         "s1", "s2", F.struct("f.doc_id", "f.line_no").alias("own"), "earlier")
     at = F.struct("doc_id", "line_no")
-    return lines.join(hit, ["s1", "s2"]).select(
+    out = lines.join(hit, ["s1", "s2"]).select(
         "doc_id", "line_no", F.when(at > F.col("own"), F.least("own", "earlier")).otherwise(F.col("earlier")).alias("first")
     ).where("first is not null").select(
         "doc_id", "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
+    out = stage(out, "removed_lines")
+    discard(docs.sparkSession, held)
+    return out
 
 
 def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
