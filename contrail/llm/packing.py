@@ -153,25 +153,31 @@ class Places:
 def tokenizer(path: str) -> Callable[[bytes], bytes]:
     """Text -> its ids as little-endian 32-bit integers.
 
-    The vocabulary drops white space between words, so a text's ids are its words' ids in order; words
-    (runs without ASCII white space) are encoded once and kept, up to a bound.
+    The vocabulary drops white space between words and lower-cases, so a text's ids are the ids of its
+    lower-cased words (runs without ASCII white space) in order. Words are encoded once and kept, one
+    at a time: a batch call would start threads beside Spark's own tasks. Of a full cache, the words
+    used since it filled up last stay.
     """
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(path)
     coder.encode_special_tokens = True  # their strings in a text are ordinary text
     known: dict[bytes, bytes] = {}
+    older: dict[bytes, bytes] = {}
 
     def ids(text: bytes) -> bytes:
-        words = text.split()
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) > _CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            coded = coder.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(new, coded, strict=True))
-        return b"".join(map(known.__getitem__, words))
+        nonlocal known, older
+        words = text.lower().split()
+        new = {w for w in words if w not in known}
+        for w in new:
+            found = older.get(w)
+            if found is None:
+                found = np.array(coder.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            known[w] = found
+        out = b"".join(map(known.__getitem__, words))
+        if len(known) > _CACHE_WORDS:
+            known, older = {}, known
+        return out
 
     return ids
 
