@@ -7,10 +7,12 @@ kinds / (total + kinds), and bytes of the longer context are excluded in the sho
 longer context's bytes always occur in its suffix, the exclusion is one subtraction per context,
 precomputed with the model, and whole texts are scored with array operations.
 
-The model is broadcast, so its size is bounded: contexts seen fewer than 2^t times are left out, with
-the smallest t that leaves at most MAX_ENTRIES keys per order (their bytes are scored by the
-next shorter context). Word counts for the base score are not bounded: the HEAD most frequent
-words are broadcast, all others are joined by a shuffle.
+What is learned grows with the input, what is broadcast does not: contexts seen at least 2^t times are
+broadcast, with the smallest t that leaves at most MAX_ENTRIES keys per order. A context's shorter
+contexts are at least as frequent, so a byte after a broadcast context is scored from the broadcast part
+alone. All other bytes become distinct keys per text, which are joined by a shuffle with the counts of
+the rarer contexts (fewer than 2^t symbols each); the score is the same for any bound. Word counts are
+treated alike: the HEAD most frequent words are broadcast, all others are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -113,8 +115,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return id_text(docs).select("text").mapInArrow(_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def gram_counts(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """(k, key, n): counts per order k and packed (context of k symbols, symbol), small enough to broadcast."""
+def gram_counts(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES) -> tuple[DataFrame, DataFrame | None]:
+    """Counts per order k and packed (context of k symbols, symbol), in two parts.
+
+    (k, key, n) of the frequent contexts, small enough to broadcast; and (k, context, total, kinds,
+    less, symbols) of all others, where ``less`` is what the context's symbols count one order below and
+    ``symbols`` maps each to its count. None if there are no others.
+    """
     top = stage(id_text(docs).select("text").mapInArrow(_count(order), "key long, n long")
                 .groupBy("key").agg(F.sum("n").alias("n")), "grams")
     levels = [top.select(F.lit(order).alias("k"), "key", "n")]
@@ -132,9 +139,18 @@ def gram_counts(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTR
     least = above.where(F.col("kept") > max_entries).agg(F.coalesce(F.max("size") + 1, F.lit(0)).alias("least"))
     threshold = least.first()["least"]
     if threshold == 0:
-        return grams
-    keep = totals.where(F.col("size") >= threshold).select("k", "context")
-    return grams.withColumn("context", contexts).join(keep, ["k", "context"], "left_semi").select("k", "key", "n")
+        return grams, None
+    grams, totals = stage(grams.withColumn("context", contexts), "gram_levels"), stage(totals, "gram_totals")
+    head = grams.join(totals.where(F.col("size") >= threshold), ["k", "context"], "left_semi").select("k", "key", "n")
+    below = grams.select((F.col("k") + 1).alias("k"), F.col("key").alias("shorter"), F.col("n").alias("below"))
+    # at most 257 keys share a shorter one
+    rare = (grams.join(totals.where(F.col("size") < threshold).select("k", "context"), ["k", "context"])
+            .withColumn("shorter", F.col("key").bitwiseAND(F.expr(f"shiftleft(1L, {_BITS} * k) - 1")))
+            .join(below, ["k", "shorter"], "left"))
+    symbol = F.col("key").bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
+    return head, stage(rare.groupBy("k", "context").agg(
+        F.sum("n").alias("total"), F.count("*").alias("kinds"), F.coalesce(F.sum("below"), F.lit(0)).alias("less"),
+        F.map_from_entries(F.collect_list(F.struct(symbol, "n"))).alias("symbols")), "rare_contexts")
 
 
 class Ppm:
@@ -189,45 +205,83 @@ class Ppm:
             look = look[(out[look] >= 0) & (self.keys[self.order][out[look]] != keys[look])]
         return out
 
-    def escaped(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of keys through escapes, from the highest order down, with exclusion."""
+    def _look(self, k: int, key: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Total, kinds and exclusion of each key's context and the key's count; zeros where not known."""
+        if not len(self.keys[k]):
+            return tuple(np.zeros(len(key)) for _ in range(4))
+        context = key >> np.uint64(_BITS)
+        at = np.minimum(np.searchsorted(self.contexts[k], context), len(self.contexts[k]) - 1)
+        known = self.contexts[k][at] == context
+        entry = np.minimum(np.searchsorted(self.keys[k], key), len(self.keys[k]) - 1)
+        return (self.total[k][at] * known, self.kinds[k][at] * known, self.less[k][at] * known,
+                self.counts[k][entry] * (self.keys[k][entry] == key))
+
+    def reach(self, keys: np.ndarray) -> np.ndarray:
+        """Highest order whose context is known, -1 if none."""
+        out = np.full(len(keys), -1)
+        for k in range(self.order + 1):
+            if len(self.contexts[k]):
+                context = (keys & np.uint64((1 << _BITS * (k + 1)) - 1)) >> np.uint64(_BITS)
+                at = np.minimum(np.searchsorted(self.contexts[k], context), len(self.contexts[k]) - 1)
+                out[self.contexts[k][at] == context] = k
+        return out
+
+    def escaped(self, keys: np.ndarray, rare: list[tuple[np.ndarray, ...]] | None = None) -> np.ndarray:
+        """log10 probability of keys through escapes, from the highest order down, with exclusion.
+
+        ``rare``: per order what :meth:`_look` gives, for contexts that the model does not hold.
+        """
         out = np.zeros(len(keys))
         open_ = np.arange(len(keys))
         less, fewer = np.zeros(len(keys)), np.zeros(len(keys))  # counts and kinds excluded by the level above
         for k in range(self.order, -1, -1):
-            key = keys[open_] & np.uint64((1 << _BITS * (k + 1)) - 1)
-            context, at = key >> np.uint64(_BITS), None
-            if not len(self.keys[k]):
-                continue
-            at = np.minimum(np.searchsorted(self.contexts[k], context), len(self.contexts[k]) - 1)
-            known = self.contexts[k][at] == context
-            total = self.total[k][at] - less[open_]
-            kinds = self.kinds[k][at] - fewer[open_]
-            live = known & (kinds > 0)
-            entry = np.minimum(np.searchsorted(self.keys[k], key), len(self.keys[k]) - 1)
-            hit = live & (self.keys[k][entry] == key)
+            total, kinds, below, count = self._look(k, keys[open_] & np.uint64((1 << _BITS * (k + 1)) - 1))
+            if rare is not None:
+                total, kinds, below, count = (
+                    np.where(kinds > 0, own, other[open_]) for own, other in zip((total, kinds, below, count), rare[k], strict=True))
+            known = kinds > 0
+            total, left = total - less[open_], kinds - fewer[open_]
+            live = known & (left > 0)
+            hit = live & (count > 0)
             with np.errstate(divide="ignore", invalid="ignore"):
-                found = np.log10(self.counts[k][entry] / (total + kinds))
-                escape = np.log10(kinds / (total + kinds))
+                found = np.log10(count / (total + left))
+                escape = np.log10(left / (total + left))
             out[open_[hit]] += found[hit]
             gone = live & ~hit
             out[open_[gone]] += escape[gone]
             # the level below loses this context's bytes (all of them, with what they count there)
-            less[open_[known]] = self.less[k][at[known]]
-            fewer[open_[known]] = self.kinds[k][at[known]]
+            less[open_[known]] = below[known]
+            fewer[open_[known]] = kinds[known]
             open_ = open_[~hit]
         out[open_] -= np.log10(np.maximum(_EDGE + 1 - fewer[open_], 1))
         return out
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text with its end."""
+    def rare(self, keys: np.ndarray) -> np.ndarray:
+        """Which keys have a longest context that the model does not hold."""
+        contexts, wanted = self.contexts[self.order], keys >> np.uint64(_BITS)
+        if not len(contexts):
+            return np.ones(len(keys), bool)
+        return contexts[np.minimum(np.searchsorted(contexts, wanted), len(contexts) - 1)] != wanted
+
+    def missed(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys of a text that :meth:`rare` holds for, and how often each occurs."""
+        keys = _keys([text], self.order)[0]
+        keys, times = np.unique(keys[self.find(keys) < 0], return_counts=True)
+        rare = self.rare(keys)
+        return keys[rare], times[rare]
+
+    def score(self, texts: list[bytes], whole: bool = True) -> np.ndarray:
+        """log10 probability of each text with its end; without its rare keys if the model is not ``whole``."""
         keys, sizes = _keys(texts, self.order)
         at = self.find(keys)
         logs = self.direct[at] if len(self.direct) else np.zeros(len(keys))
         miss = np.flatnonzero(at < 0)
         if len(miss):
             kinds, back = np.unique(keys[miss], return_inverse=True)
-            logs[miss] = self.escaped(kinds)[back]
+            found = self.escaped(kinds)
+            if not whole:
+                found[self.rare(kinds)] = 0.0
+            logs[miss] = found[back]
         return np.add.reduceat(logs, np.cumsum(sizes) - sizes)
 
 
@@ -244,7 +298,7 @@ def _head(sums, hashes: np.ndarray):
     return at, words[at] == hashes
 
 
-def _score(model, head):
+def _score(model, head, whole):
     cache = {}
 
     def run(batches: Batches) -> Batches:
@@ -252,7 +306,7 @@ def _score(model, head):
             cache["ppm"] = Ppm(model.value)
         for batch in batches:
             texts = text_bytes(batch)
-            scores = [cache["ppm"].score(group) for group in _pieces(texts)]
+            scores = [cache["ppm"].score(group, whole) for group in _pieces(texts)]
             words, known, base, keys = [], [], [], []
             for t in texts:
                 hashes = word_hashes(t.lower().split())
@@ -290,6 +344,65 @@ def _tail(head):
     return run
 
 
+def _missed(model):
+    def run(batches: Batches) -> Batches:
+        ppm = Ppm(model.value)
+        for batch in batches:
+            for t in set(text_bytes(batch)):
+                keys, times = ppm.missed(t)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_text_key(t)] * len(keys), pa.binary()), longs(keys), pa.array(times.astype(np.int64))],
+                    ["text_key", "key", "times"])
+
+    return run
+
+
+def _contexts(model):
+    """Every context of a key, longest first, down to the first that the model holds."""
+    def run(batches: Batches) -> Batches:
+        ppm = Ppm(model.value)
+        for batch in batches:
+            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+            reach = ppm.reach(keys)
+            for k in range(ppm.order + 1):
+                at = keys[reach < k]
+                context = (at & np.uint64((1 << _BITS * (k + 1)) - 1)) >> np.uint64(_BITS)
+                yield pa.RecordBatch.from_arrays([longs(at), pa.array(np.full(len(at), k, np.int32)), longs(context)],
+                                                 ["key", "k", "context"])
+
+    return run
+
+
+_STATS = ("total", "kinds", "less", "n")
+
+
+def _finish(model):
+    def run(batches: Batches) -> Batches:
+        ppm = Ppm(model.value)
+        for batch in batches:
+            rare = [tuple(batch.column(f"{c}_{k}").to_numpy(zero_copy_only=False).astype(np.float64) for c in _STATS)
+                    for k in range(ppm.order + 1)]
+            logs = ppm.escaped(batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64), rare)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(logs)], ["key", "log"])
+
+    return run
+
+
+def _rare_sums(base: DataFrame, model, rare_contexts: DataFrame, order: int) -> DataFrame:
+    """(text_key, rare_sum): log10 probability of each text's keys that the broadcast part does not score."""
+    # a text may come from several tasks: keep one of its equal rows
+    found = stage(base.select("text").mapInArrow(_missed(model), "text_key binary, key long, times long")
+                  .groupBy("text_key", "key").agg(F.max("times").alias("times")), "missed")
+    chain = found.select("key").distinct().mapInArrow(_contexts(model), "key long, k int, context long")
+    count = F.get(F.map_values(F.map_filter("symbols", lambda s, n: s == F.col("key").bitwiseAND(F.lit((1 << _BITS) - 1)))), F.lit(0))
+    chain = chain.join(rare_contexts, ["k", "context"], "left").withColumn("n", count)
+    per_key = chain.groupBy("key").agg(*(
+        F.coalesce(F.max(F.when(F.col("k") == k, F.col(c))), F.lit(0)).cast("long").alias(f"{c}_{k}")
+        for k in range(order + 1) for c in _STATS))
+    logs = per_key.mapInArrow(_finish(model), "key long, log double")
+    return found.join(logs, "key").groupBy("text_key").agg(F.sum(F.col("times") * F.col("log")).alias("rare_sum"))
+
+
 def ppm_scores(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, head: int = HEAD) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -303,7 +416,8 @@ def ppm_scores(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRI
     base = id_text(docs)
     train = base.where(~held_out(F.col("doc_id")))
 
-    grams = gram_counts(train, order, max_entries).toArrow()
+    frequent, rare_contexts = gram_counts(train, order, max_entries)
+    grams = frequent.toArrow()
     k, key, n = (grams.column(c).to_numpy() for c in ("k", "key", "n"))
     tables = []
     for level in range(order + 1):
@@ -323,7 +437,7 @@ def ppm_scores(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRI
     common = spark.sparkContext.broadcast((words[by], np.log10(counts[by] + 0.5)))
 
     rows = base.mapInArrow(
-        _score(model, common),
+        _score(model, common, rare_contexts is None),
         "doc_id long, text_key binary, words long, head_known long, head_sum double, score double")
     tail = base.select("text").mapInArrow(_tail(common), "text_key binary, word long, times long")
     # a text may come from several tasks: keep one of its equal rows
@@ -331,6 +445,9 @@ def ppm_scores(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRI
             .join(vocabulary, "word", "left").groupBy("text_key").agg(
                 F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail_sum"),
                 F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known")))
+    if rare_contexts is not None:
+        rows = rows.join(_rare_sums(base, model, rare_contexts, order), "text_key", "left").withColumn(
+            "score", F.col("score") + F.coalesce("rare_sum", F.lit(0.0))).drop("rare_sum")
     log_end, log_all = float(np.log10(ends + 0.5)), float(np.log10(spread))
     return rows.join(tail, "text_key", "left").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), (F.col("words") + 1).alias("n_tokens"),
