@@ -10,6 +10,7 @@ from contrail.functions.flight import (  # noqa: F401
     in_clean_ranges,
     percent_text,
     planar_distance,
+    row_score,
     to_kmh,
     velocity_anomaly,
     wallclock_utc,

@@ -87,3 +87,11 @@ def hour_minute(ts) -> Column:
 def wallclock_utc(ts) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ holding the UTC wall clock (session zone is UTC)."""
     return _c(ts).cast("timestamp_ntz")
+
+
+def row_score(df, seed: int) -> Column:
+    """First 8 hex digits of the MD5 of (seed, aircraft, time, airport if there): uniform, the same in any engine."""
+    parts = [F.lit(str(seed)), F.col("icao24"), F.unix_micros("event_timestamp").cast("string")]
+    if "airport_icao" in df.columns:
+        parts.append(F.col("airport_icao"))
+    return F.substring(F.md5(F.concat_ws("|", *(F.coalesce(p, F.lit("")) for p in parts)).cast("binary")), 1, 8)

@@ -55,6 +55,11 @@ def _clamp(c: Column, bounds) -> Column:
     return F.least(F.greatest(c, F.lit(bounds[0])), F.lit(bounds[1]))
 
 
+# cell numbers of rows without a cell in a shuffle join: below every real cell, spread over so many values
+_NO_CELL = -(1 << 40)
+_NO_CELL_SPREAD = 1 << 20
+
+
 def with_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude", when: Column | None = None) -> DataFrame:
     """Add the fine cell (``_cx``, ``_cy``); NULL where ``when`` is false."""
     cx, cy = _cell(F.col(lon)), _cell(F.col(lat))
@@ -168,10 +173,17 @@ def materialize_candidates(cells: DataFrame, airports: DataFrame,
 def attach_candidates(df: DataFrame, k: DataFrame, small: bool) -> DataFrame:
     """Join K on the fine cell; add ``_cands`` (with ``dist``) and ``_rmin``.
 
-    Rows with a NULL cell (not on the ground) get NULLs.
+    Rows with a NULL cell (not on the ground) get NULLs. In the shuffle form they are most of the data and
+    would all hash alike, so they get cell numbers of their own, spread by row and matching no cell.
     """
-    side = F.broadcast(k) if small else k
-    out = df.join(side, on=["_cx", "_cy"], how="left")
+    if small:
+        out = df.join(F.broadcast(k), on=["_cx", "_cy"], how="left")
+    else:
+        spread = F.lit(_NO_CELL) - F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(_NO_CELL_SPREAD))
+        keyed = df.withColumn("_jx", F.coalesce(F.col("_cx").cast("long"), spread)).withColumn(
+            "_jy", F.coalesce(F.col("_cy").cast("long"), F.lit(_NO_CELL)))
+        side = k.select(F.col("_cx").cast("long").alias("_jx"), F.col("_cy").cast("long").alias("_jy"), "_cands")
+        out = keyed.join(side, on=["_jx", "_jy"], how="left").drop("_jx", "_jy")
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
 
     def with_dist(a):

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import constants as K
+from contrail.functions import row_score
 
 FEATURES = list(K.FEATURE_COLUMNS)
 LABEL = "flight_phase"
@@ -46,8 +47,29 @@ def build_pipeline(features: Sequence[str] = FEATURES, label: str = LABEL, trees
     ])
 
 
-def split(df: DataFrame, weights=(K.TRAIN_FRACTION, K.TEST_FRACTION), seed: int = K.SPLIT_SEED):
-    return df.randomSplit(list(weights), seed=seed)
+def split(df: DataFrame, train_fraction: float = K.TRAIN_FRACTION, seed: int = K.SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
+    """(training rows, test rows) by a hash of (seed, aircraft, time, airport).
+
+    A row's side does not depend on layout or on how often the input is computed; the observations
+    that share aircraft, time and airport go together.
+    """
+    score = row_score(df, seed)
+    limit = F.lit(f"{min(int(train_fraction * 2 ** 32), 2 ** 32 - 1):08x}")
+    return df.where(score < limit), df.where(score >= limit)
+
+
+def label_index(train_df: DataFrame, label: str = LABEL) -> DataFrame:
+    """(label value, index) that a fit on ``train_df`` gives: by frequency, ties by name."""
+    labels = build_pipeline(label=label).getStages()[0].fit(train_df).labels
+    return train_df.sparkSession.createDataFrame(list(zip(labels, map(float, range(len(labels))))), f"{label} string, label double")
+
+
+def scaled_features(train_df: DataFrame, df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """``df`` with each feature divided by its sample standard deviation over ``train_df`` (0 where that is 0)."""
+    _, assemble, scale, _ = build_pipeline(features).getStages()
+    fitted = PipelineModel(stages=[assemble, scale.fit(assemble.transform(train_df))])
+    values = vector_to_array("features")
+    return fitted.transform(df).withColumns({f: values[i] for i, f in enumerate(features)}).drop("features_raw", "features")
 
 
 def train(train_df: DataFrame, **params) -> PipelineModel:

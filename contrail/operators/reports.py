@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from contrail import constants as K
 from contrail.session import materialize
-from contrail.functions import altitude_bucket
+from contrail.functions import altitude_bucket, row_score
 from contrail.operators.trailing import previous, trail_mean
 
 # --------------------------------------------------------------- SQL reports
@@ -118,11 +118,8 @@ def sample_rows(df: DataFrame, fraction: float = K.SAMPLE_FRACTION, seed: int =
                 cap: int | None = None) -> DataFrame:
     """Seeded sample of the whole table: rows whose hash of (seed, aircraft, time, airport) is in the
     lowest ``fraction``. The same rows for any layout. ``cap``, if given, keeps the smallest hashes."""
-    parts = [F.lit(str(seed)), F.col("icao24"), F.unix_micros("event_timestamp").cast("string")]
-    if "airport_icao" in df.columns:
-        parts.append(F.col("airport_icao"))
-    score = F.md5(F.concat_ws("|", *(F.coalesce(p, F.lit("")) for p in parts)).cast("binary"))
-    out = df.where(F.substring(score, 1, 8) < F.lit(f"{min(int(fraction * 2 ** 32), 2 ** 32 - 1):08x}"))
+    score = row_score(df, seed)
+    out = df.where(score < F.lit(f"{min(int(fraction * 2 ** 32), 2 ** 32 - 1):08x}"))
     return out if cap is None else out.orderBy(score).limit(cap)
 
 

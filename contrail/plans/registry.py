@@ -484,19 +484,14 @@ def q_stream_anomalies(spark, sf):
 
 from contrail.operators import classify as ML  # noqa: E402
 
-_MODELS: dict[tuple, tuple] = {}
+def _split(spark, sf):
+    """(training rows, test rows); written once, because every training job reads them again."""
+    return ML.split(materialize(ML.ml_input(features(spark, sf)), "ml_input"))
 
 
 def _fitted(spark, sf):
-    """Fit once per (application, data folder); the four ML queries share it."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MODELS:
-        # Written once: the split is then stable and the features are not
-        # recomputed by every training / evaluation job.
-        data = materialize(ML.ml_input(features(spark, sf)), "ml_input")
-        train_df, test_df = ML.split(data)
-        _MODELS[key] = (ML.train(train_df), test_df)
-    return _MODELS[key]
+    train_df, test_df = _split(spark, sf)
+    return ML.train(train_df), test_df
 
 
 _ML_INPUT_SQL = ", ".join(f"coalesce({c}, 0) AS {c}" for c in ML.FEATURES)
@@ -538,6 +533,74 @@ def q_importance(spark, sf):
     return ML.feature_importance(model)
 
 
+# ---- parts of the classifier that SQL can recompute
+
+_SCORE = """substr(md5(concat_ws('|', '42', coalesce(icao24, ''),
+  coalesce(CAST(epoch_us(event_timestamp) AS VARCHAR), ''), coalesce(airport_icao, ''))), 1, 8)"""
+_TRAIN = f"{int(ML.K.TRAIN_FRACTION * 2 ** 32):08x}"
+_ML_CTE = (f"""ml AS (SELECT event_timestamp, icao24, callsign, flight_phase, {_ML_INPUT_SQL},
+  {_SCORE} < '{_TRAIN}' AS training FROM features WHERE flight_phase IS NOT NULL)""",
+           """idx AS (SELECT flight_phase, CAST(row_number() OVER (ORDER BY count(*) DESC, flight_phase) - 1 AS DOUBLE) AS label
+  FROM ml WHERE training GROUP BY 1)""")
+
+
+@register("label_index", O.q("features", "SELECT flight_phase, label FROM idx", *_ML_CTE))
+def q_label_index(spark, sf):
+    return ML.label_index(_split(spark, sf)[0])
+
+
+@register("test_rows", O.q("features", """SELECT event_timestamp, icao24, callsign, flight_phase
+FROM ml WHERE NOT training""", *_ML_CTE))
+def q_test_rows(spark, sf):
+    return present(_split(spark, sf)[1].select("event_timestamp", "icao24", "callsign", "flight_phase"))
+
+
+@register("scaled_features", O.q("features", "SELECT event_timestamp, icao24, " + ", ".join(
+    f"round(coalesce({c} / nullif((SELECT stddev_samp({c}) FROM ml WHERE training), 0), 0), 4) AS {c}" for c in ML.FEATURES)
+    + " FROM ml", *_ML_CTE))
+def q_scaled_features(spark, sf):
+    train_df, test_df = _split(spark, sf)
+    out = ML.scaled_features(train_df, train_df.unionByName(test_df))
+    return present(out.select("event_timestamp", "icao24", *ML.FEATURES), ML.FEATURES, 4)
+
+
+def _ruled(spark, sf):
+    """Test rows with a prediction by a rule that SQL can recompute (the nearest phase by altitude alone)."""
+    train_df, test_df = _split(spark, sf)
+    index = F.broadcast(ML.label_index(train_df))  # a row per phase
+    guess = F.when(F.col("altitude_meters") > 8000, "CRUISE").when(F.col("altitude_change") > 20, "CLIMB").when(
+        F.col("altitude_change") < -20, "DESCENT").otherwise("GROUND")
+    rows = test_df.select("flight_phase", guess.alias("predicted_label")).join(index, "flight_phase")
+    return rows.join(index.select(F.col("flight_phase").alias("predicted_label"), F.col("label").alias("prediction")), "predicted_label")
+
+
+_RULED_CTE = (*_ML_CTE, """ruled AS (SELECT m.flight_phase, p.flight_phase AS predicted_label FROM (
+  SELECT flight_phase, CASE WHEN altitude_meters > 8000 THEN 'CRUISE' WHEN altitude_change > 20 THEN 'CLIMB'
+    WHEN altitude_change < -20 THEN 'DESCENT' ELSE 'GROUND' END AS guess FROM ml WHERE NOT training) m
+  JOIN idx t ON t.flight_phase = m.flight_phase JOIN idx p ON p.flight_phase = m.guess)""",
+              """per_label AS (SELECT l AS label, count(*) FILTER (flight_phase = l) AS n,
+  count(*) FILTER (predicted_label = l) AS guessed, count(*) FILTER (flight_phase = l AND predicted_label = l) AS hit
+  FROM ruled CROSS JOIN (SELECT DISTINCT flight_phase AS l FROM ruled) GROUP BY 1)""")
+
+
+@register("confusion_check", O.q("features", """SELECT flight_phase, predicted_label, count(*) AS count
+FROM ruled GROUP BY 1, 2""", *_RULED_CTE))
+def q_confusion_check(spark, sf):
+    return ML.confusion_matrix(_ruled(spark, sf))
+
+
+@register("evaluation_check", O.q("features", """SELECT round(sum(hit) / sum(n), 9) AS accuracy,
+  round(sum(n * CASE WHEN hit = 0 THEN 0 ELSE 2.0 * hit / (n + guessed) END) / sum(n), 9) AS f1 FROM per_label""", *_RULED_CTE))
+def q_evaluation_check(spark, sf):
+    return present(ML.evaluate(_ruled(spark, sf)), ("accuracy", "f1"), 9)
+
+
+@register("importance_check", "SELECT CAST(7 AS BIGINT) AS features, CAST(1.0 AS DOUBLE) AS total")
+def q_importance_check(spark, sf):
+    model, _ = _fitted(spark, sf)
+    return ML.feature_importance(model).agg(F.countDistinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
 # ------------------------------------------------------ SQL text and density
 
 from contrail.operators import sql_reports as SQLR  # noqa: E402

@@ -55,3 +55,14 @@ def test_rank_in_country_is_not_a_window_over_rows(silver):
     p = plan(reports.velocity_rank_in_country(silver))
     # the only window runs over the per-(country, speed) aggregate
     assert "partial_count" in p and p.count("Window [") == 1
+
+
+def test_airborne_rows_spread_in_the_shuffle_form(spark, silver):
+    """Rows without a cell join on spread keys of their own, not all on one NULL."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(build_features(clean_ranges(silver), testdata.airports(spark, SF), broadcast_max_cells=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(re.findall(r"SortMergeJoin \[_jx", p)) == 1 and "SortMergeJoin [_cx" not in p
