@@ -22,7 +22,11 @@ from pyspark.sql import functions as F
 from contrail.llm.common import discard, id_text, stage
 
 THRESHOLD = 90  # per cent
+#: least distinct words of a line that takes part in the similarity join; for fewer only equal sets are similar
+#: enough (2 of 3 words shared is less than any threshold above 66 per cent)
 MIN_WORDS = 3
+#: least distinct words of a line that goes if it repeats an earlier line's set: a line without words stays
+MIN_EQUAL = 1
 #: classes of a prefix word from which on the word's earliest line is tried before the others (the result is the same)
 COMMON_FROM = 64
 BUCKETS = 1 << 14
@@ -107,15 +111,18 @@ def _earliest(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS,
-                  common_from: int = COMMON_FROM) -> DataFrame:
+                  common_from: int = COMMON_FROM, min_equal: int | None = None) -> DataFrame:
     """doc_id, line_no, first_doc_id, first_line_no of every line that an earlier line repeats.
 
     Lines are split at \\n and compared as sets of lower-cased words; a line goes if
     100 * |A & B| >= threshold * |A | B| for an earlier line, in order of (doc_id, line_no), whether
     or not that one goes too. The smallest such line is reported (of equal sets the first one).
 
-    Lines with fewer than ``min_words`` distinct words stay and remove nothing. NULL and empty texts
-    have no such lines; rows with a NULL doc_id neither lose lines nor remove any. Rows that
+    Lines with fewer than ``min_words`` distinct words are not compared for similarity. Those with
+    ``min_equal`` or more (None: ``min_words``; the registered query and the pipeline take MIN_EQUAL)
+    still go if an earlier line has an equal set, lines of a script without blanks (one word each)
+    among them; the others stay and remove nothing. Lines without words always stay. NULL and empty texts
+    have no other lines; rows with a NULL doc_id neither lose lines nor remove any. Rows that
     repeat a doc_id have lines of the same rank, which do not remove each other. Empty tables
     give an empty result; extra columns are not read.
     """
@@ -127,10 +134,11 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
         "doc_id", "line_no", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(1), "words").alias("s2"), n.alias("n"),
         _parity(F.col("words")).alias("bits"), F.slice("words", F.lit(1), n - F.ceil(n * t / 100).cast("int") + 1).alias("prefix"))
     # filtered after it is written: a filter before would work out the words twice
-    lines = stage(lines, "lines", held).where(F.col("n") >= min_words)
-    classes = stage(lines.groupBy("s1", "s2").agg(
+    lines = stage(lines, "lines", held).where(F.col("n") >= max(min_words if min_equal is None else min_equal, 1))
+    every = stage(lines.groupBy("s1", "s2").agg(
         F.min(F.struct("doc_id", "line_no", "n", "bits", "prefix")).alias("f"), F.count("*").alias("copies"))
         .withColumn("id", F.monotonically_increasing_id()), "line_classes", held)
+    classes = every.where(F.col("f.n") >= min_words)
 
     def postings(of: DataFrame, *more: str) -> DataFrame:
         return of.select("id", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"), F.col("f.bits").alias("bits"),
@@ -157,7 +165,7 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
     more = _sets(docs, classes.join(sets.select("id"), "id", "left_anti"), rest, ranks, "line_sets_more", held)
     close = known.unionByName(_earliest(rest, sets.unionByName(more), threshold)).groupBy("id").agg(F.min("earlier").alias("earlier"))
 
-    hit = classes.join(close, "id", "left").where("copies > 1 or earlier is not null").select(
+    hit = every.join(close, "id", "left").where("copies > 1 or earlier is not null").select(
         "s1", "s2", F.struct("f.doc_id", "f.line_no").alias("own"), "earlier")
     at = F.struct("doc_id", "line_no")
     out = lines.join(hit, ["s1", "s2"]).select(
@@ -169,12 +177,13 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
     return out
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS,
+                min_equal: int | None = None) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text`` (n_chars, if there, follows); no row is dropped.
 
     A document that loses all its lines keeps its row, with an empty text. A NULL text stays NULL.
     """
-    gone = removed_lines(docs, threshold, min_words).groupBy(F.col("doc_id").alias("_doc")).agg(
+    gone = removed_lines(docs, threshold, min_words, min_equal=min_equal).groupBy(F.col("doc_id").alias("_doc")).agg(
         F.collect_set("line_no").alias("_gone"))  # one document's lines
     lines = F.split("text", "\n")
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))

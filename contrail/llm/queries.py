@@ -71,7 +71,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(documents(spark, sf_dir))
+    return line_dedup.removed_lines(documents(spark, sf_dir), min_equal=line_dedup.MIN_EQUAL)
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

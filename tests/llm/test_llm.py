@@ -135,6 +135,25 @@ def test_removed_lines_brute(spark, texts):
         assert out[i].text == left and out[i].row == "r"
 
 
+def test_short_repeats_removed(spark, texts, tmp_dir):
+    import corpus_pipeline
+    from contrail.llm.queries import QUERIES
+
+    more = [(200, "Read more\n\n欢迎访问我们的网站\nread  MORE\n---"), (201, "Read more\n\nRead\n欢迎访问我们的网站\n欢迎\n---"), (202, "\n \nread")]
+    docs = table(spark, [*texts, *more])
+    lines = [(i, k, set(x.lower().split())) for i, t in [*texts, *more] for k, x in enumerate((t or "").split("\n"))]
+    want = []
+    for n, (i, k, s) in enumerate(lines):
+        hit = [x[:2] for x in lines[:n] if s and 100 * len(x[2] & s) >= 90 * len(x[2] | s)]
+        if hit:
+            want.append((i, k, *min(hit)))
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    got = QUERIES["op6_line_dedup"](spark, tmp_dir)
+    assert pairs(got, "doc_id", "line_no", "first_doc_id", "first_line_no") == sorted(want)
+    out = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, tmp_dir).collect()}
+    assert (out[200], out[201], out[202]) == ("Read more\n\n欢迎访问我们的网站\n---", "\nRead\n欢迎", "\n ")
+
+
 def test_removed_lines_any_common_from(spark, texts):
     cols = ("doc_id", "line_no", "first_doc_id", "first_line_no")
     docs = table(spark, texts)
