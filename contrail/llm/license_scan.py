@@ -13,20 +13,27 @@ from pyspark.sql import functions as F
 
 from contrail.llm.license_texts import KNOWN
 
-#: fixed values: equivalent spellings, each written as the second
+#: fixed values: equivalent spellings, each written as the second; the first is one word, so that no line break divides it
 SPELLINGS = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("licencing", "licensing"),
-    ("sublicence", "sublicense"), ("sub license", "sublicense"), ("acknowledgement", "acknowledgment"),
+    ("sublicence", "sub license"), ("sublicense", "sub license"), ("acknowledgement", "acknowledgment"),
     ("favour", "favor"), ("fulfilment", "fulfillment"),
     ("initialise", "initialize"), ("judgement", "judgment"), ("labour", "labor"), ("organisation", "organization"),
-    ("non commercial", "noncommercial"), ("per cent", "percent"), ("copyright holder", "copyright owner"),
-    ("copyright holders", "copyright owners"), ("whilst", "while"), ("wilful", "willful"), ("https", "http"),
+    ("noncommercial", "non commercial"), ("percent", "per cent"), ("holder", "owner"),
+    ("holders", "owners"), ("whilst", "while"), ("wilful", "willful"), ("https", "http"),
 )
-_COPYRIGHT = "(?m)^[^\\p{L}\\p{N}\\n(©]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*$"
+#: what follows "copyright" in the running text of a license, where a wrapped line may begin with it
+_RUNNING = ("(?:notice|holder|owner|law|license|licence|statement|interest|disclaimer|permission|doctrine|line|protection)s?"
+            "|ownership|treaty|treaties|and|or|in|on|if|are|is|also|the +(?:software|library|program|work)")
+_NOTICE = (f"copyright(?![\\p{{L}}\\p{{N}}]|-\\p{{L}})(?![^\\p{{L}}\\p{{N}}\\n(©<\\[{{]*+(?:(?:{_RUNNING})(?![\\p{{L}}\\p{{N}}])|$))"
+           "(?![,;.\"')\\]]++[ \\t]*+(?![\\p{N}(©]))"
+           "|\\(c\\)[ \\t]*+(?:copyright(?!\\p{L})|[\\p{N}<\\[{]|(?!(?:you|under) )(?:\\S++[ \\t]*+){1,4}+$)"  # "(c)" may also number a clause
+           "|©|all rights reserved")
+_COPYRIGHT = f"(?m)^[^\\p{{L}}\\p{{N}}\\n(©]*(?:{_NOTICE})[^\\n]*$"
 
 
 def canonical(text: Column) -> Column:
-    """Canonical form; line breaks stay. A line that gives notice of copyright becomes empty."""
+    """Canonical form; line breaks stay. A line that gives notice of copyright (a year, sign or name follows) becomes empty."""
     out = F.regexp_replace(F.lower(text), _COPYRIGHT, "")
     out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\n]+", "  ")  # two spaces: every word has its own on either side
     out = F.concat(F.lit(" "), F.replace(out, F.lit("\n"), F.lit(" \n ")), F.lit(" "))

@@ -1,4 +1,6 @@
-"""Known license texts and notices (fixed values: the public wording of each license)."""
+"""Known license texts and notices (fixed values: the public wording of each license; the long ones in ``licenses``)."""
+
+from importlib import resources
 
 _MIT = """MIT License
 
@@ -28,11 +30,85 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
-#: (license_id, text): whole licenses first, then one-line notices
-KNOWN = (
+_BSD_HEAD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_CLAUSES = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+)
+_BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _file(name: str) -> str:
+    return resources.files("contrail.llm").joinpath("licenses", f"{name}.txt").read_text("utf-8")
+
+
+def _bsd(clauses: int) -> list[str]:
+    """Clauses numbered or behind bullets; the usual wordings for contributors, holders and author."""
+    out = []
+    for mark in ("{}. ", "* "):
+        body = "\n\n".join([_BSD_HEAD, *(mark.format(k) + c for k, c in enumerate(_BSD_CLAUSES[:clauses], 1)), _BSD_TAIL])
+        for text in (body, body.replace("names of its contributors", "names of contributors")):
+            out += [text, text.replace("SHALL THE COPYRIGHT HOLDER OR", "SHALL THE COPYRIGHT HOLDERS OR"),
+                    text.replace("SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE", "SHALL <COPYRIGHT HOLDER> BE"),
+                    text.replace("THE COPYRIGHT HOLDERS AND", "THE AUTHOR AND").replace("THE COPYRIGHT HOLDER OR", "THE AUTHOR OR")]
+    return list(dict.fromkeys(out))
+
+
+def _titled(license_id: str, bodies: list[str], *titles: str) -> list[tuple[str, str]]:
+    """Each body without and with each title."""
+    return [(license_id, f"{title}\n\n{body}" if title else body) for body in bodies for title in ("", *titles)]
+
+
+def _parts(license_id: str, starts: tuple[str, ...], ends: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """A long text whole and from each of ``starts`` on (what stands before is title), to its end or to one of ``ends``."""
+    text = _file(license_id)
+    tops = [0, *(text.index(s) for s in starts)]
+    stops = [len(text), *(text.index(e) for e in ends)]
+    return [(license_id, text[a:b]) for a in tops for b in stops]
+
+
+def _gnu(license_id: str, *starts: str) -> list[tuple[str, str]]:
+    """With and without title and notice, and how to apply the terms; both addresses of the foundation."""
+    text = _file(license_id)
+    end = "END OF TERMS AND CONDITIONS"
+    apply = text.find("How to Apply These Terms", text.find(end) + 1) if end in text else -1
+    found = _parts(license_id, starts, (end, text[apply - 40:apply + 40]) if apply >= 0 else ())
+    new, old = "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA"
+    moved = [(i, " ".join(t.split(" ")).replace("MA  0", "MA 0").replace("  USA", " USA").replace(new, old)) for i, t in found]
+    return list(dict.fromkeys(found + moved))
+
+
+_PERMITTED = "Everyone is permitted to copy"
+
+#: whole licenses, with and without title
+WHOLE = (
     ("MIT", _MIT),
-    ("ISC", _ISC),
-    ("Zlib", _ZLIB),
+    *_titled("MIT", [_MIT.split("\n\n", 2)[2]], "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    *_titled("ISC", [_ISC, _ISC.replace("and/or distribute", "and distribute")], "ISC License", "The ISC License", "ISC License (ISC)"),
+    *_titled("Zlib", [_ZLIB], "zlib License", "The zlib License", "The zlib/libpng License"),
+    *_titled("BSD-2-Clause", _bsd(2), "BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License",
+             "BSD License"),
+    *_titled("BSD-3-Clause", _bsd(3), "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License",
+             "BSD License"),
+    *_titled("BSD-3-Clause", [_file("BSD-3-Clause-Regents")]),
+    *_parts("Apache-2.0", ("TERMS AND CONDITIONS FOR USE",), ("END OF TERMS", "APPENDIX: How to apply")),
+    *_gnu("GPL-1.0", _PERMITTED, "Preamble"),
+    *_gnu("GPL-2.0", _PERMITTED, "Preamble"),
+    *_gnu("GPL-3.0", _PERMITTED, "Preamble"),
+    *_gnu("LGPL-2.0", _PERMITTED, "Preamble"),
+    *_gnu("LGPL-2.1", _PERMITTED, "Preamble"),
+    *_gnu("LGPL-3.0", _PERMITTED, "This version of the GNU Lesser"),
+    *_gnu("AGPL-3.0", _PERMITTED, "Preamble"),
+    *_parts("MPL-2.0", ("1. Definitions",), ("Exhibit A - Source",)),
+    *_titled("Unlicense", [t for _, t in _parts("Unlicense", (), ("For more information",))], "The Unlicense", "Unlicense"),
+    *_titled("BSL-1.0", [t for _, t in _parts("BSL-1.0", ("Permission is hereby",))], "Boost Software License, Version 1.0"),
+    *_parts("CC0-1.0", ("CC0 1.0 Universal", "CREATIVE COMMONS CORPORATION", "Statement of Purpose")),
+)
+
+#: (license_id, text): whole licenses first, then the Apache header and one-line notices
+KNOWN = (
+    *WHOLE,
     ("Apache-2.0", _APACHE_HEADER),
     ("MIT", "MIT License"),
     ("MIT", "Released under the MIT License."),

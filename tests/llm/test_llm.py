@@ -315,6 +315,42 @@ def test_licenses(spark):
     assert not {g[0] for g in got} & {4, 5}
 
 
+def test_every_license_wrapped(spark):
+    import re
+    import textwrap
+
+    from contrail.llm.license_texts import KNOWN
+
+    def wrapped(text, width):
+        parts = re.split("\n[ \t\f]*\n", text)
+        return "\n\n".join(p if re.search("(?im)^ *(copyright [(\\[]|all rights reserved)", p) else textwrap.fill(" ".join(p.split()), width,
+                           break_long_words=False)
+                           for p in parts)
+
+    assert {"MIT", "ISC", "Zlib", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0",
+            "MPL-2.0", "Unlicense", "BSL-1.0"} <= {i for i, t in KNOWN if len(t) > 600}
+    texts, ids = [], []
+    for license_id, text in KNOWN:
+        forms = [wrapped(text, w) for w in (72, 60, 45)]
+        forms += [re.sub("(?m)^", mark, forms[0]) for mark in ("# ", " * ", "// ")]
+        ids += [license_id] * len(forms)
+        texts += forms
+    got = {}
+    for doc_id, _, license_id in pairs(license_scan.licenses(table(spark, list(enumerate(texts)))), "doc_id", "unit", "license_id"):
+        got.setdefault(doc_id, set()).add(license_id)
+    assert [(i, texts[i][:200]) for i, k in enumerate(ids) if k not in got.get(i, ())] == []
+
+
+def test_notice_lines(spark):
+    isc = next(t for i, t in license_scan.KNOWN if i == "ISC")
+    cut = isc.replace("above copyright", "above\ncopyright")
+    notices = ["Copyright (c) 2024 Some Body", "Copyright 2024, Some Body", "(c) 2024 Some Body", "(C) Some Body", "© Some Body",
+               "Copyright Some Body and others", "Copyright The Some Authors", "Copyright: 2001-2004 Some Body", "Copyright <year> <owner>"]
+    texts = [(0, cut), *((k, f"ISC License\n\n{n}\n\n{cut}") for k, n in enumerate(notices, 1)), (50, cut.replace("fee", "charge"))]
+    got = pairs(license_scan.licenses(table(spark, texts)), "doc_id", "unit", "license_id")
+    assert got == [(k, "text", "ISC") for k in range(len(notices) + 1)]
+
+
 def test_decontaminate_brute(spark):
     def distance(item, text):
         row = [0] * (len(text) + 1)
