@@ -120,7 +120,7 @@ def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int, s
     """The benchmark's items in blocks of at most ``block_chars`` characters (a longer item is a block of its own)."""
     held, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
-        "item_id is not null and text is not null").toLocalIterator(prefetchPartitions=False)
+        "text is not null").toLocalIterator(prefetchPartitions=False)
     for row in rows:
         if held and size + len(row["text"]) > block_chars:
             yield held
@@ -152,8 +152,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_P
     """doc_id, item_id, edits, end: each document and item that it holds within len // chars_per_edit edits.
 
     Rows only for contaminated documents, one per (row, item): the best place, its end counted in
-    the normalised text. Lengths are those of the normalised item. NULL or blank items and NULL or
-    empty texts match nothing; items that are equal match alike. Repeated rows are reported as often
+    the normalised text. Lengths are those of the normalised item. Items with a NULL or blank text and NULL or
+    empty texts match nothing; an item with a NULL item_id is reported with a NULL; items that are equal match alike. Repeated rows are reported as often
     as they occur, rows with a NULL doc_id with a NULL. Empty tables give an empty result.
     """
     spark = docs.sparkSession
