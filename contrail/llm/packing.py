@@ -7,8 +7,8 @@ the patterns to the pieces: pieces of a length are numbered without gathering th
 length and part, running totals over the parts, a rank inside each part), and the number is
 looked up in the bounded table of places.
 
-Reduction, after Martello and Toth: take the longest length left. A set that holds it is fixed for
-good if it dominates all others, that is if the contents of any other feasible set can be
+Reduction, after Martello and Toth: lengths are tried from the longest down, with all that fit beside
+them, until a pass over all of them fixes nothing more. A set that holds the length is fixed for good if it dominates all others, that is if the contents of any other feasible set can be
 exchanged for its own without loss: the length alone when nothing fits beside it; with the one
 length that fills the sequence exactly; with the longest partner when no two others fit
 together beside it; with the longest partner when no feasible pair is longer than it and no
@@ -44,7 +44,16 @@ def vocabulary_path() -> str:
 # ---------------------------------------------------------------- the instance
 
 def reduce_instance(counts: np.ndarray) -> list[Pattern]:
-    """Fix dominating sets of the longest lengths; takes them out of ``counts`` (index = length)."""
+    """Fix dominating sets; takes them out of ``counts`` (index = length)."""
+    fixed: list[Pattern] = []
+    found = None
+    while found is None or found:  # what is taken away may let a rule hold for a length that was passed over
+        found = _reduce_once(counts)
+        fixed += found
+    return fixed
+
+
+def _reduce_once(counts: np.ndarray) -> list[Pattern]:
     size = len(counts) - 1
     fixed: list[Pattern] = []
     for long in range(size, 0, -1):
@@ -64,7 +73,7 @@ def reduce_instance(counts: np.ndarray) -> list[Pattern]:
             sure = best == room or pair > room or (three > room and _longest_pair(counts, fits, room) <= best)
             counts[long] += 1
             if not sure:
-                return fixed  # the longest length left is not fixed: the rest is for best fit
+                break  # not fixed (yet): the next length
             # taking lengths away only takes sets away, so the rule holds until one of the two runs out
             times = int(counts[long] // 2 if best == long else min(counts[long], counts[best]))
             counts[long] -= times
