@@ -33,9 +33,11 @@ STRICT = {
     "card": "[0-9](?:[ -]?[0-9])++",
     "phone": "\\+[0-9][ ().0-9-]+[0-9]",
 }
-#: looser forms: e-mail with "(at)" or "[dot]", grouped numbers
+#: looser forms: e-mail with "(at)" or "[dot]", IP address with bracketed or spaced dots, IPv6, grouped numbers
 LOOSE = {
     "email": "(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|\\(at\\)|\\[at\\]) ?[A-Za-z0-9-]++(?: ?(?:\\.|\\(dot\\)|\\[dot\\]) ?[A-Za-z0-9-]++)++",
+    "ip": "(?<![0-9.])[0-9]{1,3}+(?: ?(?:\\.|\\[\\.\\]|\\(\\.\\)|\\(dot\\)|\\[dot\\]) ?[0-9]{1,3}+){3}(?![0-9.])",
+    "ip6": "(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "number": "(?:\\G|(?<![0-9]))[0-9]++(?:[ ().\\-/]{1,2}[0-9]++)*+",
 }
 
@@ -103,8 +105,12 @@ def _loose(text: Column, base: Column) -> Column:
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"),
         F.when(F.length(_digits(s["value"])).between(12, 19) & luhn(_digits(s["value"])), "card")
         .when(F.length(_digits(s["value"])).between(9, 15), "phone").alias("kind"), s["value"].alias("value")))
+    # eight groups at most; "::" stands for one or more of them
+    six = F.filter(_found(text, LOOSE["ip6"], "ip", F.contains(text, F.lit(":"))), lambda s: F.size(F.split(s["value"], ":")) <= 8)
+    dotted = F.filter(_found(text, LOOSE["ip"], "ip", F.rlike(text, F.lit("[0-9]"))),
+                      lambda s: F.forall(F.split(s["value"], "[^0-9]+"), _small))
     free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return F.filter(F.concat(mails, numbers), lambda s: s["kind"].isNotNull() & free(s))
+    return F.filter(F.concat(mails, dotted, six, numbers), lambda s: s["kind"].isNotNull() & free(s))
 
 
 def _contexts(text: Column, span: Column) -> Column:
@@ -123,7 +129,9 @@ def _joined(spans: Column) -> Column:
 
 
 def _instance(value: Column, kind: Column) -> Column:
-    return F.when(kind == "email", F.regexp_replace(F.lower(value), "\\s", "")).otherwise(_digits(value))
+    return F.when(kind == "email", F.regexp_replace(F.lower(value), "\\s", "")).when(
+        (kind == "ip") & ~value.contains(":"), F.regexp_replace(value, "[^0-9]+", ".")).when(
+        kind == "ip", F.lower(value)).otherwise(_digits(value))
 
 
 def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, sure: float = SURE, seeds: int = SEEDS) -> DataFrame:
@@ -176,7 +184,7 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, sure: float = SURE, see
     each = rows.select("row", F.explode("found").alias("s"))
     occurrences = each.select("s.kind", F.explode("s.patterns").alias("pattern"), "s.instance", "s.seed")
     good = bootstrap(occurrences, rounds, sure, seeds)
-    rank = F.when(F.col("s.kind") == "email", 0).when(F.col("s.kind") == "card", 2).otherwise(3)
+    rank = F.when(F.col("s.kind") == "email", 0).when(F.col("s.kind") == "ip", 1).when(F.col("s.kind") == "card", 2).otherwise(3)
     added = (each.where("not s.seed").select("row", "s", F.explode("s.patterns").alias("pattern"), F.col("s.kind").alias("kind"))
              .join(good, ["kind", "pattern"], "left_semi")
              .select("row", F.struct(F.col("s.start").alias("start"), rank.alias("rank"), F.col("s.end").alias("end"),
