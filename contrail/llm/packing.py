@@ -165,18 +165,22 @@ def tokenizer(path: str) -> Callable[[bytes], bytes]:
     The vocabulary drops white space between words and lower-cases, so a text's ids are the ids of its
     lower-cased words (runs without ASCII white space) in order. Words are encoded once and kept, one
     at a time: a batch call would start threads beside Spark's own tasks. Of a full cache, the words
-    used since it filled up last stay.
+    used since it filled up last stay. A text that quotes a marker of the vocabulary is encoded whole: the
+    tokenizer as loaded gives the marker its own id.
     """
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(path)
-    coder.encode_special_tokens = True  # their strings in a text are ordinary text
+    markers = [t.content.lower().encode() for t in coder.get_added_tokens_decoder().values() if t.content]
     known: dict[bytes, bytes] = {}
     older: dict[bytes, bytes] = {}
 
     def ids(text: bytes) -> bytes:
         nonlocal known, older
-        words = text.lower().split()
+        lower = text.lower()
+        if any(m in lower for m in markers):
+            return np.array(coder.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        words = lower.split()
         new = {w for w in words if w not in known}
         for w in new:
             found = older.get(w)
