@@ -10,8 +10,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import (decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, near_dedup,
-                          packing, pii, substring_dedup)
+from contrail.llm import (decontaminate, exact_dedup, language_id, lexical_search, license_scan, line_dedup, lm_score,
+                          near_dedup, packing, pii, quality_rules, source_divergence, substring_dedup)
 from contrail.llm.common import documents
 
 
@@ -90,6 +90,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.strip_repeats(documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergences(documents(spark, sf_dir))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: _query(f) for f in (
     op1_near_dedup, op2_lm_score, op3_packing, op4_exact_dedup, op5_pii, op6_line_dedup, op7_license_scan,
-    op8_decontaminate, op9_language_id, op10_substring_dedup, pipeline)}
+    op8_decontaminate, op9_language_id, op10_substring_dedup, op11_lexical_search, op12_source_divergence, op13_quality_rules,
+    pipeline)}
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -130,4 +143,34 @@ k AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY 1)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
        sha256(array_to_string(list_filter(w, lambda x, j: NOT coalesce(list_contains(gone, j), false)), ' ')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)""",
+    "op11_lexical_search": r"""
+WITH w AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({fold}, '{term}') AS w FROM documents),
+t AS (SELECT d, unnest(w) AS t FROM w),
+f AS (SELECT d, t, count(*) AS tf FROM t GROUP BY 1, 2),
+c AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM w WHERE len(w) > 0),
+m AS (SELECT d, doc_id, 50 + (50 * len(w) * c.n) // c.l AS m FROM w, c WHERE len(w) > 0),
+q AS (SELECT row_number() OVER () AS i, item_id, unnest(list_distinct(regexp_extract_all({fold}, '{term}'))) AS t FROM benchmark),
+df AS (SELECT t, floor(1000 * ln((2 * max(c.n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, c GROUP BY 1),
+s AS (SELECT i, item_id, d, doc_id, sum(df.w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM q JOIN f USING (t) JOIN df USING (t) JOIN m USING (d) GROUP BY ALL HAVING score > 0)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score FROM s
+QUALIFY rank <= 50""".replace("{fold}", _FOLD).replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"),
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all({fold}, '{term}') AS w FROM documents),
+t AS (SELECT d, lang, source, unnest(w) AS t FROM d),
+k AS (SELECT lang, t, count(*) AS c FROM t GROUP BY 1, 2 HAVING count(DISTINCT d) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, t, count(*) AS c FROM t SEMI JOIN k USING (lang, t) GROUP BY 1, 2, 3),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.t, coalesce(c.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (coalesce(n.n, 0) + 5 * l.v) AS p,
+      1 + (1000000000::HUGEINT * (k.c + 5)) // (l.n + 5 * l.v) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN n USING (lang, source) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source != b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', t, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 50""".replace("{fold}", _FOLD).replace("{term}", r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"),
 }
