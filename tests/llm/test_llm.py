@@ -412,13 +412,14 @@ def test_awkward_input(spark, name, rows):
         assert len(out) == len(rows)  # a row per row, NULL and repeated ids included
 
 
-@pytest.mark.parametrize("name", ["op1_near_dedup", "op4_exact_dedup", "op10_substring_dedup"])
+@pytest.mark.parametrize("name", ["op1_near_dedup", "op4_exact_dedup", "op10_substring_dedup", "op11_lexical_search", "op12_source_divergence"])
 def test_oracle(spark, name):
     from contrail.llm.queries import ORACLE, QUERIES
 
     got = QUERIES[name](spark, SF)
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.execute(f"select {', '.join(got.columns)} from ({ORACLE[name]})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
