@@ -65,6 +65,7 @@ LATEST_LIMIT = 10
 # Exploration.
 TOP_COUNTRIES_REPORT = 10
 TOP_COUNTRIES_SPEED = 15
+TOP_AIRPORTS = 10
 EVOLUTION_LIMIT = 20
 HISTOGRAM_BINS = 50
 SAMPLE_FRACTION = 0.1
@@ -81,6 +82,3 @@ RF_SEED = 42
 TRAIN_FRACTION = 0.8
 TEST_FRACTION = 0.2
 SPLIT_SEED = 42
-
-# Session default of the original deployment.
-DEFAULT_SHUFFLE_PARTITIONS = 10

@@ -3,7 +3,6 @@
 from contrail.functions.flight import (  # noqa: F401
     altitude_anomaly,
     altitude_bucket,
-    blank_to_null_trim,
     epoch_to_timestamp,
     flight_phase,
     hour_minute,
@@ -13,5 +12,4 @@ from contrail.functions.flight import (  # noqa: F401
     row_score,
     to_kmh,
     velocity_anomaly,
-    wallclock_utc,
 )

@@ -69,12 +69,6 @@ def in_clean_ranges(altitude="altitude_meters", velocity="velocity_kmh") -> Colu
             & _c(velocity).between(K.CLEAN_SPEED_MIN, K.CLEAN_SPEED_MAX))
 
 
-def blank_to_null_trim(text) -> Column:
-    """Empty string -> NULL, anything else trimmed (a blank string becomes '')."""
-    t = _c(text)
-    return F.when((t.isNull()) | (t == F.lit("")), F.lit(None).cast("string")).otherwise(F.trim(t))
-
-
 def percent_text(rate) -> Column:
     """0.125 -> '12.5%' (rate x 100, 1 decimal)."""
     return F.format_string("%.1f%%", F.round(_c(rate) * 100, 1))
@@ -84,11 +78,6 @@ def hour_minute(ts) -> Column:
     return F.date_format(_c(ts), "HH:mm")
 
 
-def wallclock_utc(ts) -> Column:
-    """TIMESTAMP -> TIMESTAMP_NTZ holding the UTC wall clock (session zone is UTC)."""
-    return _c(ts).cast("timestamp_ntz")
-
-
 def row_score(df, seed: int) -> Column:
     """First 8 hex digits of the MD5 of (seed, aircraft, time, airport if there): uniform, the same in any engine."""
     parts = [F.lit(str(seed)), F.col("icao24"), F.unix_micros("event_timestamp").cast("string")]

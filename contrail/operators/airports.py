@@ -33,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.functions import planar_distance
 from contrail.session import folder_exists, materialize
 
 FINE = 0.25
@@ -55,11 +56,6 @@ def _clamp(c: Column, bounds) -> Column:
     return F.least(F.greatest(c, F.lit(bounds[0])), F.lit(bounds[1]))
 
 
-# cell numbers of rows without a cell in a shuffle join: below every real cell, spread over so many values
-_NO_CELL = -(1 << 40)
-_NO_CELL_SPREAD = 1 << 20
-
-
 def with_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude", when: Column | None = None) -> DataFrame:
     """Add the fine cell (``_cx``, ``_cy``); NULL where ``when`` is false."""
     cx, cy = _cell(F.col(lon)), _cell(F.col(lat))
@@ -173,25 +169,15 @@ def materialize_candidates(cells: DataFrame, airports: DataFrame,
 def attach_candidates(df: DataFrame, k: DataFrame, small: bool) -> DataFrame:
     """Join K on the fine cell; add ``_cands`` (with ``dist``) and ``_rmin``.
 
-    Rows with a NULL cell (not on the ground) get NULLs. In the shuffle form they are most of the data and
-    would all hash alike, so they get cell numbers of their own, spread by row and matching no cell.
-    """
-    if small:
-        out = df.join(F.broadcast(k), on=["_cx", "_cy"], how="left")
-    else:
-        spread = F.lit(_NO_CELL) - F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(_NO_CELL_SPREAD))
-        keyed = df.withColumn("_jx", F.coalesce(F.col("_cx").cast("long"), spread)).withColumn(
-            "_jy", F.coalesce(F.col("_cy").cast("long"), F.lit(_NO_CELL)))
-        side = k.select(F.col("_cx").cast("long").alias("_jx"), F.col("_cy").cast("long").alias("_jy"), "_cands")
-        out = keyed.join(side, on=["_jx", "_jy"], how="left").drop("_jx", "_jy")
+    Rows with a NULL cell get NULLs; give them to the broadcast form only (``small``), in the shuffle form they
+    would all hash alike."""
+    out = df.join(F.broadcast(k) if small else k, on=["_cx", "_cy"], how="left")
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
 
     def with_dist(a):
-        dlat = lat - a["airport_lat"]
-        dlon = lon - a["airport_lon"]
         return F.struct(a["airport_icao"].alias("airport_icao"), a["airport_name"].alias("airport_name"),
                         a["airport_country"].alias("airport_country"),
-                        F.sqrt(dlat * dlat + dlon * dlon).alias("dist"))
+                        planar_distance(lat, lon, a["airport_lat"], a["airport_lon"]).alias("dist"))
 
     out = out.withColumn("_cands", F.transform("_cands", with_dist))
     return out.withColumn("_rmin", F.array_min(F.transform("_cands", lambda c: c["dist"])))
@@ -226,23 +212,36 @@ def nearest_airport(obs: DataFrame, airports: DataFrame,
     return nearest_rows(attach_candidates(ground, k, small))
 
 
+def _airborne(obs: DataFrame) -> DataFrame:
+    """The rows that are not on the ground, with NULL airports."""
+    none = {c: F.lit(None).cast("string") for c in ("airport_icao", "airport_name", "airport_country")}
+    return obs.filter(~F.col("on_ground")).withColumns(none)
+
+
 def enrich_ground(obs: DataFrame, airports: DataFrame,
                   broadcast_max_cells: int = BROADCAST_MAX_CELLS) -> DataFrame:
     """Ground rows get their nearest airport(s), airborne rows NULL airport
-    columns; rows with NULL ``on_ground`` are not kept (split semantics)."""
-    kept = obs.filter(F.col("on_ground").isNotNull())
-    ground = F.col("on_ground") == F.lit(True)
-    cells = with_cell(kept, when=ground)
-    k, small = materialize_candidates(cells.filter(ground), airports, broadcast_max_cells)
-    return apply_enrichment(cells, k, small)
+    columns; rows with NULL ``on_ground`` are not kept (split semantics).
+
+    Airborne rows take part in no join; the minimum per (aircraft, time) is an aggregate of the ground rows."""
+    ground = nearest_airport(obs, airports, broadcast_max_cells)
+    return ground.unionByName(_airborne(obs))
 
 
 def apply_enrichment(cells_df: DataFrame, k: DataFrame, small: bool,
                      group_keys=("icao24", "event_timestamp")) -> DataFrame:
     """Row-local airport attachment followed by the group-minimum filter and
-    explode; airborne rows pass with NULL airports. Input must have cells."""
-    ground = F.col("on_ground") == F.lit(True)
-    out = attach_candidates(cells_df, k, small)
+    explode; airborne rows pass with NULL airports. Input must have cells.
+
+    For rows that are partitioned by some of ``group_keys`` and whose exact copies have been counted (the feature
+    build): the minimum is then a window on that partitioning. Where the candidates are too many to broadcast,
+    only ground rows go into the join."""
+    ground = F.col("on_ground")
+    if small:
+        out = attach_candidates(cells_df, k, True)
+    else:
+        out = attach_candidates(cells_df.filter(ground), k, False).unionByName(
+            cells_df.filter(~ground), allowMissingColumns=True)
     g = Window.partitionBy(*group_keys)
     out = out.withColumn("_gmin", F.when(ground, F.min(F.when(ground, F.col("_rmin"))).over(g)))
     out = out.filter(~ground | (F.col("_rmin") == F.col("_gmin")))

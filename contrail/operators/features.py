@@ -11,140 +11,127 @@ Semantics (kept from the original job):
    row and the 5 before it, per aircraft, over the rows of step 2;
 4. the flight-phase label.
 
-Physical plan: steps 1-3 share ONE hash exchange of the data — the temporal
-window, the airport attach (broadcast of the checked candidate table), the
-group minimum and the rolling window all run on that partitioning and sort
-order. Ordinary aircraft are partitioned by icao24; aircraft with more rows
-than ``hot_key_rows`` (found by one aggregate over the key column) are
-partitioned by (icao24, time chunk) instead, and a chunk gets the rows before
-it from a small side table (see ``trailing``), so no aircraft is ever a
-single task's worth of data.
+Physical plan: exact copies of a row are counted first (a partial aggregation
+before the first exchange), so however often a feed repeats an observation, it
+crosses the network once per task. Then every aircraft is cut into time chunks
+(see ``trailing``) and steps 1-3 share one hash exchange on (icao24, chunk): the
+temporal window, the airport attach (broadcast of the checked candidate table),
+the group minimum and the rolling frames all run on that partitioning. There is one
+path, whatever the size of an aircraft. At the end the counted copies come back:
+from the 7th on, copies differ in nothing but their observation rank, because their
+frames hold copies only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contrail import constants as K
 from contrail import schemas
 from contrail.functions import flight_phase
 from contrail.operators import airports as ap
-from contrail.operators.trailing import CHUNK_COL, previous, trail_mean, trail_stddev, trailing_rows
+from contrail.operators.trailing import CHUNK_COL, chunk_starts, trailing_windows, with_chunk
 
 KEY = "icao24"
 TS = "event_timestamp"
-DEFAULT_CHUNK = "1 hour"
-# An aircraft with more rows than this is split into time chunks (its rows
-# would otherwise make one window task); the list of such aircraft is at most
-# rows / HOT_KEY_ROWS long and is broadcast up to BROADCAST_MAX_HOT entries.
-HOT_KEY_ROWS = 1_000_000
-BROADCAST_MAX_HOT = 100_000
+FIELDS = ("altitude_meters", "velocity_kmh")
+DEFAULT_CHUNK = "1 day"
 # Order of an aircraft's rows: time, then all other columns, so that only fully equal rows tie and no
 # value depends on how the input is laid out. NULLs first.
 ORDER = (TS, "callsign", "origin_country", "longitude", "latitude", "velocity_kmh", "altitude_meters",
          "on_ground", "category")
+# of a counted row: number of this copy, and how many further copies stand behind it
+_COPY, _MORE = "_copy", "_more"
 
 
-def _ties(df: DataFrame, *more: str) -> list[str]:
-    return [c for c in (*ORDER[1:], *more) if c in df.columns]
+def _order(df: DataFrame, *more: str) -> list[str]:
+    # (the last two keep a copy's place; with them all branches of the build read the same columns, and so one exchange)
+    return [c for c in (*ORDER, *more, _COPY, _MORE) if c in df.columns]
 
 
-def temporal_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK, keep_chunk: bool = False) -> DataFrame:
+def count_copies(clean: DataFrame, preceding: int = K.ROLLING_PRECEDING) -> DataFrame:
+    """Silver columns, every distinct row at most ``preceding`` + 1 times; the last of these says how many more there are."""
+    most = preceding + 1
+    counted = clean.groupBy(*schemas.SILVER_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = counted.withColumn(_COPY, F.explode(F.sequence(F.lit(1), F.least("_n", F.lit(most)).cast("int"))))
+    return numbered.withColumn(_MORE, F.when(F.col(_COPY) == most, F.col("_n") - most).otherwise(F.lit(0))).drop("_n")
+
+
+def restore_copies(features: DataFrame) -> DataFrame:
+    """Every counted copy as a row of its own, with its own observation rank."""
+    out = features.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col(_MORE))))
+    return out.withColumn("observation_rank", (F.col("observation_rank") + F.col("_k")).cast("int"))
+
+
+def temporal_features(df: DataFrame, chunk: str = DEFAULT_CHUNK, carry: DataFrame | None = None,
+                      keep_chunk: bool = False) -> DataFrame:
     """prev_altitude, prev_velocity, altitude_change, velocity_change, observation_rank.
 
-    ``chunk=None``: plain window per aircraft; otherwise the chunked form
-    (``trailing``), for aircraft too large for one task. Same values. ``keep_chunk``
-    leaves the chunk column in, for a rolling window on the same partitioning."""
-    if chunk is None:
-        w = Window.partitionBy(KEY).orderBy(TS, *_ties(df))
-        out = (df.withColumn("prev_altitude", F.lag("altitude_meters").over(w))
-               .withColumn("prev_velocity", F.lag("velocity_kmh").over(w))
-               .withColumn("observation_rank", F.row_number().over(w)))
-    else:
-        out = trailing_rows(df, KEY, TS, ["altitude_meters", "velocity_kmh"], preceding=1,
-                            chunk=chunk, trail="_t1", pos="observation_rank", tiebreak=_ties(df))
-        out = (out.withColumn("prev_altitude", previous("_t1", "altitude_meters"))
-               .withColumn("prev_velocity", previous("_t1", "velocity_kmh"))
-               .drop("_t1", *([] if keep_chunk else [CHUNK_COL])))
+    ``chunk``: length of the time chunks (any length gives the same values). ``carry``: what
+    came before, per aircraft (``operators.carry``). ``keep_chunk`` leaves the chunk column in,
+    for windows on the same partitioning."""
+    rows = with_chunk(df, TS, chunk)
+    order = _order(df)
+    counted = _MORE in df.columns
+    starts = chunk_starts(rows, KEY, order, FIELDS, F.col(_MORE) + 1 if counted else None, carry)
+    w = Window.partitionBy(KEY, CHUNK_COL).orderBy(*order)
+    number = F.row_number().over(w)
+    rank = F.coalesce("_before", F.lit(0)) + number
+    if counted:
+        rank = rank + F.coalesce(F.sum(_MORE).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = number == 1
+    out = rows.join(starts, [KEY, CHUNK_COL], "left").withColumns({
+        "prev_altitude": F.when(first, F.col("_prev.altitude_meters")).otherwise(F.lag("altitude_meters").over(w)),
+        "prev_velocity": F.when(first, F.col("_prev.velocity_kmh")).otherwise(F.lag("velocity_kmh").over(w)),
+        "observation_rank": rank.cast("int"),
+    }).drop("_prev", "_before", *([] if keep_chunk else [CHUNK_COL]))
     return (out.withColumn("altitude_change", F.col("altitude_meters") - F.col("prev_altitude"))
             .withColumn("velocity_change", F.col("velocity_kmh") - F.col("prev_velocity")))
 
 
-def rolling_features(df: DataFrame, chunk: str | None = DEFAULT_CHUNK,
-                     preceding: int = K.ROLLING_PRECEDING) -> DataFrame:
+def rolling_features(df: DataFrame, chunk: str = DEFAULT_CHUNK, preceding: int = K.ROLLING_PRECEDING,
+                     carry: DataFrame | None = None) -> DataFrame:
     """rolling_avg_altitude, rolling_std_altitude, rolling_avg_velocity over
-    the current row and ``preceding`` rows before it (``chunk`` as above)."""
+    the current row and ``preceding`` rows before it (``chunk``, ``carry`` as above)."""
     # Rows sharing a timestamp (an observation kept once per equidistant
     # airport) are ordered by airport, so each copy gets the same window in
-    # every run and engine.
-    tie = _ties(df, "airport_icao")
-    if chunk is None:
-        r = Window.partitionBy(KEY).orderBy(TS, *tie).rowsBetween(-preceding, 0)
-        return (df.withColumn("rolling_avg_altitude", F.avg("altitude_meters").over(r))
-                .withColumn("rolling_std_altitude", F.stddev("altitude_meters").over(r))
-                .withColumn("rolling_avg_velocity", F.avg("velocity_kmh").over(r)))
-    out = trailing_rows(df, KEY, TS, ["altitude_meters", "velocity_kmh"], preceding=preceding,
-                        chunk=chunk, trail="_t5", pos="_pos5", tiebreak=tie)
-    return (
-        out.withColumn("rolling_avg_altitude", trail_mean("_t5", "altitude_meters"))
-        .withColumn("rolling_std_altitude", trail_stddev("_t5", "altitude_meters"))
-        .withColumn("rolling_avg_velocity", trail_mean("_t5", "velocity_kmh"))
-        .drop("_t5", "_pos5")
-    )
+    # every run and engine. The temporal features come last: they order nothing more, but make the halo rows
+    # need the same columns as the data, so that both read one exchange.
+    order = _order(df, "airport_icao") + [c for c in ("observation_rank", "prev_altitude") if c in df.columns]
+    return trailing_windows(with_chunk(df, TS, chunk), KEY, order, FIELDS, preceding, {
+        "rolling_avg_altitude": F.avg("altitude_meters"),
+        "rolling_std_altitude": F.stddev("altitude_meters"),
+        "rolling_avg_velocity": F.avg("velocity_kmh"),
+    }, carry).drop(CHUNK_COL)
 
 
 def with_phase(df: DataFrame) -> DataFrame:
     return df.withColumn("flight_phase", flight_phase())
 
 
-def _features_path(clean: DataFrame, k: DataFrame, small: bool, chunk: str | None) -> DataFrame:
-    """Steps 1-4 on one partitioning: (icao24) for ``chunk=None``, else
-    (icao24, chunk). The airport attach is a broadcast or a cell join; the
-    group minimum and both windows reuse the partitioning of step 1."""
-    temporal = temporal_features(clean, chunk, keep_chunk=True)
-    kept = temporal.filter(F.col("on_ground").isNotNull())
-    cells = ap.with_cell(kept, when=F.col("on_ground") == F.lit(True))
-    keys = (KEY, CHUNK_COL, TS) if chunk else (KEY, TS)
-    enriched = ap.apply_enrichment(cells, k, small, group_keys=keys)
-    return with_phase(rolling_features(enriched, chunk)).select(*schemas.SILVER_ML_COLUMNS)
-
-
-def hot_keys(clean: DataFrame, hot_key_rows: int) -> DataFrame:
-    """Aircraft with more than ``hot_key_rows`` rows (partial aggregation on
-    the key column only)."""
-    return (clean.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > hot_key_rows).select(KEY))
-
-
 def build_features(clean: DataFrame, airports: DataFrame, chunk: str = DEFAULT_CHUNK,
-                   hot_key_rows: int = HOT_KEY_ROWS,
                    broadcast_max_cells: int = ap.BROADCAST_MAX_CELLS,
-                   broadcast_max_hot: int = BROADCAST_MAX_HOT,
-                   index: ap.AirportIndex | None = None) -> DataFrame:
+                   index: ap.AirportIndex | None = None, carry: DataFrame | None = None) -> DataFrame:
     """Cleaned silver rows -> Silver_ML columns (see module doc).
 
-    Aircraft with more than ``hot_key_rows`` rows are split into time chunks
-    (``chunk``); all others use plain per-aircraft windows. Both give the
-    same values; the split only decides how the work is spread over tasks."""
-    ground = F.col("on_ground") == F.lit(True)
-    cells = ap.with_cell(clean.filter(ground)).select("_cx", "_cy")
+    ``index``: airport candidates kept between calls (streams); ``carry``: what
+    earlier rows left behind per aircraft; the rows of ``clean`` come after them."""
+    cells = ap.with_cell(clean.filter(F.col("on_ground"))).select("_cx", "_cy")
     if index is not None:       # streams: reuse the cells earlier batches searched
         k, small = index.candidates(cells)
     else:
         k, small = ap.materialize_candidates(cells, airports, broadcast_max_cells)
-    hot = hot_keys(clean, hot_key_rows)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return _features_path(clean, k, small, None)
-    flagged = clean.join(F.broadcast(hot.withColumn("_hot", F.lit(True))) if n_hot <= broadcast_max_hot
-                         else hot.withColumn("_hot", F.lit(True)), on=KEY, how="left")
-    cold = _features_path(flagged.filter(F.col("_hot").isNull()).drop("_hot"), k, small, None)
-    warm = _features_path(flagged.filter(F.col("_hot")).drop("_hot"), k, small, chunk)
-    return cold.unionByName(warm)
-
-
-def features_reference_order(clean: DataFrame, airports: DataFrame, chunk: str | None = DEFAULT_CHUNK) -> DataFrame:
+    rows = with_chunk(count_copies(clean), TS, chunk).repartition(KEY, CHUNK_COL)
+    temporal = temporal_features(rows, carry=carry, keep_chunk=True)
+    kept = temporal.filter(F.col("on_ground").isNotNull())
+    enriched = ap.apply_enrichment(ap.with_cell(kept, when=F.col("on_ground")), k, small, group_keys=(KEY, CHUNK_COL, TS))
+    rolling = rolling_features(enriched, carry=carry)
+    return restore_copies(with_phase(rolling)).select(*schemas.SILVER_ML_COLUMNS)
+
+
+def features_reference_order(clean: DataFrame, airports: DataFrame, chunk: str = DEFAULT_CHUNK) -> DataFrame:
     """Same result as ``build_features`` composed from the public steps
     (each step plans its own exchange); kept for tests and reuse."""
     temporal = temporal_features(clean, chunk)

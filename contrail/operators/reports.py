@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from contrail import constants as K
 from contrail.session import materialize
 from contrail.functions import altitude_bucket, row_score
-from contrail.operators.trailing import previous, trail_mean
+from contrail.operators.features import FIELDS, ORDER, temporal_features
+from contrail.operators.trailing import trailing_windows
 
 # --------------------------------------------------------------- SQL reports
 
@@ -43,62 +44,49 @@ def altitude_distribution(silver: DataFrame) -> DataFrame:
             .orderBy(F.col("count").desc(), F.col("altitude_range").asc()))
 
 
-def velocity_rank_in_country(silver: DataFrame) -> DataFrame:
-    """RANK() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC),
-    without sending a country's rows to one task.
-
-    rank = 1 + rows of the same country with a strictly higher speed (NULL
-    speeds sort last). Counts are pre-aggregated per (country, speed) —
-    bounded by the distinct speeds, not the rows — and the running sum over
-    that small table is joined back on (country, speed).
-    """
+def _speed_ranks(silver: DataFrame) -> DataFrame:
+    """(origin_country, velocity_kmh, velocity_rank_in_country): counts are pre-aggregated per
+    (country, speed) — bounded by the distinct speeds, not the rows — and summed up in rank order."""
     per_speed = silver.groupBy("origin_country", "velocity_kmh").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("origin_country").orderBy(F.col("velocity_kmh").desc_nulls_last())
-    ranks = per_speed.withColumn(
+    return per_speed.withColumn(
         "velocity_rank_in_country",
         (F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).cast("long"),
     ).drop("_n")
-    on = [silver["origin_country"].eqNullSafe(ranks["origin_country"]),
-          silver["velocity_kmh"].eqNullSafe(ranks["velocity_kmh"])]
-    return silver.join(ranks, on=on, how="left").select(silver["*"], ranks["velocity_rank_in_country"])
 
 
-def flight_evolution(silver: DataFrame, n: int = K.EVOLUTION_LIMIT) -> DataFrame:
+def velocity_rank_in_country(silver: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
+    """RANK() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC),
+    without sending a country's rows to one task.
+
+    rank = 1 + rows of the same country with a strictly higher speed (NULL
+    speeds sort last); :func:`_speed_ranks` joined back on (country, speed). ``ranked``: the
+    rows to return, if not all of ``silver``.
+    """
+    rows = silver if ranked is None else ranked
+    ranks = _speed_ranks(silver).select(F.col("origin_country").alias("_c"), F.col("velocity_kmh").alias("_v"), "velocity_rank_in_country")
+    on = [F.col("origin_country").eqNullSafe(F.col("_c")), F.col("velocity_kmh").eqNullSafe(F.col("_v"))]
+    return rows.join(ranks, on=on, how="left").drop("_c", "_v")
+
+
+def flight_evolution(silver: DataFrame, n: int | None = K.EVOLUTION_LIMIT) -> DataFrame:
     """Per-aircraft evolution report: previous altitude, change, rounded
-    6-row rolling mean and speed rank in country; first n rows by
-    (icao24, event_timestamp).
+    6-row rolling mean and speed rank in country, in the order of (icao24, event_timestamp, all
+    other columns); the first ``n`` rows, or all.
 
-    The first n rows in (icao24, time) order contain every earlier row of
-    their aircraft, so lag / rolling run on those n rows only; the country
-    rank counts faster rows of the whole table through a broadcast of the
-    n rows (size bound: n).
+    The first n rows contain every earlier row of their aircraft, so with ``n`` the windows run on
+    those rows only. Windows are cut into time chunks and the rank is a join with the ranks of the
+    distinct speeds, so neither an aircraft nor a country becomes one task.
     """
     base = silver.filter(F.col("icao24").isNotNull() & F.col("altitude_meters").isNotNull())
-    top = base.orderBy(F.col("icao24").asc(), F.col("event_timestamp").asc()).limit(n)
-    w = Window.partitionBy("icao24").orderBy("event_timestamp")
-    top = (
-        top.withColumn("_t", F.collect_list(F.struct("altitude_meters")).over(w.rowsBetween(-K.ROLLING_PRECEDING, 0)))
-        .withColumn("prev_altitude", previous("_t", "altitude_meters"))
-        .withColumn("altitude_change", F.col("altitude_meters") - F.col("prev_altitude"))
-        .withColumn("rolling_avg_altitude", F.round(trail_mean("_t", "altitude_meters"), 2))
-        .withColumn("_id", F.row_number().over(Window.orderBy("icao24", "event_timestamp")))
-        .drop("_t")
-    )
-    top = materialize(top, "evolution")  # used twice below, numbered once
-    keys = top.select("_id", F.col("origin_country").alias("_country"), F.col("velocity_kmh").alias("_v"))
-    faster = base.select("origin_country", "velocity_kmh").join(
-        F.broadcast(keys),
-        F.col("origin_country").eqNullSafe(F.col("_country"))
-        & (((F.col("velocity_kmh") > F.col("_v"))) | (F.col("_v").isNull() & F.col("velocity_kmh").isNotNull())),
-        "inner",
-    ).groupBy("_id").agg(F.count(F.lit(1)).alias("_faster"))
-    return (
-        top.join(faster, "_id", "left")
-        .withColumn("velocity_rank_in_country", (F.coalesce("_faster", F.lit(0)) + 1).cast("long"))
-        .select("icao24", "callsign", "origin_country", "event_timestamp", "altitude_meters",
-                "prev_altitude", "altitude_change", "rolling_avg_altitude", "velocity_rank_in_country")
-        .orderBy("icao24", "event_timestamp")
-    )
+    order = [F.col(c).asc() for c in ("icao24", *ORDER)]
+    rows = base if n is None else materialize(base.orderBy(*order).limit(n), "evolution")  # the windows read it twice
+    rolled = trailing_windows(temporal_features(rows, keep_chunk=True), "icao24", ORDER, FIELDS, K.ROLLING_PRECEDING,
+                              {"rolling_avg_altitude": F.avg("altitude_meters")})
+    out = velocity_rank_in_country(base, rolled.withColumn("rolling_avg_altitude", F.round("rolling_avg_altitude", 2)))
+    return out.orderBy(*order).select(
+        "icao24", "callsign", "origin_country", "event_timestamp", "altitude_meters",
+        "prev_altitude", "altitude_change", "rolling_avg_altitude", "velocity_rank_in_country")
 
 
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
@@ -113,6 +101,9 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------- plot numbers
 
+#: cells between a column's least and largest value for the density curve
+DENSITY_CELLS = 4096
+
 
 def sample_rows(df: DataFrame, fraction: float = K.SAMPLE_FRACTION, seed: int = K.SAMPLE_SEED,
                 cap: int | None = None) -> DataFrame:
@@ -163,17 +154,38 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = (
         "altitude_meters", "velocity_kmh", "latitude", "longitude",
         "altitude_change", "velocity_change", "rolling_avg_altitude")) -> DataFrame:
     """Pearson correlation of every column pair (pairwise complete rows), long
-    form (feature_x, feature_y, corr): all pairs in one aggregate."""
+    form (feature_x, feature_y, corr).
+
+    One pass: rows are grouped by which columns are NULL, and each group has its count, its sums and its sums of
+    products — shared by all pairs, and added up over the groups where both columns of a pair are
+    there. Values are taken relative to one row's, so that large means do not cancel the spread. A pair without
+    two rows, or with a constant column, gives NULL."""
     cols = list(columns)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"c{i}").alias("corr")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"), F.col(f"c{i}").alias("corr")))
-    return agg.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    doubles = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    origin = doubles.first() or [None] * len(cols)
+    moved = [F.col(f"c{i}") - F.lit(float(origin[i] or 0.0)) for i in range(len(cols))]
+    known = [F.col(f"c{i}").isNotNull() for i in range(len(cols))]
+    pattern = sum((k.cast("int") * (1 << i) for i, k in enumerate(known)), F.lit(0))
+    products = [F.sum(moved[i] * moved[j]).alias(f"p{i}_{j}") for i in range(len(cols)) for j in range(i, len(cols))]
+    groups = doubles.groupBy(pattern.alias("known")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(m).alias(f"s{i}") for i, m in enumerate(moved)], *products)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
+    rows = groups.select("*", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])).alias("_e")).select(
+        F.col("_e.i"), F.col("_e.j"), "known", "n",
+        F.array(*[F.col(f"s{i}") for i in range(len(cols))]).alias("s"),
+        F.array(*[F.col(f"p{min(i, j)}_{max(i, j)}") for i, j in pairs]).alias("p"))
+    at = lambda a, k: F.get(a, k.cast("int"))
+    i, j, width = F.col("i"), F.col("j"), len(cols)
+    both = rows.filter(F.expr("known & shiftleft(1, i) != 0 and known & shiftleft(1, j) != 0")).groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.sum(at("s", i)).alias("x"), F.sum(at("s", j)).alias("y"), F.sum(at("p", i * width + j)).alias("xy"),
+        F.sum(at("p", i * width + i)).alias("xx"), F.sum(at("p", j * width + j)).alias("yy"))
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    vx, vy = n * F.col("xx") - x * x, n * F.col("yy") - y * y
+    r = F.when((vx > 0) & (vy > 0), (n * F.col("xy") - x * y) / F.sqrt(F.abs(vx)) / F.sqrt(F.abs(vy)))
+    name = F.array(*[F.lit(c) for c in cols])
+    every = df.sparkSession.createDataFrame(pairs, "i int, j int")
+    return every.join(both, ["i", "j"], "left").select(
+        at(name, i).alias("feature_x"), at(name, j).alias("feature_y"), F.when(i == j, F.when(vx > 0, F.lit(1.0))).otherwise(r).alias("corr"))
 
 
 def traffic_per_minute(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
@@ -194,27 +206,43 @@ def traffic_per_minute(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
         "minute", F.coalesce("nb_flights", F.lit(0)).cast("long").alias("nb_flights"))
 
 
-def density(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
-    """Gaussian kernel density of ``column`` on an evenly spaced grid
+def density(df: DataFrame, column: str, gridsize: int = 200, cut: float = 0.0, bins: int = K.HISTOGRAM_BINS,
+            cells: int = DENSITY_CELLS) -> DataFrame:
+    """point, x, density, count_scale: Gaussian kernel density of ``column`` on an evenly spaced grid
     (Scott's bandwidth: sample std x n^(-1/5); grid from min - cut*bw to
-    max + cut*bw), the curve drawn over the exploration histogram.
+    max + cut*bw), and the same curve on the scale of a histogram of counts with ``bins`` bins.
 
-    Every row adds exp(-z^2/2) to each grid point; the grid index is
-    generated inside the task and summed by a partial aggregation, so only
-    ``gridsize`` partial sums per task are shuffled."""
+    Two stages. The rows are binned linearly: each gives its two neighbours among ``cells`` + 1 evenly spaced
+    places a share of its weight, by distance (a partial aggregation; one row per place remains). Then every
+    place, not every row, adds its kernel to the grid points. The error is of the order of (cell / bandwidth)^2."""
     x = F.col(column).cast("double")
     data = df.filter(x.isNotNull()).select(x.alias("_x"))
     # one aggregate row (four numbers) fetched first; the density job uses literals
     n0, sd0, lo0, hi0 = data.agg(F.count(F.lit(1)), F.stddev("_x"), F.min("_x"), F.max("_x")).first()
     if not n0 or sd0 is None or sd0 == 0:
-        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+        return df.sparkSession.createDataFrame([], "point int, x double, density double, count_scale double")
     n, lo, hi = F.lit(float(n0)), F.lit(float(lo0)), F.lit(float(hi0))
+    width = (hi - lo) / F.lit(float(cells))
+    place = (F.col("_x") - lo) / width
+    low = F.least(F.floor(place), F.lit(cells - 1))
+    binned = data.groupBy(low.alias("_b")).agg(F.count(F.lit(1)).alias("_n"), F.sum(place - low).alias("_up"))
+    ends = F.array(F.struct(F.col("_b").alias("b"), (F.col("_n") - F.col("_up")).alias("w")),
+                   F.struct((F.col("_b") + 1).alias("b"), F.col("_up").alias("w")))
+    weights = binned.select(F.explode(ends).alias("_e")).groupBy(F.col("_e.b").alias("_b")).agg(F.sum("_e.w").alias("_w"))
     bw = F.lit(float(sd0)) * F.pow(n, F.lit(-0.2))
     start = lo - F.lit(cut) * bw
     step = ((hi + F.lit(cut) * bw) - start) / F.lit(float(gridsize - 1))
     grid_x = start + F.col("_i") * step
-    z = (grid_x - F.col("_x")) / bw
-    sums = (data.select("_x", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("_i"))
-            .groupBy("_i").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_s")))
-    norm = n * bw * F.lit((2 * 3.141592653589793) ** 0.5)
-    return sums.select(F.col("_i").alias("point"), grid_x.alias("x"), (F.col("_s") / norm).alias("density"))
+    z = (grid_x - (lo + F.col("_b") * width)) / bw
+    sums = (weights.select("_b", "_w", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("_i"))
+            .groupBy("_i").agg(F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("_s")))
+    curve = F.col("_s") / (bw * F.lit((2 * 3.141592653589793) ** 0.5))
+    return sums.select(F.col("_i").alias("point"), grid_x.alias("x"), (curve / n).alias("density"),
+                       (curve * (hi - lo) / F.lit(float(bins))).alias("count_scale"))
+
+
+def top_airports(ground: DataFrame, n: int = K.TOP_AIRPORTS) -> DataFrame:
+    """Airports by the number of ground rows enriched with them; top n, ties by code."""
+    return (ground.filter(F.col("on_ground")).groupBy("airport_icao", "airport_name", "airport_country")
+            .agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.col("count").desc(), F.col("airport_icao").asc_nulls_last()).limit(n))

@@ -8,11 +8,14 @@ the plain mean of per-window means.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import constants as K
 from contrail.functions import hour_minute, percent_text
+from contrail.session import materialize
 
 
 def _mean(values: str, weights: str | None) -> F.Column:
@@ -80,19 +83,45 @@ def recent_alerts(anomalies: DataFrame, threshold: float = K.ALERT_RATE, n: int
                     "altitude_anomalies", "velocity_anomalies"))
 
 
+def phase_share(phase_stats: DataFrame) -> DataFrame:
+    """Per phase: summed count and its percentage of all observations (the phase chart, from Gold)."""
+    totals = phase_stats.groupBy("flight_phase").agg(F.sum("flight_count").cast("long").alias("flight_count"))
+    every = F.sum("flight_count").over(Window.partitionBy(F.lit(0)))  # a row per phase
+    return totals.withColumn("share_pct", F.round(F.col("flight_count") * F.lit(100.0) / every, 4))
+
+
+def _heat_cells(anomalies: DataFrame) -> DataFrame:
+    """(origin_country, hour, sum and count of rates): at most 1440 rows per country, written once and read by all that follows."""
+    return materialize(anomalies.groupBy("origin_country", hour_minute("window_start").alias("hour")).agg(
+        F.sum("anomaly_rate").alias("_s"), F.count("anomaly_rate").alias("_n")), "heatmap")
+
+
+def _hottest(cells: DataFrame, n: int) -> DataFrame:
+    mean = F.sum("_s") / F.sum("_n")
+    return (cells.filter(F.col("origin_country").isNotNull()).groupBy("origin_country").agg(mean.alias("_m"))
+            .orderBy(F.col("_m").desc(), F.col("origin_country").asc()).limit(n))
+
+
 def anomaly_heatmap(anomalies: DataFrame, n: int = K.TOP_COUNTRIES_HEATMAP) -> DataFrame:
     """Mean rate per (country, HH:MM of window start) for the n countries with
     the highest mean rate, long form; every HH:MM present anywhere appears for
     each of those countries (0 where the country has no window).
 
-    The HH:MM set is at most 1440 values and the country list n rows, so
+    The anomalies are read once. The HH:MM set is at most 1440 values and the country list n rows, so
     both travel as bounded arrays; no join of unbounded sides."""
-    hm = anomalies.withColumn("hour", hour_minute("window_start"))
-    cells = hm.groupBy("origin_country", "hour").agg(F.avg("anomaly_rate").alias("anomaly_rate"))
-    top = (hm.filter(F.col("origin_country").isNotNull()).groupBy("origin_country")
-           .agg(F.avg("anomaly_rate").alias("_m"))
-           .orderBy(F.col("_m").desc(), F.col("origin_country").asc()).limit(n))
-    hours = hm.agg(F.sort_array(F.collect_set("hour"))).scalar()
-    grid = top.select("origin_country", F.explode(hours).alias("hour"))
+    cells = _heat_cells(anomalies)
+    hours = cells.agg(F.sort_array(F.collect_set("hour"))).scalar()
+    grid = _hottest(cells, n).select("origin_country", F.explode(hours).alias("hour"))
     return grid.join(cells, ["origin_country", "hour"], "left").select(
-        "origin_country", "hour", F.coalesce("anomaly_rate", F.lit(0.0)).alias("anomaly_rate"))
+        "origin_country", "hour", F.coalesce(F.col("_s") / F.col("_n"), F.lit(0.0)).alias("anomaly_rate"))
+
+
+def anomaly_heatmap_wide(anomalies: DataFrame, n: int = K.TOP_COUNTRIES_HEATMAP, hours: Sequence[str] | None = None) -> DataFrame:
+    """The heatmap as a matrix: a row per country, a column per HH:MM (``hours``; default: all that occur, at
+    most 1440, in order), 0 where the country has no window."""
+    cells = _heat_cells(anomalies)
+    if hours is None:
+        hours = [r["hour"] for r in cells.select("hour").distinct().orderBy("hour").collect()]  # at most 1440
+    top = _hottest(cells, n).select("origin_country")
+    wide = cells.join(top, "origin_country").groupBy("origin_country").pivot("hour", list(hours)).agg(F.sum("_s") / F.sum("_n"))
+    return wide.na.fill(0.0)

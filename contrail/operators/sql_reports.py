@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail import constants as K
+from contrail.operators.features import ORDER
 
 VIEW = "flights"
 
@@ -37,6 +38,21 @@ def report(by: str, name: str, count: str = "count", means: Mapping[str, str] |
     return text if top is None else f"{text} ORDER BY {count} DESC, {name} LIMIT {top}"
 
 
+def evolution(view: str = VIEW, preceding: int = K.ROLLING_PRECEDING, top: int | None = K.EVOLUTION_LIMIT) -> str:
+    """Each observation with the change since the aircraft's last one, its rolling mean and the speed's rank in the country.
+
+    Windows of one aircraft or country: for tables where none of these is large; ``reports.flight_evolution`` cuts them up."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in ORDER)
+    text = f"""SELECT icao24, callsign, origin_country, event_timestamp, altitude_meters,
+  lag(altitude_meters) OVER seen AS prev_altitude,
+  altitude_meters - lag(altitude_meters) OVER seen AS altitude_change,
+  round(avg(altitude_meters) OVER (PARTITION BY icao24 ORDER BY {order} ROWS BETWEEN {preceding} PRECEDING AND CURRENT ROW), 2) AS rolling_avg_altitude,
+  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS BIGINT) AS velocity_rank_in_country
+FROM {view} WHERE icao24 IS NOT NULL AND altitude_meters IS NOT NULL
+WINDOW seen AS (PARTITION BY icao24 ORDER BY {order}) ORDER BY icao24, {order}"""
+    return text if top is None else f"{text} LIMIT {top}"
+
+
 def statements(view: str = VIEW, top: int = K.TOP_COUNTRIES_REPORT) -> dict[str, str]:
     """Name -> SQL of the reports over ``view``."""
     bucket = case_of_bounds("altitude_meters", K.ALTITUDE_BUCKETS, K.ALTITUDE_BUCKET_TOP, K.ALTITUDE_BUCKET_NULL)
@@ -45,6 +61,7 @@ def statements(view: str = VIEW, top: int = K.TOP_COUNTRIES_REPORT) -> dict[str,
         "altitude_distribution": report(bucket, "altitude_range", view=view),
         "country_stats_top": report("origin_country", "origin_country", "nb_observations",
                                     {"avg_altitude": "altitude_meters"} | speed, known_only=True, top=top, view=view),
+        "flight_evolution": evolution(view),
         "ground_vs_air": report("on_ground", "on_ground", means=speed, view=view),
     }
 

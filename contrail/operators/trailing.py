@@ -2,23 +2,23 @@
 
 ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to a single
 task: one busy aircraft (or a replayed feed) can then hold a large share of
-all rows. Here a key's rows are cut into time chunks and the window runs per
-(key, chunk). The few rows a chunk needs from before its start (the "halo")
-come from a small side table: the last ``preceding`` rows of every chunk.
-
-For every input row the result carries
-
-* ``<trail>``: array of up to ``preceding + 1`` structs of ``fields`` — the
-  rows before it (oldest first) and the row itself, in (key, ts) order;
-* ``<pos>``: its 1-based position within the key (``row_number``).
-
-Both are exactly what the plain per-key window gives: the chunk window frame
-and the halo are concatenated in order, and sums are folded in the same
-order as Spark's sliding frame, so rolling statistics are bit-identical.
-
-Plan: one hash exchange of the data on (key, chunk); the tail/halo tables are
-O(preceding x chunks) and are shuffled separately; the join back reuses the
-data's partitioning.
+all rows. Here every key's rows are cut into time chunks and Spark's own
+window frames run per (key, chunk). What a chunk needs from before its start
+comes from two small side tables:
+
+* :func:`chunk_starts` — per chunk, how many rows of the key came before and the
+  last of them (for LAG and ROW_NUMBER): one row per (key, chunk);
+* :func:`halo_rows` — per chunk, copies of the ``preceding`` rows before it. They
+  are put in front of the chunk's own rows (:data:`AT` orders them), take part in
+  the frames, and are filtered out afterwards.
+
+Both take what an earlier run left behind (``carry``, see ``operators.carry``) as
+the rows before a key's first chunk, so a stream continues where its last batch ended.
+
+Plan: one hash exchange of the data on (key, chunk), read by the side tables and by
+the windows alike; the halo rows are dealt on the same columns, so the union keeps
+the partitioning and the windows need no further exchange. The side tables'
+per-key windows are bounded by the time span, not by the number of rows.
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_COL = "_chunk"
+AT = "_at"
 _NULL_CHUNK = -(2 ** 62)  # NULL event times sort first, as Spark sorts NULLs first under ASC
+_CARRIED = _NULL_CHUNK - 1  # what an earlier run left behind
 
 _UNIT_MICROS = {
     "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -55,87 +57,46 @@ def with_chunk(df: DataFrame, ts: str, chunk: str) -> DataFrame:
     return df.withColumn(CHUNK_COL, F.coalesce(cid, F.lit(_NULL_CHUNK).cast("long")))
 
 
-def trailing_rows(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    fields: Sequence[str],
-    preceding: int,
-    chunk: str = "1 hour",
-    trail: str = "_trail",
-    pos: str = "_pos",
-    tiebreak: Sequence[str] = (),
-) -> DataFrame:
+def chunk_starts(rows: DataFrame, key: str, order: Sequence[str], fields: Sequence[str],
+                 weight: Column | None = None, carry: DataFrame | None = None) -> DataFrame:
+    """(key, chunk, ``_before``, ``_prev``): the number of the key's rows before each
+    chunk (``weight`` rows each) and the ``fields`` of the last of them."""
+    count = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    ends = rows.groupBy(key, CHUNK_COL).agg(
+        count.alias("_n"), F.max_by(F.struct(*fields), F.struct(*order)).alias("_last"))
+    if carry is not None:
+        ends = ends.unionByName(carry.select(
+            key, F.lit(_CARRIED).cast("long").alias(CHUNK_COL), F.col("observations").alias("_n"), F.col("last").alias("_last")))
+    w = Window.partitionBy(key).orderBy(CHUNK_COL)
+    return ends.select(key, CHUNK_COL, F.lag("_last").over(w).alias("_prev"),
+                       F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+
+
+def halo_rows(rows: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], preceding: int,
+              carry: DataFrame | None = None) -> DataFrame:
+    """(key, chunk, ``fields``, AT): for each chunk the up to ``preceding`` rows of its
+    key before it, numbered by AT from 0 in order; dealt by (key, chunk)."""
+    latest = Window.partitionBy(key, CHUNK_COL).orderBy(*[F.col(c).desc() for c in order])
+    ends = rows.select(key, CHUNK_COL, *fields, F.row_number().over(latest).alias("_back")).filter(F.col("_back") <= preceding)
+    if carry is not None:
+        left = carry.select(key, F.lit(_CARRIED).cast("long").alias(CHUNK_COL), F.posexplode(F.reverse("tail")).alias("_p", "_r"))
+        ends = ends.unionByName(left.select(key, CHUNK_COL, *[F.col(f"_r.{f}").alias(f) for f in fields], (F.col("_p") + 1).alias("_back")))
+    w = Window.partitionBy(key).orderBy(CHUNK_COL, F.col("_back").desc())
+    ends = ends.select(
+        key, "_back", F.collect_list(F.struct(*fields)).over(w.rowsBetween(-(preceding - 1), 0)).alias("_rows"),
+        F.lead(CHUNK_COL).over(w).alias("_next")).filter((F.col("_back") == 1) & F.col("_next").isNotNull())
+    return ends.select(key, F.col("_next").alias(CHUNK_COL), F.posexplode("_rows").alias(AT, "_r")).select(
+        key, CHUNK_COL, *[F.col(f"_r.{f}").alias(f) for f in fields], AT).repartition(key, CHUNK_COL)
+
+
+def trailing_windows(rows: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], preceding: int,
+                     columns: dict[str, Column], carry: DataFrame | None = None) -> DataFrame:
+    """Add ``columns`` (aggregates of ``fields``) over each row and the ``preceding`` rows of its key before it.
+
+    ``rows`` has a chunk column (:func:`with_chunk`)."""
     if preceding < 1:
         raise ValueError("preceding must be >= 1")
-    df = with_chunk(df, ts, chunk)
-    w = Window.partitionBy(key, CHUNK_COL).orderBy(ts, *tiebreak)
-    value = F.struct(*[F.col(f) for f in fields])
-    staged = (
-        df.withColumn("_rn", F.row_number().over(w))
-        .withColumn("_cnt", F.count(F.lit(1)).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .withColumn("_win", F.collect_list(value).over(w.rowsBetween(-preceding, 0)))
-    )
-
-    # Last `preceding` rows of every chunk, then for each chunk the rows that
-    # precede it: the trailing `preceding` tail rows up to the end of the
-    # previous non-empty chunk. Size: <= preceding rows per (key, chunk).
-    tails = staged.filter(F.col("_rn") > F.col("_cnt") - preceding).select(
-        key, CHUNK_COL, "_rn", "_cnt", value.alias("_v"))
-    wt = Window.partitionBy(key).orderBy(CHUNK_COL, "_rn")
-    halo = (
-        tails.withColumn("_halo", F.collect_list("_v").over(wt.rowsBetween(-(preceding - 1), 0)))
-        .withColumn("_next", F.lead(CHUNK_COL).over(wt))
-        .withColumn("_before", F.sum(F.when(F.col("_rn") == F.col("_cnt"), F.col("_cnt"))).over(
-            wt.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .filter((F.col("_rn") == F.col("_cnt")) & F.col("_next").isNotNull())
-        .select(key, F.col("_next").alias(CHUNK_COL), "_halo", "_before")
-    )
-
-    joined = staged.join(halo, on=[key, CHUNK_COL], how="left")
-    full = F.when(F.col("_halo").isNull(), F.col("_win")).otherwise(F.concat("_halo", "_win"))
-    return (
-        joined.withColumn(trail, F.slice(full, F.greatest(F.size(full) - preceding, F.lit(1)), preceding + 1))
-        .withColumn(pos, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_rn")).cast("int"))
-        .drop("_rn", "_cnt", "_win", "_halo", "_before")
-    )
-
-
-# ---- folds over a trail array (same arithmetic and order as Spark's aggregates)
-
-def previous(trail: str | Column, field: str) -> Column:
-    t = F.col(trail) if isinstance(trail, str) else trail
-    return F.try_element_at(t, F.lit(-2)).getField(field)
-
-
-def _values(trail, field: str) -> Column:
-    t = F.col(trail) if isinstance(trail, str) else trail
-    return F.filter(F.transform(t, lambda r: r.getField(field).cast("double")), lambda x: x.isNotNull())
-
-
-def trail_mean(trail, field: str) -> Column:
-    """``avg`` over the trail: running double sum in row order / count; NULL if empty."""
-    acc = F.aggregate(
-        _values(trail, field),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n")),
-        lambda a, x: F.struct((a["s"] + x).alias("s"), (a["n"] + 1).alias("n")),
-    )
-    return F.when(acc["n"] > 0, acc["s"] / acc["n"].cast("double"))
-
-
-def trail_stddev(trail, field: str) -> Column:
-    """Sample standard deviation with Spark's streaming update (NULL for n < 2)."""
-    def step(a, x):
-        n = a["n"] + F.lit(1.0)
-        delta = x - a["avg"]
-        delta_n = delta / n
-        return F.struct(n.alias("n"), (a["avg"] + delta_n).alias("avg"),
-                        (a["m2"] + delta * (delta - delta_n)).alias("m2"))
-
-    acc = F.aggregate(
-        _values(trail, field),
-        F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("avg"), F.lit(0.0).alias("m2")),
-        step,
-    )
-    return F.when(acc["n"] > 1.0, F.sqrt(acc["m2"] / (acc["n"] - F.lit(1.0))))
+    halo = halo_rows(rows, key, order, fields, preceding, carry)
+    frame = Window.partitionBy(key, CHUNK_COL).orderBy(AT, *order).rowsBetween(-preceding, 0)
+    both = rows.withColumn(AT, F.lit(preceding)).unionByName(halo, allowMissingColumns=True)
+    return both.withColumns({name: c.over(frame) for name, c in columns.items()}).filter(F.col(AT) == preceding).drop(AT)

@@ -10,6 +10,7 @@ engines may sum in different orders are rounded to 6 decimals.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,8 +99,8 @@ def q_features(spark, sf):
 
 @register("features_time_chunked", ORACLE["features_full"])
 def q_features_chunked(spark, sf):
-    """Every aircraft through the time-chunked (hot-key) path: same rows."""
-    out = feat.build_features(clean(spark, sf), testdata.airports(spark, sf), hot_key_rows=0)
+    """Shorter time chunks: many chunk borders, same rows."""
+    out = feat.build_features(clean(spark, sf), testdata.airports(spark, sf), chunk="1 hour")
     return present(out, ROLLING_COLS)
 
 
@@ -149,10 +150,9 @@ def q_nearest(spark, sf):
 @register("top_airports", O.q("closest", """SELECT airport_icao, airport_name, airport_country, count(*) AS count
 FROM closest GROUP BY 1, 2, 3 ORDER BY count DESC, airport_icao ASC NULLS LAST LIMIT 10"""))
 def q_top_airports(spark, sf):
-    ground = nearest_airport(clean(spark, sf), testdata.airports(spark, sf))
-    return (ground.groupBy("airport_icao", "airport_name", "airport_country")
-            .agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.col("count").desc(), F.col("airport_icao").asc_nulls_last()).limit(10))
+    from contrail.operators.reports import top_airports
+
+    return top_airports(nearest_airport(clean(spark, sf), testdata.airports(spark, sf)))
 
 
 # -------------------------------------------------------------------- gold
@@ -226,19 +226,28 @@ def q_altitude_distribution(spark, sf):
     return RP.altitude_distribution(silver(spark, sf))
 
 
-@register("flight_evolution", O.q("silver", """SELECT icao24, callsign, origin_country, event_timestamp, altitude_meters,
-  lag(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp) AS prev_altitude,
-  altitude_meters - lag(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp) AS altitude_change,
-  round(avg(altitude_meters) OVER (PARTITION BY icao24 ORDER BY event_timestamp
-        ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 2) AS rolling_avg_altitude,
-  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS BIGINT)
-        AS velocity_rank_in_country
+_TOTAL_ORDER = ", ".join(f"{c} NULLS FIRST" for c in feat.ORDER)
+
+
+def _evolution_sql(limit: str = "") -> str:
+    return O.q("silver", f"""SELECT icao24, callsign, origin_country, event_timestamp, altitude_meters,
+  lag(altitude_meters) OVER w AS prev_altitude, altitude_meters - lag(altitude_meters) OVER w AS altitude_change,
+  round(avg(altitude_meters) OVER (w ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 2) AS rolling_avg_altitude,
+  CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS BIGINT) AS velocity_rank_in_country
 FROM silver WHERE icao24 IS NOT NULL AND altitude_meters IS NOT NULL
-ORDER BY icao24, event_timestamp LIMIT 20"""))
+WINDOW w AS (PARTITION BY icao24 ORDER BY {_TOTAL_ORDER}) ORDER BY icao24, {_TOTAL_ORDER} {limit}""")
+
+
+@register("flight_evolution", _evolution_sql("LIMIT 20"))
 def q_flight_evolution(spark, sf):
     return present(RP.flight_evolution(silver(spark, sf)))
 
 
+@register("flight_evolution_all", _evolution_sql())
+def q_flight_evolution_all(spark, sf):
+    return present(RP.flight_evolution(silver(spark, sf), None))
+
+
 @register("velocity_rank", O.q("silver", """SELECT *,
   CAST(rank() OVER (PARTITION BY origin_country ORDER BY velocity_kmh DESC NULLS LAST) AS BIGINT)
         AS velocity_rank_in_country FROM silver"""))
@@ -304,7 +313,7 @@ def _corr_sql() -> str:
 
 @register("correlation_matrix", _corr_sql())
 def q_correlation(spark, sf):
-    return present(RP.correlation_matrix(features(spark, sf), _CORR_COLS), ("corr",))
+    return present(RP.correlation_matrix(materialize(features(spark, sf).select(*_CORR_COLS), "corr"), _CORR_COLS), ("corr",))
 
 
 @register("traffic_per_minute", O.q("features", """SELECT make_timestamp(m * 60000000) AS minute,
@@ -396,6 +405,24 @@ def q_heatmap(spark, sf):
     return present(SV.anomaly_heatmap(anomalies(spark, sf)), ("anomaly_rate",))
 
 
+HOURS = [f"{h:02d}:00" for h in range(24)]
+
+
+@register("anomaly_heatmap_wide", O.q("features", "SELECT origin_country, " + ", ".join(
+    f"round(coalesce(avg(anomaly_rate) FILTER (strftime(window_start, '%H:%M') = '{h}'), 0.0), 6) AS \"{h}\"" for h in HOURS)
+    + """ FROM anomalies WHERE origin_country IN (SELECT origin_country FROM anomalies WHERE origin_country IS NOT NULL GROUP BY 1
+      ORDER BY avg(anomaly_rate) DESC, origin_country ASC LIMIT 15) GROUP BY origin_country""", O.anomalies_cte(6 * O.HOUR_US, O.HOUR_US)))
+def q_heatmap_wide(spark, sf):
+    """The matrix over hourly windows: a column per full hour."""
+    return present(SV.anomaly_heatmap_wide(anomalies(spark, sf, "6 hours", "1 hour"), hours=HOURS), HOURS)
+
+
+@register("phase_share_gold", O.q("features", """SELECT flight_phase, CAST(sum(flight_count) AS BIGINT) AS flight_count,
+  round(sum(flight_count) * 100.0 / (SELECT sum(flight_count) FROM phase_stats), 4) AS share_pct FROM phase_stats GROUP BY 1""", O.phase_stats_cte()))
+def q_phase_share_gold(spark, sf):
+    return SV.phase_share(phase_stats(spark, sf))
+
+
 # --------------------------------------------------------------- wire codec
 
 from contrail.sources import wire as W  # noqa: E402
@@ -415,8 +442,10 @@ def q_state_vectors(spark, sf):
 
 from contrail import schemas as SCH  # noqa: E402
 from contrail.session import materialize, scratch_path  # noqa: E402
-from contrail.sources.tables import read_table_stream  # noqa: E402
+from contrail.sources.tables import (dated, read_gold, read_silver, read_table, read_table_stream,  # noqa: E402
+                                     write_dated, write_stream)
 from contrail.streaming import jobs as J  # noqa: E402
+from contrail.streaming.chain import Chain  # noqa: E402
 
 
 def _run_stream(spark, source_df, schema, build, name: str) -> DataFrame:
@@ -441,7 +470,7 @@ def _closed(cte: str, delay: str) -> str:
 def q_stream_silver(spark, sf):
     out = _run_stream(spark, bronze(spark, sf), SCH.WIRE,
                       lambda s, p, c: J.start_silver(s, p, c, trigger=J.AVAILABLE_NOW), "silver")
-    return present(out)
+    return present(out.drop("event_date"))
 
 
 @register("stream_features", O.q("features", "SELECT * EXCLUDE (rolling_avg_altitude, rolling_std_altitude, "
@@ -453,13 +482,13 @@ def q_stream_features(spark, sf):
     airports = testdata.airports(spark, sf)
     out = _run_stream(spark, bronze(spark, sf), SCH.WIRE,
                       lambda s, p, c: J.start_features(s, airports, p, c, trigger=J.AVAILABLE_NOW), "features")
-    return present(out.drop("batch_id"), ROLLING_COLS)
+    return present(out.select(*SCH.SILVER_ML_COLUMNS), ROLLING_COLS)
 
 
 def _gold_stream(spark, sf, table: str, name: str, **params) -> DataFrame:
     out = _run_stream(spark, features(spark, sf), SCH.SILVER_ML,
                       lambda s, p, c: J.start_gold(s, table, p, c, trigger=J.AVAILABLE_NOW, **params), name)
-    return out
+    return out.drop("window_date")
 
 
 @register("stream_phase_stats", O.q("features", O.rounded(_closed("phase_stats", "2 MINUTE"), GOLD_ROUND),
@@ -480,6 +509,146 @@ def q_stream_anomalies(spark, sf):
     return present(_gold_stream(spark, sf, "country_anomalies", "anomalies"), ANOM_ROUND)
 
 
+# ---- several batches: slices of the table, taken in one after the other
+
+SLICES = 3
+
+
+def _slices(spark, sf) -> tuple[DataFrame, F.Column]:
+    """Bronze rows, and which third of the time span a row is from."""
+    rows = materialize(bronze(spark, sf), "bronze")
+    first, last = rows.agg(F.min("time"), F.max("time")).first()
+    if first is None:
+        first = last = 0
+    return rows, F.floor((F.col("time") - first) * SLICES / F.lit(last - first + 1)).cast("int")
+
+
+def _done(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+@register("stream_features_batches", ORACLE["features_full"])
+def q_stream_features_batches(spark, sf):
+    """The feature job over three batches (restarted from its checkpoint for each): the windows go on across batches."""
+    root = scratch_path(spark, "stream", "features_batches")
+    rows, part = _slices(spark, sf)
+    airports = testdata.airports(spark, sf)
+    for n in range(SLICES):
+        rows.filter(part == n).write.mode("append").parquet(f"{root}/in")
+        _done(J.start_features(read_table_stream(spark, f"{root}/in", SCH.WIRE), airports, f"{root}/out", f"{root}/ckpt",
+                               trigger=J.AVAILABLE_NOW))
+    return present(read_silver(spark, f"{root}/out").select(*SCH.SILVER_ML_COLUMNS), ROLLING_COLS)
+
+
+#: rows of the first third whose time in seconds divides by this arrive with the last one
+LATE = 40
+
+
+def _chained(spark, sf) -> Chain:
+    """The whole chain, fed third by third, with late rows."""
+    root = scratch_path(spark, "stream", "chain")
+    rows, part = _slices(spark, sf)
+    arrival = F.when((F.col("time") % LATE == 0) & (part == 0), SLICES - 1).otherwise(part)
+    chain = Chain(spark, root, lambda: read_table_stream(spark, f"{root}/in", "value string"), testdata.airports(spark, sf),
+                  {"phase_stats": {}, "country_anomalies": {"window": "6 hours", "slide": "1 hour", "watermark": "3 days"}})
+    for n in range(SLICES):
+        W.to_wire_json(rows.filter(arrival == n)).select(F.col("value").cast("string")).write.mode("append").parquet(f"{root}/in")
+        chain.drain()
+    return chain
+
+
+_ARRIVED = f"""arrived AS (SELECT *, CASE WHEN time % {LATE} = 0 AND s = 0 THEN {SLICES - 1} ELSE s END AS slice
+  FROM (SELECT *, CAST(floor((time - lo) * {SLICES} / (hi - lo + 1)) AS INTEGER) AS s
+        FROM bronze, (SELECT min(time) AS lo, max(time) AS hi FROM bronze)))"""
+
+
+def _chain_sql(body: str, *extra: str) -> str:
+    """The naive chain with windows in the order of arrival, and the watermark of the batches before a row's own."""
+    late = [O.BRONZE, _ARRIVED, O.SILVER.replace("category", "category, slice").replace("FROM bronze", "FROM arrived"), O.CLEAN,
+            O.TEMPORAL.replace("ORDER BY event", "ORDER BY slice, event"), O.AIRPORTS, O.CLOSEST, O.ENRICHED,
+            O.ROLLING.replace("ORDER BY event", "ORDER BY slice, event"), O.FEATURES.replace("SELECT event_timestamp", "SELECT slice, event_timestamp"),
+            "mark AS (SELECT slice, lag(m) OVER (ORDER BY slice) AS before FROM (SELECT slice, max(max(event_timestamp)) OVER (ORDER BY slice) AS m "
+            "FROM features GROUP BY slice))", *extra]
+    return "WITH " + ",".join(late) + "\n" + body
+
+
+@register("stream_bronze", O.q("bronze", "SELECT * FROM bronze"))
+def q_stream_bronze(spark, sf):
+    rows = W.to_wire_json(bronze(spark, sf)).select(F.col("value").cast("string"))
+    out = _run_stream(spark, rows, "value string", lambda s, p, c: J.start_bronze(s, p, c, trigger=J.AVAILABLE_NOW), "bronze")
+    return out.select(*SCH.WIRE.fieldNames())
+
+
+def _on_time(cte: str, delay: str) -> str:
+    """Rows of a Gold CTE over features whose window the watermark had not passed when they arrived."""
+    inner = cte.replace("FROM features)", "FROM features JOIN mark USING (slice))").replace("FROM features f CROSS", "FROM features f JOIN mark USING (slice) CROSS").replace("SELECT f.*,", "SELECT f.*, before,")
+    keep = f"(before IS NULL OR make_timestamp(CAST(ws + WIDTH AS BIGINT)) > before - INTERVAL {delay})"
+    width = "60000000" if "phase" in cte else str(6 * O.HOUR_US)
+    keep = keep.replace("WIDTH", width)
+    return (inner.replace("GROUP BY ws, flight_phase", f"WHERE {keep} GROUP BY ws, flight_phase")
+            .replace("GROUP BY ws, origin_country", f"AND {keep} GROUP BY ws, origin_country"))
+
+
+@register("stream_chain", _chain_sql(
+    "SELECT 'phase_stats' AS gold, window_start, window_end, flight_phase AS name, flight_count AS rows, round(avg_altitude, 6) AS avg_altitude "
+    f"FROM {_closed('phase_stats', '2 MINUTE')} UNION ALL "
+    "SELECT 'country_anomalies', window_start, window_end, origin_country, total_observations, round(avg_altitude, 6) "
+    f"FROM {_closed('anomalies', '3 DAY')}",
+    _on_time(O.phase_stats_cte(), "2 MINUTE"), _on_time(O.anomalies_cte(6 * O.HOUR_US, O.HOUR_US), "3 DAY")))
+def q_stream_chain(spark, sf):
+    """Both Gold tables at the end of the chain: late rows count where the watermark still lets them."""
+    chain = _chained(spark, sf)
+    phases = read_gold(spark, chain.table("phase_stats")).select(
+        F.lit("phase_stats").alias("gold"), "window_start", "window_end", F.col("flight_phase").alias("name"),
+        F.col("flight_count").alias("rows"), "avg_altitude")
+    anomalies_ = read_gold(spark, chain.table("country_anomalies")).select(
+        F.lit("country_anomalies").alias("gold"), "window_start", "window_end", F.col("origin_country").alias("name"),
+        F.col("total_observations").alias("rows"), "avg_altitude")
+    return present(phases.unionByName(anomalies_), ("avg_altitude",))
+
+
+# ------------------------------------------------- layout and schema changes
+
+@register("recent_gold", O.q("features", O.rounded(
+    "(SELECT * FROM phase_stats WHERE window_start >= (SELECT max(window_start) FROM phase_stats) - INTERVAL 7 DAY)", GOLD_ROUND), O.phase_stats_cte()))
+def q_recent_gold(spark, sf):
+    """A Gold table written by date; the last week of it is read from its dates' files alone."""
+    path = scratch_path(spark, "gold", "phase_stats")
+    write_dated(phase_stats(spark, sf), path)
+    last = read_gold(spark, path).agg(F.max("window_start")).first()[0]
+    return present(read_gold(spark, path, since=last - timedelta(days=7) if last is not None else None), GOLD_ROUND)
+
+
+_EVOLVED = """SELECT * EXCLUDE (callsign, velocity_kmh), CASE WHEN epoch(event_timestamp)::BIGINT % 2 = 0 THEN callsign END AS callsign,
+  CASE WHEN epoch(event_timestamp)::BIGINT % 2 = 0 THEN velocity_kmh END AS velocity_kmh FROM silver"""
+
+
+def _evolved(spark, sf, name: str) -> str:
+    """A Silver table whose first files were written before two of its columns existed."""
+    path = scratch_path(spark, "evolved", name)
+    rows, new = silver(spark, sf), F.unix_seconds("event_timestamp") % 2 == 0
+    write_dated(rows.filter(~new).drop("callsign", "velocity_kmh"), path)
+    write_dated(rows.filter(new), path)
+    return path
+
+
+@register("schema_evolution", O.q("silver", _EVOLVED))
+def q_schema_evolution(spark, sf):
+    out = read_table(spark, _evolved(spark, sf, "batch"), merge_schema=True)
+    return present(out.select(*SCH.SILVER_COLUMNS))
+
+
+@register("stream_schema_evolution", O.q("silver", _EVOLVED))
+def q_stream_schema_evolution(spark, sf):
+    """A stream over files of both schemas, appended to a table of the newer one."""
+    path = _evolved(spark, sf, "stream")
+    out, ckpt = scratch_path(spark, "stream", "evolved"), scratch_path(spark, "stream", "evolved_ckpt")
+    _done(write_stream(dated(read_table_stream(spark, path, SCH.SILVER)), out, ckpt, trigger=J.AVAILABLE_NOW, partition_by=["event_date"]))
+    return present(read_silver(spark, out).select(*SCH.SILVER_COLUMNS))
+
+
 # ----------------------------------------------------------------------- ML
 
 from contrail.operators import classify as ML  # noqa: E402
@@ -564,6 +733,29 @@ def q_scaled_features(spark, sf):
     return present(out.select("event_timestamp", "icao24", *ML.FEATURES), ML.FEATURES, 4)
 
 
+@register("predictions_check", O.q("features", """SELECT event_timestamp, icao24, callsign, flight_phase,
+  true AS label_is_likeliest, true AS shares_sum_to_one, true AS walk_agrees FROM ml WHERE NOT training""", *_ML_CTE))
+def q_predictions_check(spark, sf):
+    """Every test row: the predicted label is the likeliest, the probabilities sum to one, and a walk down the exported
+    trees by joins comes to the same label and probabilities."""
+    from pyspark.ml.functions import vector_to_array
+
+    from contrail.operators.forest_nodes import node_table, walk
+
+    model, test_df = _fitted(spark, sf)
+    names = model.stages[0].labels
+    rows = materialize(ML.score(model, test_df.withColumn("_row", F.monotonically_increasing_id())).select(
+        "_row", "event_timestamp", "icao24", "callsign", "flight_phase", "predicted_label", "prediction", "features",
+        vector_to_array("probability").alias("p")), "scored")
+    walked = walk(node_table(spark, model), rows, ["_row"], ML.K.RF_DEPTH)
+    likeliest = F.get(F.array(*[F.lit(n) for n in names]), (F.array_position("p", F.array_max("p")) - 1).cast("int"))
+    apart = F.array_max(F.zip_with("p", "walked_probability", lambda a, b: F.abs(a - b)))
+    return present(rows.join(walked, "_row", "left").select(
+        "event_timestamp", "icao24", "callsign", "flight_phase", (F.col("predicted_label") == likeliest).alias("label_is_likeliest"),
+        (F.abs(F.aggregate("p", F.lit(0.0), lambda a, b: a + b) - 1) < 1e-9).alias("shares_sum_to_one"),
+        F.coalesce((F.col("walked") == F.col("prediction")) & (apart < 1e-9), F.lit(False)).alias("walk_agrees")))
+
+
 def _ruled(spark, sf):
     """Test rows with a prediction by a rule that SQL can recompute (the nearest phase by altitude alone)."""
     train_df, test_df = _split(spark, sf)
@@ -595,12 +787,6 @@ def q_evaluation_check(spark, sf):
     return present(ML.evaluate(_ruled(spark, sf)), ("accuracy", "f1"), 9)
 
 
-@register("importance_check", "SELECT CAST(7 AS BIGINT) AS features, CAST(1.0 AS DOUBLE) AS total")
-def q_importance_check(spark, sf):
-    model, _ = _fitted(spark, sf)
-    return ML.feature_importance(model).agg(F.countDistinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
-
-
 # ------------------------------------------------------ SQL text and density
 
 from contrail.operators import sql_reports as SQLR  # noqa: E402
@@ -609,7 +795,7 @@ from contrail.operators import sql_reports as SQLR  # noqa: E402
 def _sql_report(name: str):
     def run(spark, sf):
         SQLR.register(spark, silver(spark, sf))
-        return SQLR.run(spark, name)
+        return present(SQLR.run(spark, name))
     return run
 
 
@@ -617,16 +803,18 @@ for _name in SQLR.STATEMENTS:
     register(f"{_name}_sql", ORACLE[_name])(_sql_report(_name))
 
 
-@register("altitude_density", O.q("features", """SELECT g.point, round(s.lo - 3 * s.bw + g.point * s.step, 6) AS x,
-  round(sum(exp(-0.5 * ((s.lo - 3 * s.bw + g.point * s.step - f.a) / s.bw)
-                     * ((s.lo - 3 * s.bw + g.point * s.step - f.a) / s.bw))) / (s.n * s.bw * sqrt(2 * pi())), 12)
-    AS density
-FROM (SELECT CAST(range AS INTEGER) AS point FROM range(200)) g CROSS JOIN kst s
-CROSS JOIN (SELECT CAST(altitude_meters AS DOUBLE) AS a FROM features WHERE altitude_meters IS NOT NULL) f
-GROUP BY g.point, s.lo, s.bw, s.step, s.n""",
-    """kst AS (SELECT n, lo, bw, ((hi + 3 * bw) - (lo - 3 * bw)) / 199.0 AS step
+@register("altitude_density", O.q("features", """SELECT g.point, round(s.lo + g.point * s.step, 6) AS x,
+  round(sum(b.w * exp(-0.5 * power((s.lo + g.point * s.step - (s.lo + b.b * s.cell)) / s.bw, 2))) / (s.n * s.bw * sqrt(2 * pi())), 12) AS density,
+  round(sum(b.w * exp(-0.5 * power((s.lo + g.point * s.step - (s.lo + b.b * s.cell)) / s.bw, 2))) / (s.bw * sqrt(2 * pi()))
+        * (s.hi - s.lo) / 50, 6) AS count_scale
+FROM (SELECT CAST(range AS INTEGER) AS point FROM range(200)) g CROSS JOIN kst s CROSS JOIN kbin b
+GROUP BY g.point, s.lo, s.hi, s.bw, s.step, s.cell, s.n""",
+    """kst AS (SELECT n, lo, hi, bw, (hi - lo) / 199.0 AS step, (hi - lo) / 4096.0 AS cell
   FROM (SELECT count(*) AS n, min(a) AS lo, max(a) AS hi, stddev_samp(a) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw
-        FROM (SELECT CAST(altitude_meters AS DOUBLE) AS a FROM features WHERE altitude_meters IS NOT NULL)))"""))
+        FROM (SELECT CAST(altitude_meters AS DOUBLE) AS a FROM features WHERE altitude_meters IS NOT NULL)))""",
+    """kplace AS (SELECT (CAST(altitude_meters AS DOUBLE) - lo) / cell AS p FROM features, kst WHERE altitude_meters IS NOT NULL)""",
+    """kbin AS (SELECT b, sum(w) AS w FROM (SELECT least(floor(p), 4095) AS b, 1 - (p - least(floor(p), 4095)) AS w FROM kplace
+  UNION ALL SELECT least(floor(p), 4095) + 1, p - least(floor(p), 4095) FROM kplace) GROUP BY b)"""))
 def q_density(spark, sf):
-    out = RP.density(features(spark, sf), "altitude_meters")
-    return out.select("point", F.round("x", 6).alias("x"), F.round("density", 12).alias("density"))
+    out = RP.density(materialize(features(spark, sf).select("altitude_meters"), "density"), "altitude_meters")
+    return out.select("point", F.round("x", 6).alias("x"), F.round("density", 12).alias("density"), F.round("count_scale", 6).alias("count_scale"))

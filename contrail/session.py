@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-from contrail import constants as K
-
 _SESSION_CONF = {
     # Event time is interpreted and bucketed in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -37,7 +34,7 @@ def create_session(
     log_level: str = "WARN",
     extra_conf: dict[str, str] | None = None,
     packages: list[str] | None = None,
-    rocksdb_state: bool = False,
+    rocksdb_state: bool = True,
 ) -> SparkSession:
     """Build (or reuse) a session configured for these jobs.
 
@@ -46,7 +43,7 @@ def create_session(
     it explicitly (about 2x the executor cores) before a stream first starts.
     ``packages``: Maven coordinates to add (Kafka source, Delta tables).
     ``rocksdb_state``: keep streaming window state in RocksDB (off-heap, for
-    large state) instead of the default in-memory provider.
+    large state); False: Spark's in-memory provider.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -108,22 +105,16 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def table_path(root: str, *parts: str) -> str:
-    """``table_path('s3a://lake', 'silver', 'flights')`` -> ``s3a://lake/silver/flights``."""
-    return "/".join([root.rstrip("/"), *parts])
-
-
-def default_shuffle_partitions() -> int:
-    return int(os.environ.get("CONTRAIL_SHUFFLE_PARTITIONS", K.DEFAULT_SHUFFLE_PARTITIONS))
-
-
 def materialize(df, *parts: str):
     """Write ``df`` as Parquet below the checkpoint root and read it back.
 
     Cuts the lineage with one job (an eager ``checkpoint()`` computes its
     input twice) and survives executor loss: the files are in the shared
-    checkpoint folder.
+    checkpoint folder. They go when the driver ends.
     """
-    path = scratch_path(df.sparkSession, *(parts or ("stage",)))
+    spark = df.sparkSession
+    path = scratch_path(spark, *(parts or ("stage",)))
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)

@@ -33,6 +33,40 @@ def read_table_stream(spark: SparkSession, path: str, schema: StructType | None
     return reader.load(path)
 
 
+#: event-time column -> the partition column made from it
+DATES = {"event_timestamp": "event_date", "window_start": "window_date"}
+
+
+def dated(df: DataFrame) -> DataFrame:
+    """Add the date that Silver, Silver_ML (``event_date``) and Gold (``window_date``) tables are partitioned by."""
+    for ts, date in DATES.items():
+        if ts in df.columns:
+            return df.withColumn(date, F.to_date(ts))
+    raise ValueError(f"no event time among {df.columns}")
+
+
+def write_dated(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
+    """A table partitioned by date. ``overwrite`` replaces the dates that ``df`` has and no others (backfills).
+
+    Rows are dealt by date in partitions of even size (a busy date is split, quiet ones share a task)."""
+    out = dated(df)
+    date = out.columns[-1]
+    (out.hint("rebalance", date).write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(date).save(path))
+
+
+def between(df: DataFrame, ts: str, since=None, until=None) -> DataFrame:
+    """Rows with since <= ``ts`` < until; where the table has the date partition, only its dates are read."""
+    date = DATES[ts]
+    if since is not None:
+        df = df.filter(F.col(ts) >= F.lit(since))
+        df = df.filter(F.col(date) >= F.to_date(F.lit(since))) if date in df.columns else df
+    if until is not None:
+        df = df.filter(F.col(ts) < F.lit(until))
+        df = df.filter(F.col(date) <= F.to_date(F.lit(until))) if date in df.columns else df
+    return df.drop(date)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet",
                 partition_by: list[str] | None = None, merge_schema: bool = False) -> None:
     writer = df.write.format(fmt).mode(mode)
@@ -86,11 +120,6 @@ def read_airports(spark: SparkSession, path: str) -> DataFrame:
     return airports_dim(read_airport_csv(spark, path))
 
 
-def register_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-
-
 def flatten_window(df: DataFrame, column: str = "window") -> DataFrame:
     """``window{start,end}`` struct -> ``window_start``, ``window_end``."""
     if column not in df.columns:
@@ -100,10 +129,13 @@ def flatten_window(df: DataFrame, column: str = "window") -> DataFrame:
                      F.col(f"{column}.end").alias("window_end"), *rest)
 
 
-def read_gold(spark: SparkSession, path: str, fmt: str = "parquet", since=None) -> DataFrame:
-    """A Gold table for serving: the whole table through its own listing
-    (not a fixed number of files), optionally only windows from ``since``."""
-    df = flatten_window(read_table(spark, path, fmt))
-    if since is not None:
-        df = df.filter(F.col("window_start") >= F.lit(since))
-    return df
+def read_gold(spark: SparkSession, path: str, fmt: str = "parquet", since=None, until=None) -> DataFrame:
+    """A Gold table for serving: through its own listing (not a fixed number of
+    files), optionally only windows that start in [since, until) — of a table written by date,
+    only those dates' files are opened."""
+    return between(flatten_window(read_table(spark, path, fmt)), "window_start", since, until)
+
+
+def read_silver(spark: SparkSession, path: str, fmt: str = "parquet", since=None, until=None) -> DataFrame:
+    """Silver or Silver_ML rows, optionally only those with since <= event_timestamp < until."""
+    return between(read_table(spark, path, fmt), "event_timestamp", since, until)

@@ -7,10 +7,14 @@ can be restarted from it. Triggers are a parameter: default micro-batches,
 
 Feature job (``start_features``): window features need whole history per
 aircraft and Spark refuses LAG over a stream, so they run per micro-batch in
-``foreachBatch`` (per-batch semantics: history restarts in every batch, as in
-the original job). The batch writer is idempotent: a batch writes partition
-``batch_id=<n>`` with dynamic overwrite, so a replayed batch replaces its
-own rows instead of appending duplicates.
+``foreachBatch``. What a batch leaves behind per aircraft (its count and last rows) is
+carried into the next one, so the windows go on across batches; a batch's rows count as
+later than those of the batches before it, whatever their event times.
+``carry_over=False`` restarts them in every batch, as the original job does. A batch is
+committed under (query id, batch id), see ``streaming.ledger``: a replay adds nothing, and a
+new checkpoint is a new query.
+
+Silver, Silver_ML and Gold are partitioned by date (``tables.dated``).
 """
 
 from __future__ import annotations
@@ -20,15 +24,17 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
-from contrail import constants as K
+from contrail import schemas
 from contrail.operators import gold
 from contrail.operators.airports import AirportIndex
+from contrail.operators.carry import next_carry
 from contrail.operators.features import build_features
 from contrail.operators.silver import clean_ranges, to_silver
-from contrail.session import folder_exists
-from contrail.sources.tables import read_table_stream, write_stream
+from contrail.sources.tables import dated, read_table_stream, write_stream
 from contrail.sources.wire import parse_wire
+from contrail.streaming.ledger import BatchLedger
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -41,31 +47,44 @@ def start_bronze(raw: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
 
 def start_silver(bronze_stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                  trigger: Mapping | None = None, name: str | None = None) -> StreamingQuery:
-    """Bronze stream -> Silver (stateless filter + projection), append."""
-    return write_stream(to_silver(bronze_stream), path, checkpoint, fmt=fmt, trigger=trigger,
-                        query_name=name, merge_schema=(fmt == "delta"))
+    """Bronze stream -> Silver (stateless filter + projection), append, by event date."""
+    return write_stream(dated(to_silver(bronze_stream)), path, checkpoint, fmt=fmt, trigger=trigger,
+                        query_name=name, merge_schema=(fmt == "delta"), partition_by=["event_date"])
 
 
-def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", index_path: str | None = None):
-    """``foreachBatch`` function: one Bronze micro-batch -> Silver_ML rows
-    written to ``path/batch_id=<id>``. A replayed batch whose folder is already
-    there (it appears whole, when the write commits) is skipped: rewriting it would give
-    its rows to readers of the folder a second time.
+def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", index_path: str | None = None,
+                         carry_over: bool = True, query_id: str | None = None):
+    """``foreachBatch`` function: one Bronze micro-batch -> Silver_ML rows below
+    ``path/query_id=<id>/batch_id=<n>``, committed in the ledger.
 
     ``index_path``: folder of the airport-candidate index shared by the
     batches (default: next to the output), so a batch only searches cells
-    that no earlier batch has seen."""
+    that no earlier batch has seen. ``query_id``: default is the running query's own."""
     index = AirportIndex(airports, index_path or path.rstrip("/") + "_airport_index")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if folder_exists(batch.sparkSession, f"{path.rstrip('/')}/batch_id={batch_id}"):
+        spark = batch.sparkSession
+        query = query_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ledger = BatchLedger(spark, path, query)
+        if ledger.committed(batch_id) is not None:
             return
-        batch.persist()  # read by the cell search and by the feature plan
+        batch.persist()  # read by the cell search, the feature plan and the carried state
         try:
-            ml = build_features(clean_ranges(to_silver(batch)), airports, index=index)
-            (ml.withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").save(path))
+            clean = clean_ranges(to_silver(batch))
+            carry = ledger.carry_before(batch_id) if carry_over else None
+            ml = dated(build_features(clean, airports, index=index, carry=carry))
+            if fmt == "delta":  # the table's own log keeps (query, batch) as transaction id
+                (ml.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id).cast("long")})
+                 .write.format("delta").mode("append").partitionBy("event_date")
+                 .option("txnAppId", query).option("txnVersion", batch_id).save(path))
+                written = spark.read.format("delta").load(path).filter((F.col("query_id") == query) & (F.col("batch_id") == batch_id))
+            else:
+                ledger.publish(ml, batch_id, ["event_date"])
+                written = spark.read.schema(ml.schema).parquet(ledger.rows_path(batch_id))
+            full = ledger.write_carry(batch_id, next_carry(clean, written, carry), carry) if carry_over else 0
+            ledger.commit(batch_id, full=full)
+            if full == batch_id:
+                ledger.forget(full)
         finally:
             batch.unpersist()
 
@@ -74,8 +93,8 @@ def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", i
 
 def start_features(bronze_stream: DataFrame, airports: DataFrame, path: str, checkpoint: str,
                    fmt: str = "parquet", trigger: Mapping | None = None,
-                   name: str | None = None) -> StreamingQuery:
-    w = bronze_stream.writeStream.foreachBatch(feature_batch_writer(airports, path, fmt)).option(
+                   name: str | None = None, carry_over: bool = True) -> StreamingQuery:
+    w = bronze_stream.writeStream.foreachBatch(feature_batch_writer(airports, path, fmt, carry_over=carry_over)).option(
         "checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -92,16 +111,14 @@ def start_gold(silver_ml_stream: DataFrame, table: str, path: str, checkpoint: s
     (tumbling by country) or ``country_anomalies`` (sliding by country)."""
     builders = {"phase_stats": gold.phase_stats, "country_stats": gold.country_stats,
                 "country_anomalies": gold.country_anomalies}
-    return write_stream(builders[table](silver_ml_stream, **params), path, checkpoint, fmt=fmt,
-                        trigger=trigger, query_name=name)
+    return write_stream(dated(builders[table](silver_ml_stream, **params)), path, checkpoint, fmt=fmt,
+                        trigger=trigger, query_name=name, partition_by=["window_date"])
 
 
 def silver_ml_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Silver_ML folder as a stream (the ``batch_id`` partition column is kept)."""
-    from contrail import schemas
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType(schemas.SILVER_ML.fields + [StructField("batch_id", LongType())])
+    """Silver_ML folder as a stream (the partition columns are kept)."""
+    schema = StructType(schemas.SILVER_ML.fields + [
+        StructField("query_id", StringType()), StructField("batch_id", LongType()), StructField("event_date", DateType())])
     return read_table_stream(spark, path, schema if fmt == "parquet" else None, fmt)
 
 
@@ -135,9 +152,3 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
         if q.isActive:
             q.stop()
 
-
-DEFAULT_GOLD = {
-    "phase_stats": {"window": K.PHASE_WINDOW, "watermark": K.PHASE_WATERMARK},
-    "country_stats": {"window": K.PHASE_WINDOW, "watermark": K.PHASE_WATERMARK},
-    "country_anomalies": {"window": K.ANOMALY_WINDOW, "slide": K.ANOMALY_SLIDE, "watermark": K.ANOMALY_WATERMARK},
-}

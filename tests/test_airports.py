@@ -117,7 +117,7 @@ def test_shuffle_join_fallback_equals_brute_force(spark):
 
 
 def test_feature_paths_agree_on_test_tables(spark):
-    """Plain windows, time-chunked (every aircraft hot) and the shuffle-join
+    """Days, hours as chunks and the shuffle-join
     fallback give identical rows on the shared tables."""
     from contrail.operators.silver import clean_ranges, to_silver
     from contrail.sources import testdata
@@ -127,7 +127,7 @@ def test_feature_paths_agree_on_test_tables(spark):
     airports = testdata.airports(spark, sf)
     key = lambda r: tuple((v is None, str(v)) for v in r)
     base = sorted(build_features(clean, airports).collect(), key=key)
-    chunked = sorted(build_features(clean, airports, hot_key_rows=0, chunk="1 day").collect(), key=key)
+    chunked = sorted(build_features(clean, airports, chunk="1 hour").collect(), key=key)
     fallback = sorted(build_features(clean, airports, broadcast_max_cells=0).collect(), key=key)
     from contrail.operators.features import features_reference_order
     steps = sorted(features_reference_order(clean, airports).collect(), key=key)

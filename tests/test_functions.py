@@ -80,3 +80,76 @@ def test_sample_reads_the_whole_table(spark):
     assert abs(out.count() - 20_000) < 1_000 and out.agg(F.max("id")).first()[0] > 199_000
     assert sorted(sample_rows(df.repartition(3)).collect()) == sorted(out.collect())
     assert sample_rows(df, cap=10).count() == 10
+
+
+def test_density_matches_the_direct_sum(spark):
+    import math
+    import random
+
+    from contrail.operators import reports
+
+    rng = random.Random(3)
+    values = [rng.gauss(100, 20) for _ in range(400)] + [100.0] * 50
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    mean = sum(values) / len(values)
+    bw = math.sqrt(sum((v - mean) ** 2 for v in values) / (len(values) - 1)) * len(values) ** -0.2
+    for cut in (0.0, 3.0):
+        rows = sorted(reports.density(df, "v", gridsize=40, cut=cut).collect())
+        assert len(rows) == 40 and math.isclose(rows[0].x, min(values) - cut * bw) and math.isclose(rows[-1].x, max(values) + cut * bw)
+        for r in rows:
+            direct = sum(math.exp(-0.5 * ((r.x - v) / bw) ** 2) for v in values) / (len(values) * bw * math.sqrt(2 * math.pi))
+            assert abs(r.density - direct) < 1e-6 + 1e-4 * direct
+            assert math.isclose(r.count_scale, r.density * len(values) * (max(values) - min(values)) / 50)
+    assert reports.density(df.filter("v = 100"), "v").collect() == reports.density(df.limit(0), "v").collect() == []
+
+
+def test_correlation_with_nulls_and_large_means(spark):
+    import random
+
+    import pandas as pd
+
+    from contrail.operators import reports
+
+    rng = random.Random(5)
+    rows = [(1e9 + rng.random(), rng.random() * 3 if rng.random() < 0.8 else None, 7.0, rng.gauss(0, 1) if rng.random() < 0.5 else None) for _ in range(300)]
+    rows = [(a, b, c, None if d is None else d + a - 1e9) for a, b, c, d in rows]
+    names = ["a", "b", "c", "d"]
+    got = {(r.feature_x, r.feature_y): r.corr for r in reports.correlation_matrix(
+        spark.createDataFrame(rows, "a double, b double, c double, d double"), names).collect()}
+    want = pd.DataFrame(rows, columns=names).corr()
+    assert len(got) == 16
+    for (x, y), r in got.items():
+        if "c" in (x, y):
+            assert r is None                      # a constant column
+        else:
+            assert abs(r - want[x][y]) < 1e-6
+    empty = reports.correlation_matrix(spark.createDataFrame([], "a double, b double"), ["a", "b"]).collect()
+    assert len(empty) == 4 and all(r.corr is None for r in empty)
+
+
+def test_heatmap_wide_equals_long(spark):
+    from datetime import datetime
+
+    from contrail.operators import serving
+
+    rows = [("A", datetime(2024, 1, d, h, 0), 0.1 * d + h) for d in (1, 2) for h in (0, 5)] + [("B", datetime(2024, 1, 1, 5, 0), 9.0), (None, datetime(2024, 1, 1, 7, 0), 1.0)]
+    df = spark.createDataFrame(rows, "origin_country string, window_start timestamp, anomaly_rate double")
+    wide = {r.origin_country: r.asDict() for r in serving.anomaly_heatmap_wide(df).collect()}
+    long = {(r.origin_country, r.hour): r.anomaly_rate for r in serving.anomaly_heatmap(df).collect()}
+    assert set(wide) == {"A", "B"} and list(wide["A"])[1:] == ["00:00", "05:00", "07:00"]
+    assert long == {(c, h): v for c, r in wide.items() for h, v in r.items() if h != "origin_country"}
+
+
+def test_forest_nodes_give_the_importances(spark):
+    from contrail.operators import classify, forest_nodes
+
+    rows = [(float(i % 90), float(i * 7 % 50), 0.0, 0.0, float(i % 13), 1.0, 2.0, "A" if i % 90 > 40 else "B" if i % 13 > 5 else "C") for i in range(400)]
+    df = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in classify.FEATURES) + ", flight_phase string")
+    model = classify.train(df, trees=7, depth=4)
+    nodes = forest_nodes.node_table(spark, model)
+    got = {classify.FEATURES[r.feature]: r.importance for r in forest_nodes.importances(nodes).collect()}
+    want = {r.feature: r.importance for r in classify.feature_importance(model).collect() if r.importance > 0}
+    assert got.keys() == want.keys() and all(abs(got[f] - want[f]) < 1e-9 for f in got)
+    scored = classify.score(model, df.withColumn("_id", F.monotonically_increasing_id()))
+    walked = {r["_id"]: r.walked for r in forest_nodes.walk(nodes, scored, ["_id"], 4).collect()}
+    assert walked == {r["_id"]: r.prediction for r in scored.select("_id", "prediction").collect()}

@@ -70,20 +70,132 @@ def test_restart_from_checkpoint_and_replay(spark, tmp_dir):
     assert sorted(r.icao24 for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
-def test_feature_batch_replay_is_idempotent(spark, tmp_dir):
+def _bronze(spark, times, on_ground=lambda i: i % 2 == 0):
+    return spark.createDataFrame(
+        [(1700000000 + i, "a", "CS", "X", None, None, 1.0, 1.0, float(100 * (i % 50)), on_ground(i), 100.0 + i % 50,
+          None, None, None, None, None, None, 1) for i in times], schemas.WIRE)
+
+
+AIRPORT = [("P", "p", "c", 0.0, 0.0)]
+
+
+def test_feature_batch_replay_adds_nothing(spark, tmp_dir):
     out = os.path.join(tmp_dir, "ml")
-    airports = spark.createDataFrame([("P", "p", "c", 0.0, 0.0)], schemas.AIRPORTS)
-    bronze = spark.createDataFrame(
-        [(1700000000 + i, "a", "CS", "X", None, None, 1.0, 1.0, float(100 * i), i % 2 == 0, 100.0,
-          None, None, None, None, None, None, 1) for i in range(5)], schemas.WIRE)
-    process = jobs.feature_batch_writer(airports, out)
-    process(bronze, 0)
-    files = sorted(os.listdir(f"{out}/batch_id=0"))
-    process(bronze, 0)          # replay of the same batch id: readers of the folder see no new file
-    assert sorted(os.listdir(f"{out}/batch_id=0")) == files
-    process(bronze, 1)
+    airports = spark.createDataFrame(AIRPORT, schemas.AIRPORTS)
+    process = jobs.feature_batch_writer(airports, out, query_id="q")
+    files = lambda: sorted(os.path.join(d, f) for d, _, names in os.walk(f"{out}/query_id=q") for f in names)
+    process(_bronze(spark, range(5)), 0)
+    first = files()
+    process(_bronze(spark, range(5)), 0)      # replay: readers of the folder see no new file
+    assert files() == first
+    process(_bronze(spark, range(5, 9)), 1)
+    df = spark.read.parquet(out)
+    assert df.count() == 9 and df.filter("batch_id = 0").count() == 5
+
+
+def test_replay_after_a_crash_between_the_steps(spark, tmp_dir):
+    """Rows published but not recorded are kept, and the steps that are missing run."""
+    from contrail.streaming.ledger import BatchLedger
+
+    out = os.path.join(tmp_dir, "ml")
+    process = jobs.feature_batch_writer(spark.createDataFrame(AIRPORT, schemas.AIRPORTS), out, query_id="q")
+    process(_bronze(spark, range(5)), 0)
+    process(_bronze(spark, range(5, 9)), 1)
+    whole = sorted(map(tuple, spark.read.parquet(out).collect()), key=str)
+    ledger = BatchLedger(spark, out, "q")
+    state = sorted(map(tuple, ledger.carry_before(2).collect()), key=str)
+    os.remove(f"{out}/_ledger/q/1")           # the crash: no record, no carried state
+    for name in os.listdir(f"{out}/_carry/q/batch_id=1"):
+        os.remove(f"{out}/_carry/q/batch_id=1/{name}")
+    os.rmdir(f"{out}/_carry/q/batch_id=1")
+    assert ledger.committed(1) is None
+    process(_bronze(spark, range(5, 9)), 1)
+    assert sorted(map(tuple, spark.read.parquet(out).collect()), key=str) == whole
+    assert ledger.committed(1) is not None and sorted(map(tuple, ledger.carry_before(2).collect()), key=str) == state
+
+
+def test_new_checkpoint_loses_nothing(spark, tmp_dir):
+    """A second query on the same output starts at batch 0 again; its rows are added, not skipped."""
+    airports = spark.createDataFrame(AIRPORT, schemas.AIRPORTS)
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "ml")
+    run = lambda source, ckpt: jobs.start_features(read_table_stream(spark, source, schemas.WIRE), airports, out, os.path.join(tmp_dir, ckpt),
+                                                   trigger=jobs.AVAILABLE_NOW).awaitTermination()
+    _bronze(spark, range(5)).write.parquet(src)
+    run(src, "ckpt1")
+    _bronze(spark, range(100, 130)).write.parquet(src + "2")
+    run(src + "2", "ckpt2")
+    run(src + "2", "ckpt2")                   # nothing new: nothing written
     df = spark.read.parquet(out)
-    assert df.count() == 10 and df.filter("batch_id = 0").count() == 5
+    assert df.count() == 35 and df.select("query_id").distinct().count() == 2
+
+
+def test_carry_over_equals_one_batch(spark, tmp_dir):
+    """Windows go on over batches, whole copies of the state in between included; without carry-over they restart."""
+    import random
+
+    from contrail.operators.features import build_features
+    from contrail.operators.silver import clean_ranges, to_silver
+    from contrail.streaming import ledger
+
+    rng = random.Random(4)
+    airports = spark.createDataFrame(AIRPORT + [("Q", "q", "c", 2.0, 2.0)], schemas.AIRPORTS)  # equally near: two rows per ground row
+    rows = [(1700000000 + i, f"p{rng.randrange(4)}", "CS", "X", None, None, 1.0, 1.0, rng.choice((None, float(rng.randrange(9000)))),
+             rng.choice((True, False, False, None)), float(rng.randrange(300)), None, None, None, None, None, None, 1) for i in range(60)]
+    frame = lambda part: spark.createDataFrame(part, schemas.WIRE)
+    cols = [c for c in schemas.SILVER_ML_COLUMNS]
+    key = lambda df: sorted(map(tuple, df.select(*cols).collect()), key=str)
+    want = key(build_features(clean_ranges(to_silver(frame(rows))), airports))
+    old, ledger.FULL_EVERY = ledger.FULL_EVERY, 2
+    try:
+        process = jobs.feature_batch_writer(airports, f"{tmp_dir}/on", query_id="q")
+        for n in range(6):
+            process(frame(rows[n * 10:n * 10 + 10]), n)
+    finally:
+        ledger.FULL_EVERY = old
+    assert key(spark.read.parquet(f"{tmp_dir}/on")) == want
+    assert not os.path.exists(f"{tmp_dir}/on/_carry/q/batch_id=0")        # older than the whole copies that a replay can need
+    process = jobs.feature_batch_writer(airports, f"{tmp_dir}/off", query_id="q", carry_over=False)
+    for n in range(2):
+        process(frame(rows[n * 30:n * 30 + 30]), n)
+    restarted = spark.read.parquet(f"{tmp_dir}/off").filter("batch_id = 1")
+    assert restarted.agg(F.min("observation_rank")).first()[0] == 1 and key(spark.read.parquet(f"{tmp_dir}/off")) != want
+
+
+def test_running_chain_with_monitor(spark, tmp_dir):
+    """All queries at once under the query manager; the late row is counted as dropped, not as data."""
+    import time
+
+    from contrail.sources import wire
+    from contrail.streaming.chain import Chain
+    from contrail.streaming.monitor import QueryMonitor
+
+    src = os.path.join(tmp_dir, "wire")
+    os.makedirs(src)
+    chain = Chain(spark, tmp_dir, lambda: read_table_stream(spark, src, "value string"),
+                  spark.createDataFrame(AIRPORT, schemas.AIRPORTS), {"phase_stats": {}})
+    monitor = QueryMonitor()
+    spark.streams.addListener(monitor)
+    queries = chain.start()
+    try:
+        assert {q.name for q in queries} == {"bronze", "silver", "silver_ml", "phase_stats"} <= {q.name for q in spark.streams.active}
+        for t in (0, 300, 600, 30, 1200):     # 30: late, the watermark is at 480
+            wire.to_wire_json(_bronze(spark, [t], lambda i: True)).select(F.col("value").cast("string")).coalesce(1).write.mode("append").parquet(src)
+            for q in queries:
+                q.processAllAvailable()
+        status = {s["name"]: s for s in jobs.query_status(queries)}
+        assert all(s["active"] for s in status.values()) and status["phase_stats"]["watermark"] is not None
+    finally:
+        jobs.stop_all(queries)
+        deadline = time.time() + 30
+        while time.time() < deadline and any(t["ended"] < t["runs"] for t in monitor.totals().values()):
+            time.sleep(0.2)
+        spark.streams.removeListener(monitor)
+    totals = monitor.totals()
+    assert totals["phase_stats"]["dropped_rows"] == 1 and totals["bronze"]["input_rows"] == 5
+    assert all(t["error"] is None and t["ended"] == 1 for t in totals.values())
+    assert spark.read.parquet(chain.table("silver_ml")).count() == 5
+    rows = spark.read.parquet(chain.table("phase_stats"))
+    assert rows.agg(F.sum("flight_count")).first()[0] == 3   # three closed windows; the fourth is still open
 
 
 def test_airport_index_reuse_matches_fresh_search(spark, tmp_dir):
