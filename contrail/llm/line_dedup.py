@@ -8,9 +8,10 @@ the length filter and the positional filter (what is left after the shared posit
 the overlap) act, and what remains is verified on the full sets.
 
 Lines with equal sets are one class from the start, so frequent lines cost one row in the join.
+Two different sets of which the smaller has n words have a similarity of at most n / (n + 1), so at a
+threshold of 90 per cent classes of fewer than 9 words take no part in the join.
 A group of near copies does not become all pairs either: a line is first checked against the earliest
-line of each of its common prefix words (of COMMON_FROM classes or more; a rarer word adds at most
-that many pairs a line). Only lines earlier than the match found there can still change the
+line of each of its prefix words. Only lines earlier than the match found there can still change the
 result, so the join proper is left with those.
 """
 
@@ -27,8 +28,6 @@ THRESHOLD = 90  # per cent
 MIN_WORDS = 3
 #: least distinct words of a line that goes if it repeats an earlier line's set: a line without words stays
 MIN_EQUAL = 1
-#: classes of a prefix word from which on the word's earliest line is tried before the others (the result is the same)
-COMMON_FROM = 64
 BUCKETS = 1 << 14
 
 
@@ -110,8 +109,13 @@ def _earliest(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             .groupBy(F.col("x").alias("id")).agg(F.min("at").alias("earlier")))
 
 
+def least_words(threshold: int) -> float:
+    """Distinct words that the smaller of two different, similar sets has at least."""
+    return threshold / (100 - threshold) if threshold < 100 else float("inf")
+
+
 def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MIN_WORDS,
-                  common_from: int = COMMON_FROM, min_equal: int | None = None) -> DataFrame:
+                  min_equal: int | None = None) -> DataFrame:
     """doc_id, line_no, first_doc_id, first_line_no of every line that an earlier line repeats.
 
     Lines are split at \\n and compared as sets of lower-cased words; a line goes if
@@ -138,17 +142,16 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
     every = stage(lines.groupBy("s1", "s2").agg(
         F.min(F.struct("doc_id", "line_no", "n", "bits", "prefix")).alias("f"), F.count("*").alias("copies"))
         .withColumn("id", F.monotonically_increasing_id()), "line_classes", held)
-    classes = every.where(F.col("f.n") >= min_words)
+    classes = every.where((F.col("f.n") >= min_words) & (F.col("f.n") >= F.lit(least_words(threshold))))
 
     def postings(of: DataFrame, *more: str) -> DataFrame:
         return of.select("id", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"), F.col("f.bits").alias("bits"),
                          *more, F.posexplode("f.prefix").alias("i", "word"))
 
     row = F.struct("at", "id", "n", "bits", "i")
-    # the earliest line of every prefix word of many classes
-    common = stage(classes.select(F.explode("f.prefix").alias("word")).groupBy("word").agg(F.count("*").alias("m"))
-                   .where(F.col("m") >= common_from).select("word"), "line_common", held)
-    leads = stage(postings(classes).join(common, "word").groupBy("word").agg(F.min(row).alias("lead")), "line_leads", held)
+    # the earliest line of every prefix word that has others
+    leads = stage(postings(classes).groupBy("word").agg(F.min(row).alias("lead"), F.count("*").alias("m")).where("m > 1").drop("m"),
+                  "line_leads", held)
     first = stage(postings(classes).select("word", row.alias("x")).join(leads, "word").where(
         (F.col("lead.at") < F.col("x.at")) & _possible("x", "lead", threshold)).select(
         F.col("x.id").alias("x"), F.col("lead.id").alias("y")).distinct(), "line_pairs_lead", held)
@@ -157,7 +160,7 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int =
 
     # the join proper: lines earlier than the earliest match so far, under words whose earliest line is earlier than that
     until = classes.join(known, "id", "left").withColumn("until", F.coalesce("earlier", F.struct("f.doc_id", "f.line_no")))
-    x = postings(until, "until").join(leads, "word", "left").where("lead is null or lead.at < until").select(
+    x = postings(until, "until").join(leads, "word").where("lead.at < until").select(
         "word", F.struct("id", "until", "n", "bits", "i").alias("x"))
     rest = x.join(postings(classes).select("word", row.alias("y")), "word").where(
         (F.col("y.at") < F.col("x.until")) & _possible("x", "y", threshold))
@@ -183,14 +186,17 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_words: int = MI
 
     A document that loses all its lines keeps its row, with an empty text. A NULL text stays NULL.
     """
-    gone = removed_lines(docs, threshold, min_words, min_equal=min_equal).groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_set("line_no").alias("_gone"))  # one document's lines
+    names = docs.columns
+    taken = {c.lower() for c in names}
+    free = lambda c: c if c not in taken else free(f"_{c}")
+    doc, lost = free("removed_doc_id"), free("removed_lines")
+    gone = removed_lines(docs, threshold, min_words, min_equal=min_equal).groupBy(F.col("doc_id").alias(doc)).agg(
+        F.collect_set("line_no").alias(lost))  # one document's lines
     lines = F.split("text", "\n")
-    rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+    rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n"))
-    names = docs.columns
-    out = docs.join(gone, docs["doc_id"] == gone["_doc"], "left").withColumn("text", text).drop("_doc", "_gone")
+    out = docs.join(gone, F.col("doc_id") == F.col(doc), "left").withColumn("text", text).drop(doc, lost)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*names)
