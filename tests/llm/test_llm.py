@@ -154,12 +154,6 @@ def test_short_repeats_removed(spark, texts, tmp_dir):
     assert (out[200], out[201], out[202]) == ("Read more\n\n欢迎访问我们的网站\n---", "\nRead\n欢迎", "\n ")
 
 
-def test_removed_lines_any_common_from(spark, texts):
-    cols = ("doc_id", "line_no", "first_doc_id", "first_line_no")
-    docs = table(spark, texts)
-    assert pairs(line_dedup.removed_lines(docs, common_from=2), *cols) == pairs(line_dedup.removed_lines(docs), *cols)
-
-
 def test_ppm_brute(spark):
     rng = random.Random(2)
     texts = [(i, words(rng, rng.randrange(0, 40), 30)) for i in range(40)] + [(50, None), (51, "ß€\x00 odd")]
