@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import stage
+from contrail.llm.common import discard, stage
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -40,11 +40,14 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Self-loops and repeated edges are ignored; an empty table gives an empty result. Nodes
     without edges do not appear. ``a`` and ``b`` are long and not NULL.
     """
+    spark, held = edges.sparkSession, []
     edges = stage(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges", held)
     seen = _print(edges)
     while seen[0]:
-        edges = stage(_star(stage(_star(edges, True), "large"), False), "small")
+        past, held = held, []
+        edges = stage(_star(stage(_star(edges, True), "large", past), False), "small", held)
+        discard(spark, past)  # all but the last step's table
         now = _print(edges)
         if now == seen:
             break

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import Batches, id_text, list_of_longs, mix, stage, text_bytes, window_hashes, word_hashes
+from contrail.llm.common import Batches, discard, id_text, list_of_longs, mix, stage, text_bytes, window_hashes, word_hashes
 from contrail.llm.components import components
 
 WORDS = 5
@@ -36,6 +36,10 @@ BANDS = 32  # bands that are looked up; all registers serve the estimate
 MANTISSA = 10  # bits
 #: standard deviations that an estimate may lie below the threshold before a pair is dropped unverified
 MARGIN = 4.5
+#: candidate documents (id and digest, about 50 bytes each) that are broadcast to pick their texts; more meet them in a shuffle
+BROADCAST_NODES = 1 << 20
+#: pairs of one node that meet its facts in one place; a node with more has a copy of them for each further lot
+LOT = 256
 _SEEDS = mix(np.arange(1, BUCKETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -116,10 +120,10 @@ def _possible(pair_a: str, pair_b: str, threshold: int) -> Column:
 def _shingles(words: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            sets = [shingle_set(t, words) for t in text_bytes(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set_id", "shingles"])
+            sets = [shingle_set(t, words).tobytes() for t in text_bytes(batch)]
+            same = [xxhash.xxh3_128_digest(s) == i.as_py() for s, i in zip(sets, batch.column("set_id"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
+                                             ["node", "shingles"]).filter(pa.array(same, pa.bool_()))
 
     return run
 
@@ -161,11 +165,32 @@ def _verify(threshold: int):
     return run
 
 
+def attached(pairs: DataFrame, facts: DataFrame, side: str, value: Column, name: str) -> DataFrame:
+    """``pairs`` with ``value`` of the facts of the node in column ``side`` (a or b), as column ``name``.
+
+    The centre of a large group has a pair with each member. Its pairs are dealt in lots of about LOT, and
+    its facts are copied once per lot, so no task has all of them.
+    """
+    lots = pairs.groupBy(side).agg(F.ceil(F.count("*") / LOT).cast("long").alias("_lots")).where("_lots > 1")
+    dealt = pairs.join(lots, side, "left").withColumn(
+        "_lot", F.pmod(F.xxhash64("a", "b"), F.coalesce("_lots", F.lit(1)))).drop("_lots")
+    copies = facts.select(F.col("node").alias(side), value.alias(name)).join(lots, side, "left").select(
+        side, name, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_lots", F.lit(1)) - 1)).alias("_lot"))
+    return dealt.join(copies, [side, "_lot"]).drop("_lot")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
-    x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long")
+    both = attached(attached(pairs, sets, "a", F.col("shingles"), "x"), sets, "b", F.col("shingles"), "y")
+    return both.select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long")
+
+
+def _shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the documents in ``ids`` (node, set_id), whose texts are read again."""
+    ids = ids.withColumnRenamed("node", "doc_id")
+    if ids.count() <= BROADCAST_NODES:
+        ids = F.broadcast(ids)
+    return id_text(docs).join(ids, "doc_id").mapInArrow(_shingles(words), "node long, shingles binary")
 
 
 def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -179,51 +204,49 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     repeat a doc_id are one document. An empty table gives an empty result. Extra columns are
     not read.
     """
+    held: list[str] = []  # staged tables that go as soon as the components are known
     sig = stage(signatures(docs, words), "signatures")
     usable = sig.where("n_shingles > 0 and doc_id is not null")
     classes = stage(usable.groupBy("set_id").agg(F.min("doc_id").alias("node")), "classes")
     reps = stage(
         usable.join(classes.withColumnRenamed("node", "doc_id"), ["set_id", "doc_id"], "left_semi")
         .select(F.col("doc_id").alias("node"), "set_id", F.col("n_shingles").alias("n"), "bands")
-        .dropDuplicates(["node", "set_id"]), "representatives")
+        .dropDuplicates(["node", "set_id"]), "representatives", held)
 
     rows = reps.select("node", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "value"))
     shared = rows.groupBy("band", "value").agg(F.count("*").alias("members")).where("members > 1")
-    members = stage(rows.join(shared, ["band", "value"]), "members")
+    members = stage(rows.join(shared, ["band", "value"]), "members", held)
     # a node in many large buckets is likely to be near all that is in them: it is its buckets' centre
     weight = members.groupBy("node").agg(F.sum("members").alias("weight"))
     centre = F.max_by("node", F.struct("weight", -F.col("node")))
-    members = stage(members.join(weight, "node").select("band", "value", "node", "weight"), "weighted")
+    members = stage(members.join(weight, "node").select("band", "value", "node", "weight"), "weighted", held)
     centres = members.groupBy("band", "value").agg(centre.alias("first"))
     wanted = members.select("node").distinct()
     known = reps.join(wanted, "node", "left_semi").select("node", "n", "bands")
-    ids = reps.join(wanted, "node", "left_semi").select("node", "set_id")
-    texts = id_text(docs).join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    sets = stage(texts.mapInArrow(_shingles(words), "node long, set_id binary, shingles binary")
-                 .join(ids, ["node", "set_id"], "left_semi").select("node", "shingles"), "sets")
+    ids = stage(reps.join(wanted, "node", "left_semi").select("node", "set_id"), "ids", held)
+    sets = stage(_shingle_sets(docs, ids, words), "sets", held)
 
     # round 1: each bucket's members against its centre
     stars = members.join(centres, ["band", "value"]).where("node <> first").select(
         F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
-    stars = stage(
-        stars.join(known.select(F.col("node").alias("a"), F.struct("n", "bands").alias("p")), "a")
-        .join(known.select(F.col("node").alias("b"), F.struct("n", "bands").alias("q")), "b")
-        .where(_possible("p", "q", threshold)).select("a", "b"), "stars")
-    links = stage(verified(stars, sets, threshold), "links")
+    marks = F.struct("n", "bands")
+    stars = stage(attached(attached(stage(stars, "spokes", held), known, "a", marks, "p"), known, "b", marks, "q")
+                  .where(_possible("p", "q", threshold)).select("a", "b"), "stars", held)
+    links = stage(verified(stars, sets, threshold), "links", held)
     label = components(links, "a", "b")
 
     # round 2: what is outside the component with most members of a bucket, against the rest of the bucket
     at = stage(members.join(label, "node", "left").select(
-        "band", "value", "node", F.coalesce("component", "node").alias("component")), "placed")
+        "band", "value", "node", F.coalesce("component", "node").alias("component")), "placed", held)
     sizes = at.groupBy("band", "value", "component").agg(F.count("*").alias("k"))
     mixed = sizes.groupBy("band", "value").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where(
         "parts > 1").select("band", "value", "main")
-    open_rows = stage(at.join(mixed, ["band", "value"]), "open")
+    open_rows = stage(at.join(mixed, ["band", "value"]), "open", held)
     # any further link is between two of these, so what none of the others has cannot be shared
     own = own_shingles(sets.join(open_rows.select("node").distinct(), "node", "left_semi"))
     facts = known.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    open_rows = stage(open_rows.join(facts, "node"), "bounded")
+    open_rows = stage(open_rows.join(facts, "node"), "bounded", held)
     p = open_rows.where("component <> main").select(
         "band", "value", F.struct("node", "component", "main", "n", "own", "bands").alias("p"))
     q = open_rows.select("band", "value", F.struct("node", "component", "main", "n", "own", "bands").alias("q"))
@@ -232,9 +255,10 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     rest = (p.join(q, ["band", "value"]).where(F.col("p.component") != F.col("q.component")).where(once)
             .where(_bounded("p", "q", threshold)).where(first_shared).where(_possible("p", "q", threshold))
             .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct())
-    more = stage(verified(stage(rest.join(stars, ["a", "b"], "left_anti"), "rest"), sets, threshold), "more")
+    more = stage(verified(stage(rest.join(stars, ["a", "b"], "left_anti"), "rest", held), sets, threshold), "more", held)
 
     label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "a", "b")
+    discard(docs.sparkSession, held)
     of_set = classes.join(label, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
     out = sig.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left").select(
         "doc_id", "n_shingles",
