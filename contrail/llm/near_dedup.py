@@ -10,9 +10,9 @@ Four registers are one band. Documents that share a band are candidates; a colli
 Jaccard estimate from all registers drops the hopeless ones, and the rest is verified on the
 full shingle sets. At a similarity of 0.75 a pair escapes all BANDS = 32 bands with a probability of 5e-6.
 
-Large groups never become all pairs. Equal sets are one node from the start. In a first round
-each band bucket checks its members against its centre only, the member with the most company in all
-its buckets; in a second round only members that are *not* in the component with most of the
+Large groups never become all pairs. Equal sets are one node from the start. A bucket's centre is the
+member with the most company in all its buckets. In a first round each document is checked against one
+centre, the heaviest of its buckets', and then against the centres that this has left in other components; in a second round only members that are *not* in the component with most of the
 bucket's members are checked against the bucket's other components, so no link between components
 is lost. There, two sets share at most as many shingles as either shares with anyone at all: that exact
 bound settles most members of a group of near copies that are themselves too far from the others.
@@ -218,26 +218,45 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     members = stage(rows.join(shared, ["band", "value"]), "members", held)
     # a node in many large buckets is likely to be near all that is in them: it is its buckets' centre
     weight = members.groupBy("node").agg(F.sum("members").alias("weight"))
-    centre = F.max_by("node", F.struct("weight", -F.col("node")))
     members = stage(members.join(weight, "node").select("band", "value", "node", "weight"), "weighted", held)
-    centres = members.groupBy("band", "value").agg(centre.alias("first"))
+    top = F.max(F.struct("weight", (-F.col("node")).alias("minus")))
+    centres = stage(members.groupBy("band", "value").agg(top.alias("top")).select(
+        "band", "value", F.col("top.weight").alias("heavy"), (-F.col("top.minus")).alias("first")), "centres", held)
     wanted = members.select("node").distinct()
     known = reps.join(wanted, "node", "left_semi").select("node", "n", "bands")
     ids = stage(reps.join(wanted, "node", "left_semi").select("node", "set_id"), "ids", held)
     sets = stage(_shingle_sets(docs, ids, words), "sets", held)
 
-    # round 1: each bucket's members against its centre
-    stars = members.join(centres, ["band", "value"]).where("node <> first").select(
-        F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
     marks = F.struct("n", "bands")
-    stars = stage(attached(attached(stage(stars, "spokes", held), known, "a", marks, "p"), known, "b", marks, "q")
-                  .where(_possible("p", "q", threshold)).select("a", "b"), "stars", held)
-    links = stage(verified(stars, sets, threshold), "links", held)
+    ends = (F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"))
+
+    def linked(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Those that the estimate lets through, and the links among them."""
+        near = stage(attached(attached(pairs, known, "a", marks, "p"), known, "b", marks, "q")
+                     .where(_possible("p", "q", threshold)).select("a", "b"), f"{name}_near", held)
+        return near, stage(verified(near, sets, threshold), f"{name}_links", held)
+
+    def placed(label: DataFrame, name: str) -> DataFrame:
+        return stage(members.join(label, "node", "left").select(
+            "band", "value", "node", F.coalesce("component", "node").alias("component")), name, held)
+
+    # round 1: each node against the heaviest centre of its buckets, then what that leaves apart from a
+    # bucket's centre against that centre too
+    chosen = members.join(centres, ["band", "value"]).where("node <> first").groupBy("node").agg(
+        F.max(F.struct("heavy", (-F.col("first")).alias("minus"))).alias("top"))
+    tried = stage(chosen.select("node", (-F.col("top.minus")).alias("first")).select(*ends).distinct(), "tried", held)
+    stars, links = linked(tried, "one")
     label = components(links, "a", "b")
+    at = placed(label, "after_one")
+    main = at.join(centres, ["band", "value"]).where("node = first").select(
+        "band", "value", "first", F.col("component").alias("main"))
+    apart = at.join(main, ["band", "value"]).where("component <> main").select(*ends).distinct()
+    others, links = linked(stage(apart.join(tried, ["a", "b"], "left_anti"), "apart", held), "other")
+    stars = stars.unionByName(others)
+    label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links), "a", "b")
 
     # round 2: what is outside the component with most members of a bucket, against the rest of the bucket
-    at = stage(members.join(label, "node", "left").select(
-        "band", "value", "node", F.coalesce("component", "node").alias("component")), "placed", held)
+    at = placed(label, "placed")
     sizes = at.groupBy("band", "value", "component").agg(F.count("*").alias("k"))
     mixed = sizes.groupBy("band", "value").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where(
