@@ -13,6 +13,10 @@ is aggregated before the shuffle.
 
 from __future__ import annotations
 
+import functools
+import operator
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +28,8 @@ ROUNDS = 3
 SURE = 0.8
 SEEDS = 3
 CONTEXT = 40  # characters on either side that are looked at
+CHUNK = 256  # characters of a piece of text that contexts are cut from; more than CONTEXT
+BLOCK = 256  # numbers that are added up at a time
 
 # The contract's forms. A run is entered at its start only, or where the last match ended (\G): the
 # same matches as from every position, without trying each suffix of a long run.
@@ -75,22 +81,40 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once, also if ``body`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(numbers: Column) -> Column:
+    """Running totals of a non-empty array. Arrays can only grow by a copy, so they grow inside blocks."""
+    def grown(first: Column, more: Column) -> Column:
+        return F.aggregate(more, F.array(first), lambda held, x: F.concat(held, F.array(F.element_at(held, -1) + x)))
+
+    def blocks(n: Column) -> Column:
+        last = F.floor((F.size(n) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(n, k * BLOCK + 1, F.lit(BLOCK)))
+
+    def totals(parts: Column) -> Column:
+        sums = F.transform(parts, lambda b: F.aggregate(b, F.lit(0), lambda t, x: t + x))
+        return F.flatten(F.zip_with(parts, _let(sums, lambda t: F.slice(grown(F.lit(0), t), F.lit(1), F.size(t))),
+                                    lambda b, first: F.slice(grown(first, b), F.lit(2), F.size(b))))
+
+    return _let(numbers, lambda n: _let(blocks(n), totals))
+
+
 def _found(text: Column, pattern: str, kind: str, maybe: Column) -> Column:
     """array<struct<start, rank, end, kind, value>> of a pattern's matches; offsets in code points."""
-    between = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
 
-    def step(held: Column, pair: Column) -> Column:
-        start = held["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["value"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind) if kind in KINDS else 9).alias("rank"),
-                        end.alias("end"), F.lit(kind).alias("kind"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(held["spans"], F.array(span)).alias("spans"))
+    def spans(values: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values))
+        ends = _running(F.zip_with(gaps, values, lambda g, v: F.length(g) + F.length(v)))
+        return F.when(F.size(values) == 0, none).otherwise(F.zip_with(values, ends, lambda v, end: F.struct(
+            (end - F.length(v)).alias("start"), F.lit(KINDS.index(kind) if kind in KINDS else 9).alias("rank"),
+            end.alias("end"), F.lit(kind).alias("kind"), v.alias("value"))))
 
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(values)), values, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)["spans"]
-    return F.when(maybe, spans).otherwise(none)
+    return F.when(maybe, _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)).otherwise(none)
 
 
 def _strict(text: Column, kind: str) -> Column:
@@ -98,8 +122,21 @@ def _strict(text: Column, kind: str) -> Column:
     return F.filter(_found(text, STRICT[kind], kind, maybe), lambda s: _valid(kind, s["value"]))
 
 
-def _loose(text: Column, base: Column) -> Column:
-    """Candidates that no strict match overlaps, with the kind that they could be."""
+def _touched(spans: Column, span: Column) -> Column:
+    """Does any of ``spans`` (in order, none overlapping another) overlap ``span``? By binary search."""
+    bits = F.sequence(F.length(F.bin(F.size(spans))) - 1, F.lit(0), F.lit(-1))
+
+    def step(before: Column, bit: Column) -> Column:
+        further = before + F.pow(F.lit(2), bit).cast("int")
+        starts = F.coalesce(F.get(spans, further - 1)["start"] < span["end"], F.lit(False))
+        return F.when(starts, further).otherwise(before)
+
+    # of those that start before the span ends, the last one ends last
+    return F.coalesce(F.get(spans, F.aggregate(bits, F.lit(0), step) - 1)["end"] > span["start"], F.lit(False))
+
+
+def _loose(text: Column) -> Column:
+    """Candidates that no strict match (columns KINDS) overlaps, with the kind that they could be."""
     mails = _found(text, LOOSE["email"], "email", F.rlike(text, F.lit("@|\\((?:at)\\)|\\[(?:at)\\]")))
     numbers = F.transform(_found(text, LOOSE["number"], "number", F.rlike(text, F.lit("[0-9]"))), lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"),
@@ -109,16 +146,26 @@ def _loose(text: Column, base: Column) -> Column:
     six = F.filter(_found(text, LOOSE["ip6"], "ip", F.contains(text, F.lit(":"))), lambda s: F.size(F.split(s["value"], ":")) <= 8)
     dotted = F.filter(_found(text, LOOSE["ip"], "ip", F.rlike(text, F.lit("[0-9]"))),
                       lambda s: F.forall(F.split(s["value"], "[^0-9]+"), _small))
-    free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    free = lambda s: ~functools.reduce(operator.or_, (_touched(F.col(k), s) for k in KINDS))
     return F.filter(F.concat(mails, dotted, six, numbers), lambda s: s["kind"].isNotNull() & free(s))
 
 
-def _contexts(text: Column, span: Column) -> Column:
-    """Lexical patterns of a span: its two left words, and its left and right word."""
+def _contexts(chunks: Column, span: Column) -> Column:
+    """Lexical patterns of a span: its two left words, and its left and right word.
+
+    ``chunks`` is the text in pieces of CHUNK characters: a cut out of the whole text would be counted from its start.
+    """
     shape = lambda c: F.regexp_replace(F.lower(c), "[0-9]", "0")
-    before = F.split(F.trim(shape(F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1,
-                                              F.least(span["start"], F.lit(CONTEXT))))), "\\s+")
-    after = F.split(F.trim(shape(F.substring(text, span["end"] + 1, F.lit(CONTEXT)))), "\\s+")
+
+    def two(first: Column) -> Column:
+        return F.concat(*(F.coalesce(F.get(chunks, i), F.lit("")) for i in (first, first + 1)))
+
+    left = F.greatest(F.floor(span["start"] / CHUNK).cast("int") - 1, F.lit(0))
+    right = F.floor(span["end"] / CHUNK).cast("int")
+    at = span["start"] - left * CHUNK
+    before = F.split(F.trim(shape(F.substring(two(left), F.greatest(at - CONTEXT, F.lit(0)) + 1,
+                                              F.least(at, F.lit(CONTEXT))))), "\\s+")
+    after = F.split(F.trim(shape(F.substring(two(right), span["end"] - right * CHUNK + 1, F.lit(CONTEXT)))), "\\s+")
     last = lambda k: F.coalesce(F.get(F.reverse(before), F.lit(k)), F.lit(""))
     return F.array(F.concat_ws(" ", F.lit("<"), last(1), last(0)), F.concat_ws(" ", F.lit("<>"), last(0), F.get(after, F.lit(0))))
 
@@ -168,12 +215,14 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, sure: float = SURE, see
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     for kind in KINDS:
         rows = rows.withColumn(kind, _strict(F.col("text"), kind))
-    rows = rows.withColumn("base", F.concat(*KINDS)).withColumn("loose", _loose(F.col("text"), F.col("base")))
+    rows = rows.withColumn("base", F.concat(*KINDS)).withColumn("loose", _loose(F.col("text")))
+    rows = rows.withColumn("chunks", F.when(F.size("base") + F.size("loose") > 0, F.regexp_extract_all(
+        "text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).otherwise(F.array().cast("array<string>")))
 
     def noted(spans: Column, seed: bool) -> Column:
         return F.transform(spans, lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
-            _instance(s["value"], s["kind"]).alias("instance"), F.lit(seed).alias("seed"), _contexts(F.col("text"), s).alias("patterns")))
+            _instance(s["value"], s["kind"]).alias("instance"), F.lit(seed).alias("seed"), _contexts(F.col("chunks"), s).alias("patterns")))
 
     rows = stage(rows.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
