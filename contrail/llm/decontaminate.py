@@ -6,7 +6,8 @@ whole text) find every candidate place. Around each hit, Myers' bit-parallel alg
 the smallest edit distance of the item to any substring.
 
 Texts and items are compared lower-cased with white space collapsed. The benchmark is read in
-blocks of bounded size, each broadcast; documents are never shuffled.
+blocks of bounded size, each broadcast until its pass over the documents is written, so the driver and
+the executors hold one block at a time; documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import Batches
+from contrail.llm.common import Batches, discard, stage
 
 #: one edit per so many characters of an item
 CHARS_PER_EDIT = 20
@@ -159,20 +160,33 @@ def matches(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_P
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, item_id long, edits int, end long"
-    out = None
+    out = spark.createDataFrame([], schema)
     for items in blocks(benchmark, block_chars):
-        part = source.mapInArrow(_matches(spark.sparkContext.broadcast((items, chars_per_edit))), schema)
-        out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], schema) if out is None else out
+        sent = spark.sparkContext.broadcast((items, chars_per_edit))
+        out = out.unionByName(stage(source.mapInArrow(_matches(sent), schema), "matches"))
+        sent.destroy()
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT,
           block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` without the rows whose text holds a benchmark item; all columns as they were, no shuffle."""
+    """``docs`` without the rows whose text holds a benchmark item; all columns as they were, no shuffle.
+
+    Items are held as :func:`matches` finds them. NULL and empty texts hold none and stay, as do rows with a NULL
+    doc_id; of repeated rows all go or all stay. An empty benchmark takes nothing away, an empty table stays
+    empty. Of a benchmark of several blocks, what each block but the last leaves is written.
+    """
     spark = docs.sparkSession
+    held: list[str] = []
+    sent = None
     for items in blocks(benchmark, block_chars):
-        holds = F.arrow_udf(_holds(spark.sparkContext.broadcast((items, chars_per_edit))), "boolean")
-        docs = docs.where(~holds(F.col("text")))
+        if sent is not None:  # write what the block before leaves, so that its broadcast can go
+            before = held[-1:]
+            docs = stage(docs, "clean", held)
+            sent.destroy()
+            discard(spark, before)
+        sent = spark.sparkContext.broadcast((items, chars_per_edit))
+        docs = docs.where(~F.arrow_udf(_holds(sent), "boolean")(F.col("text")))
     return docs
 
 
