@@ -103,6 +103,21 @@ def test_density_matches_the_direct_sum(spark):
     assert reports.density(df.filter("v = 100"), "v").collect() == reports.density(df.limit(0), "v").collect() == []
 
 
+def test_density_is_not_binned(spark):
+    """One far value makes evenly spaced cells wide; every row still adds its kernel at its own place."""
+    import math
+
+    from contrail.operators import reports
+
+    values = [i / 7 for i in range(300)] + [0.5] * 20 + [5e5]
+    rows = sorted(reports.density(spark.createDataFrame([(v,) for v in values], "v double"), "v", gridsize=50).collect())
+    mean = math.fsum(values) / len(values)
+    bw = math.sqrt(math.fsum((v - mean) ** 2 for v in values) / (len(values) - 1)) * len(values) ** -0.2
+    for r in rows:
+        direct = math.fsum(math.exp(-0.5 * ((r.x - v) / bw) ** 2) for v in values) / (len(values) * bw * math.sqrt(2 * math.pi))
+        assert math.isclose(r.density, direct, rel_tol=1e-9, abs_tol=1e-18)
+
+
 def test_correlation_with_nulls_and_large_means(spark):
     import random
 
