@@ -22,8 +22,13 @@ def next_carry(clean: DataFrame, features: DataFrame, carry: DataFrame | None =
                preceding: int = K.ROLLING_PRECEDING) -> DataFrame:
     """The carry rows of the aircraft in ``clean``, after ``clean`` and the ``features`` built from it with ``carry``."""
     seen = clean.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.max_by(F.struct(*FIELDS), F.struct(*ORDER)).alias("last"))
-    latest = Window.partitionBy(KEY).orderBy(*[F.col(c).desc() for c in (*ORDER, "airport_icao")])
-    ends = features.select(KEY, *FIELDS, F.row_number().over(latest).alias("_back")).filter(F.col("_back") <= preceding)
+    # rows that differ in neither of ORDER's columns (one per airport) have the same values: counted first
+    latest = Window.partitionBy(KEY).orderBy(*[F.col(c).desc() for c in ORDER])
+    counted = features.groupBy(KEY, *ORDER).agg(F.least(F.count(F.lit(1)), F.lit(preceding)).cast("int").alias("_n"))
+    last = counted.select("*", F.row_number().over(latest).alias("_d")).filter(F.col("_d") <= preceding)
+    copies = last.select(KEY, *FIELDS, "_d", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_c"))
+    ends = copies.select(KEY, *FIELDS, F.row_number().over(Window.partitionBy(KEY).orderBy("_d", "_c")).alias("_back")).filter(
+        F.col("_back") <= preceding)
     tails = ends.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("at"), *FIELDS))).alias("_new")).select(
         KEY, F.transform("_new", lambda r: F.struct(*[r[f].alias(f) for f in FIELDS])).alias("_new"))
     out = seen.join(tails, KEY, "left")

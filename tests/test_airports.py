@@ -132,3 +132,37 @@ def test_feature_paths_agree_on_test_tables(spark):
     from contrail.operators.features import features_reference_order
     steps = sorted(features_reference_order(clean, airports).collect(), key=key)
     assert base == chunked == fallback == steps and len(base) > 0
+
+
+def test_many_airports_at_one_place(spark):
+    """Airports that share a place, two places at the same distance, copies of observations and codes that occur twice: the
+    build, which joins further airports after the windows, gives what the plain steps give."""
+    from contrail.operators.features import features_reference_order
+
+    airports = [(f"A{i % 17:02d}", f"n{i}", "c", 0.0, 1.0) for i in range(20)] + [(f"B{i}", "n", "c", 0.0, -1.0) for i in range(4)]
+    airports += [("Z", "z", "c", 5.0, 5.0), ("N", None, None, 5.0, 5.25)]
+    adf = spark.createDataFrame(airports, "airport_icao string, airport_name string, airport_country string, "
+                                          "airport_lat double, airport_lon double")
+    rows = [("t", 10 * i, 0.0, 0.0 if i % 3 else 1.0, i % 2 == 0, float(100 * i * i), 7.0 * i) for i in range(12)]
+    rows += [("t", 33, 0.0, 0.0, True, 50.0, 3.0)] * 3 + [("t", 55, 0.0, 1.0, True, 70.0, 3.0)] * 9 + [("u", 1, 5.0, 5.0, True, None, None)]
+    clean = _silver_rows(spark, rows)
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    # codes that occur twice leave the order of their rows open; without them all columns are fixed
+    once = adf.filter("airport_name not in ('n17', 'n18', 'n19') or airport_name is null")
+    want = sorted(features_reference_order(clean, once).collect(), key=key)
+    for bound in (ap.BROADCAST_MAX_CELLS, 0):
+        got = sorted(build_features(clean, once, broadcast_max_cells=bound).collect(), key=key)
+        assert got == want and len(got) > 200
+    names = lambda df: Counter((r.icao24, r.event_timestamp, r.airport_icao, r.airport_name, r.observation_rank) for r in df.collect())
+    assert names(build_features(clean, adf)) == names(features_reference_order(clean, adf))
+
+
+def test_tied_airports_do_not_go_through_the_windows(spark):
+    """Rows out of the airport step are bounded by 6 per observation, and a cell's candidates by 6 airports per place."""
+    adf = spark.createDataFrame([(f"A{i:03d}", "n", "c", 0.0, 0.0) for i in range(300)],
+                                "airport_icao string, airport_name string, airport_country string, airport_lat double, airport_lon double")
+    rows = _silver_rows(spark, [("t", i, 0.0, 0.0, True, 1.0, 1.0) for i in range(5)])
+    cells = ap.with_cell(rows, when=F.col("on_ground"))
+    k, small = ap.materialize_candidates(cells.select("_cx", "_cy"), adf)
+    assert ap.apply_enrichment(cells, k, small).count() == 30
+    assert build_features(rows, adf).count() == 1500
