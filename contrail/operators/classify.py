@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from contrail import constants as K
 from contrail.functions import row_score
+from contrail.session import materialize
 
 FEATURES = list(K.FEATURE_COLUMNS)
 LABEL = "flight_phase"
+WEIGHT = "_rows"
 
 
 def ml_input(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL) -> DataFrame:
@@ -72,11 +74,18 @@ def scaled_features(train_df: DataFrame, df: DataFrame, features: Sequence[str]
     return fitted.transform(df).withColumns({f: values[i] for i, f in enumerate(features)}).drop("features_raw", "features")
 
 
-def train(train_df: DataFrame, **params) -> PipelineModel:
-    """Fit the pipeline, then append the label decoder of the fitted indexer."""
-    fitted = build_pipeline(**params).fit(train_df)
-    decoder = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=fitted.stages[0].labels)
-    return PipelineModel(stages=list(fitted.stages) + [decoder])
+def train(train_df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL, **params) -> PipelineModel:
+    """Fit the pipeline, then append the label decoder of the fitted indexer.
+
+    Label index and scaling are fitted on all rows. The forest gets each distinct (features, label) once, with its number
+    of rows as weight: an observation with many equidistant airports is one training point of that weight, not as many
+    points. Every row counts in every split; the bootstrap draws the points."""
+    *steps, forest = build_pipeline(features, label, **params).getStages()
+    prepared = Pipeline(stages=steps).fit(train_df)
+    points = materialize(train_df.groupBy(label, *features).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)), "training")
+    fitted = forest.setWeightCol(WEIGHT).fit(prepared.transform(points))
+    decoder = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=prepared.stages[0].labels)
+    return PipelineModel(stages=[*prepared.stages, fitted, decoder])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

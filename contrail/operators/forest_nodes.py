@@ -39,24 +39,28 @@ def walk(nodes: DataFrame, rows: DataFrame, keys: list[str], depth: int, feature
     """``keys``, ``walked`` (label index as double), ``walked_probability``: each row down all trees, one join per level.
 
     A tree votes with its leaf's shares of the labels; of equal probabilities the smaller index wins. ``keys``
-    identify a row; ``features`` is the vector column that the forest was fitted on."""
+    identify a row; ``features`` is the vector column that the forest was fitted on. Rows with the same vector
+    go down the trees as one, and meet its result in a join."""
     small = nodes.count() <= BROADCAST_MAX_NODES
     table = (F.broadcast if small else lambda t: t)(nodes.select(F.col("tree"), F.col("node").alias("_at"), "feature", "threshold", "left", "right"))
     trees = [r["tree"] for r in nodes.select("tree").distinct().orderBy("tree").collect()]  # one number per tree
-    at = rows.select(*keys, vector_to_array(features).alias("_x")).select(
-        *keys, "_x", F.explode(F.array(*[F.lit(t) for t in trees])).alias("tree"), F.lit(0).alias("_at"))
+    given = rows.select(*keys, vector_to_array(features).alias("_x"))
+    # a fixed number of partitions: the vectors are few bytes, but each becomes a row per tree
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = given.select("_x").distinct().repartition(tasks, "_x").select(
+        "_x", F.explode(F.array(*[F.lit(t) for t in trees])).alias("tree"), F.lit(0).alias("_at"))
     for _ in range(depth):
         goes_left = F.get("_x", F.greatest("feature", F.lit(0))) <= F.col("threshold")
         step = F.when(F.col("feature") < 0, F.col("_at")).when(goes_left, F.col("left")).otherwise(F.col("right"))
-        at = at.join(table, ["tree", "_at"]).select(*keys, "_x", "tree", step.alias("_at"))
+        at = at.join(table, ["tree", "_at"]).select("_x", "tree", step.alias("_at"))
     leaves = nodes.select("tree", F.col("node").alias("_at"), "stats")
     shares = at.join(F.broadcast(leaves) if small else leaves, ["tree", "_at"]).select(
-        *keys, F.transform("stats", lambda s: s / F.aggregate("stats", F.lit(0.0), lambda a, b: a + b)).alias("_p"))
+        "_x", F.transform("stats", lambda s: s / F.aggregate("stats", F.lit(0.0), lambda a, b: a + b)).alias("_p"))
     labels = nodes.select(F.size("stats")).first()[0]
-    votes = shares.groupBy(*keys).agg(*[F.sum(F.get("_p", F.lit(i))).alias(f"_{i}") for i in range(labels)])
+    votes = shares.groupBy("_x").agg(*[F.sum(F.get("_p", F.lit(i))).alias(f"_{i}") for i in range(labels)])
     total = reduce(lambda a, b: a + b, [F.col(f"_{i}") for i in range(labels)])
     probability = F.array(*[F.col(f"_{i}") / total for i in range(labels)])
-    out = votes.select(*keys, probability.alias("walked_probability"))
+    out = given.join(votes.select("_x", probability.alias("walked_probability")), "_x")
     best = F.array_position("walked_probability", F.array_max("walked_probability")) - 1
     return out.select(*keys, best.cast("double").alias("walked"), "walked_probability")
 
