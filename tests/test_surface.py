@@ -93,20 +93,20 @@ def test_rocksdb_state_for_windows(spark, tmp_dir):
     assert got == ["00:00", "00:01", "00:02"]     # ends <= watermark 00:03:10; later windows open
 
 
-def test_forest_counts_rows_as_weights(spark):
-    """The forest's points are the distinct rows, each with its number of rows: the root of a tree weighs all rows that its bootstrap
-    drew, and an observation that is repeated a thousand times is one point."""
+def test_equal_vectors_go_down_the_trees_once(spark):
+    """A thousand rows of one vector are one walk; every row has its result. Rows of a negative and a positive zero, too."""
     from contrail.operators.forest_nodes import node_table, walk
 
     base = spark.range(60).select(*[(F.col("id") * (i + 1) % 11).cast("double").alias(f) for i, f in enumerate(ML.FEATURES)],
                                   F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("flight_phase"))
-    rows = base.unionByName(base.limit(1).crossJoin(spark.range(1000)).drop("id"))
-    model = ML.train(rows, trees=5, depth=3)
-    nodes = node_table(spark, model)
-    roots = nodes.filter("node = 0").select(F.aggregate("stats", F.lit(0.0), lambda a, b: a + b).alias("w")).collect()
-    # at most 60 points with Poisson(1) draws beside the repeated one, which has a multiple of its weight
-    assert len(roots) == 5 and all(r.w % 1000 < 200 for r in roots)
-    assert model.stages[0].labels == [base.first().flight_phase, *{"A", "B"} - {base.first().flight_phase}]
+    zeros = base.limit(1).withColumn(ML.FEATURES[0], F.lit(-0.0))
+    rows = base.unionByName(base.limit(1).crossJoin(spark.range(1000)).drop("id")).unionByName(zeros)
+    model = ML.train(base, trees=5, depth=3)
     scored = ML.score(model, rows.withColumn("_id", F.monotonically_increasing_id()))
-    walked = {r["_id"]: r.walked for r in walk(nodes, scored, ["_id"], 3).collect()}
-    assert walked == {r["_id"]: r.prediction for r in scored.select("_id", "prediction").collect()} and len(walked) == 1060
+    nodes = node_table(spark, model)
+    out = walk(nodes, scored, ["_id"], 3)
+    walked = {r["_id"]: r.walked for r in out.collect()}
+    assert walked == {r["_id"]: r.prediction for r in scored.select("_id", "prediction").collect()} and len(walked) == 1061
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the vectors alone are multiplied by the trees, not the rows with their keys
+    assert all("_id" not in line for line in plan.splitlines() if "Generate explode" in line)
