@@ -30,7 +30,7 @@ from contrail import schemas
 from contrail.operators import gold
 from contrail.operators.airports import AirportIndex
 from contrail.operators.carry import next_carry
-from contrail.operators.features import build_features
+from contrail.operators.features import counted_features
 from contrail.operators.silver import clean_ranges, to_silver
 from contrail.sources.tables import dated, read_table_stream, write_stream
 from contrail.sources.wire import parse_wire
@@ -72,16 +72,17 @@ def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", i
         try:
             clean = clean_ranges(to_silver(batch))
             carry = ledger.carry_before(batch_id) if carry_over else None
-            ml = dated(build_features(clean, airports, index=index, carry=carry))
+            # staged: the rows of a batch and what it leaves behind both come from here
+            counted = counted_features(clean, airports, index=index, carry=carry).staged()
+            ml = dated(counted.restored().select(*schemas.SILVER_ML_COLUMNS))
             if fmt == "delta":  # the table's own log keeps (query, batch) as transaction id
                 (ml.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id).cast("long")})
                  .write.format("delta").mode("append").partitionBy("event_date")
                  .option("txnAppId", query).option("txnVersion", batch_id).save(path))
-                written = spark.read.format("delta").load(path).filter((F.col("query_id") == query) & (F.col("batch_id") == batch_id))
             else:
                 ledger.publish(ml, batch_id, ["event_date"])
-                written = spark.read.schema(ml.schema).parquet(ledger.rows_path(batch_id))
-            full = ledger.write_carry(batch_id, next_carry(clean, written, carry), carry) if carry_over else 0
+            # at most 6 rows of a copy or an airport are there, and the windows look back on 5
+            full = ledger.write_carry(batch_id, next_carry(clean, counted.rows, carry), carry) if carry_over else 0
             ledger.commit(batch_id, full=full)
             if full == batch_id:
                 ledger.forget(full)
