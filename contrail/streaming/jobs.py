@@ -30,7 +30,7 @@ from contrail import schemas
 from contrail.operators import gold
 from contrail.operators.airports import AirportIndex
 from contrail.operators.carry import next_carry
-from contrail.operators.features import counted_features
+from contrail.operators.features import WHOLE_ROWS, counted_features
 from contrail.operators.silver import clean_ranges, to_silver
 from contrail.sources.tables import dated, read_table_stream, write_stream
 from contrail.sources.wire import parse_wire
@@ -73,7 +73,7 @@ def feature_batch_writer(airports: DataFrame, path: str, fmt: str = "parquet", i
             clean = clean_ranges(to_silver(batch))
             carry = ledger.carry_before(batch_id) if carry_over else None
             # staged: the rows of a batch and what it leaves behind both come from here
-            counted = counted_features(clean, airports, index=index, carry=carry).staged()
+            counted = counted_features(clean, airports, index=index, carry=carry, whole_rows=WHOLE_ROWS).staged()
             ml = dated(counted.restored().select(*schemas.SILVER_ML_COLUMNS))
             if fmt == "delta":  # the table's own log keeps (query, batch) as transaction id
                 (ml.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id).cast("long")})

@@ -106,3 +106,30 @@ def test_event_properties_are_parsed_once(spark, tmp_dir):
     out = cleaned(spark, tmp_dir)
     assert [r.altitude_meters for r in out.collect()] == [840.0]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
+
+
+def test_aircraft_that_are_not_cut(spark, clean, airports):
+    """Only aircraft above a number of rows are cut; any number gives the same rows, and with none cut nothing is put in front of chunks."""
+    want = _rows(build_features(clean, airports))
+    for whole_rows in (1, 10, 1000):        # both cut but the single row; one cut; none
+        assert _rows(build_features(clean, airports, chunk="20 seconds", whole_rows=whole_rows)) == want
+    plan = lambda n: counted_features(clean, airports, whole_rows=n).rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "_back" in plan(0) and "_back" in plan(10) and "_back" not in plan(1000)
+
+
+def test_aircraft_that_are_not_cut_go_on_from_carried_state(spark, clean, airports):
+    from contrail.operators.carry import next_carry
+
+    early, late = clean.filter("event_timestamp < timestamp_seconds(50)"), clean.filter("event_timestamp >= timestamp_seconds(50)")
+    first = counted_features(early, airports, whole_rows=1000).staged()
+    carry = next_carry(early, first.rows).cache()
+    want = _rows(build_features(clean, airports).filter("event_timestamp >= timestamp_seconds(50)"))
+    for whole_rows in (0, 1, 1000):
+        assert _rows(build_features(late, airports, chunk="20 seconds", carry=carry, whole_rows=whole_rows)) == want
+
+
+def test_too_many_cut_aircraft_are_not_broadcast(clean, airports, monkeypatch):
+    from contrail.operators import features
+
+    monkeypatch.setattr(features, "BROADCAST_MAX_CUT", 0)
+    assert _rows(build_features(clean, airports, whole_rows=10)) == _rows(build_features(clean, airports))
