@@ -109,7 +109,7 @@ def start_gold(silver_ml_stream: DataFrame, table: str, path: str, checkpoint: s
     """One Gold table from a Silver_ML stream, append mode (closed windows).
 
     ``table``: ``phase_stats`` (tumbling by phase), ``country_stats``
-    (tumbling by country) or ``country_anomalies`` (sliding by country)."""
+    (tumbling by country) or ``country_anomalies`` (sliding by country); ``params`` as in ``operators.gold``."""
     builders = {"phase_stats": gold.phase_stats, "country_stats": gold.country_stats,
                 "country_anomalies": gold.country_anomalies}
     return write_stream(dated(builders[table](silver_ml_stream, **params)), path, checkpoint, fmt=fmt,

@@ -133,3 +133,49 @@ def test_too_many_cut_aircraft_are_not_broadcast(clean, airports, monkeypatch):
 
     monkeypatch.setattr(features, "BROADCAST_MAX_CUT", 0)
     assert _rows(build_features(clean, airports, whole_rows=10)) == _rows(build_features(clean, airports))
+
+
+def test_weighted_gold(spark, clean, airports):
+    from contrail.operators import gold
+
+    counted = counted_features(clean, airports).staged()
+    some = counted.rows.withColumn("rows", counted.weight())
+    every = build_features(clean, airports)
+    assert some.count() < every.count()
+    for table, params in ((gold.phase_stats, {}), (gold.country_stats, {"window": "20 seconds"}),
+                          (gold.country_anomalies, {"window": "30 seconds", "slide": "10 seconds"})):
+        got, want = (sorted(map(tuple, d.collect()), key=lambda r: str(r[:3])) for d in (table(some, weight="rows", **params), table(every, **params)))
+        assert [r[:3] for r in got] == [r[:3] for r in want] and len(got) > 1
+        for g, w in zip(got, want):
+            assert [v is None for v in g] == [v is None for v in w]
+            assert [v or 0 for v in g[3:]] == pytest.approx([v or 0 for v in w[3:]], rel=1e-12)
+
+
+def test_weighted_deviation(spark):
+    """Of equal values exactly 0, of one row NULL, of no values NULL."""
+    from contrail.operators import gold
+
+    rows = spark.createDataFrame([("a", 812.37, 2.0, 30), ("a", 812.37, None, 7), ("b", 812.37, None, 1), ("c", 0.1, 1.0, 2), ("c", 0.2, None, 1)],
+                                 "origin_country string, velocity_kmh double, altitude_meters float, rows long")
+    out = gold.country_anomalies(rows.withColumn("event_timestamp", F.timestamp_seconds(F.lit(30))), "1 minute", "1 minute", weight="rows")
+    got = {r.origin_country: (r.total_observations, r.stddev_velocity, r.stddev_altitude) for r in out.collect()}
+    assert got["a"] == (37, 0.0, 0.0) and got["b"] == (1, None, None) and got["c"][::2] == (3, 0.0)
+    assert got["c"][1] == pytest.approx((0.02 / 6) ** 0.5, rel=1e-9)
+
+
+def test_gold_streams_read_counted_rows(spark, tmp_dir, monkeypatch):
+    """The stream of a Gold query has one row for all copies of an observation from the 7th on, and the table counts them all."""
+    from contrail.plans import registry
+
+    events = spark.range(40).selectExpr("0L as event_id", "1L as user_id", "'click' as event_type", "2.0D as value", """'{"k": 9}' as props""",
+                                        "timestamp_ntz'2024-01-01 00:00:01' as ts")
+    last = spark.sql("""select 1L as event_id, 1L as user_id, 'click' as event_type, 2.0D as value, '{"k": 9}' as props, timestamp_ntz'2024-01-01 01:00:01' as ts""")
+    events.withColumn("event_id", F.lit(1).cast("long")).unionByName(last).write.parquet(f"{tmp_dir}/events.parquet")
+    spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string").write.parquet(f"{tmp_dir}/nation.parquet")
+    spark.createDataFrame([(1, "S", 1, 9000.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_dir}/supplier.parquet")
+    seen, run = [], registry._run_stream
+    monkeypatch.setattr(registry, "_run_stream", lambda s, source, *a: (seen.append(source.count()), run(s, source, *a))[1])
+    got = {name: registry.QUERIES[name](spark, tmp_dir).collect() for name in ("stream_phase_stats", "stream_country_stats", "stream_country_anomalies")}
+    assert seen == [7, 7, 7]
+    assert [r.flight_count for r in got["stream_phase_stats"]] == [r.flight_count for r in got["stream_country_stats"]] == [40]
+    assert [r.total_observations for r in got["stream_country_anomalies"]] == [40] * 5
