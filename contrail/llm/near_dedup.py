@@ -15,7 +15,9 @@ member with the most company in all its buckets. In a first round each document
 centre, the heaviest of its buckets', and then against the centres that this has left in other components; in a second round only members that are *not* in the component with most of the
 bucket's members are checked against the bucket's other components, so no link between components
 is lost. There, two sets share at most as many shingles as either shares with anyone at all: that exact
-bound settles most members of a group of near copies that are themselves too far from the others.
+bound settles most members of a group of near copies that are themselves too far from the others. The rest are
+mostly pairs that miss the threshold by less than the estimate can tell: parity bits of the full sets, which differ
+in no more places than the sets have shingles apart, settle nearly all of these before they become pairs.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ MARGIN = 4.5
 BROADCAST_NODES = 1 << 20
 #: pairs of one node that meet its facts in one place; a node with more has a copy of them for each further lot
 LOT = 256
+#: longs of parity bits that a set has in the second round
+PARITY = 16
 _SEEDS = mix(np.arange(1, BUCKETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -67,6 +71,12 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return (zeros.astype(np.uint16) << np.uint16(MANTISSA)) | mantissa.astype(np.uint16)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """64 * PARITY bits as longs: which classes of hashes a set has an odd number of."""
+    odd = np.bincount((shingles & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _signatures(words: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -120,10 +130,12 @@ def _possible(pair_a: str, pair_b: str, threshold: int) -> Column:
 def _shingles(words: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            sets = [shingle_set(t, words).tobytes() for t in text_bytes(batch)]
+            found = [shingle_set(t, words) for t in text_bytes(batch)]
+            sets = [s.tobytes() for s in found]
             same = [xxhash.xxh3_128_digest(s) == i.as_py() for s, i in zip(sets, batch.column("set_id"), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
-                                             ["node", "shingles"]).filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("set_id"), pa.array(sets, pa.binary()), list_of_longs(list(map(parity, found)))],
+                ["node", "set_id", "shingles", "parity"]).filter(pa.array(same, pa.bool_()))
 
     return run
 
@@ -152,6 +164,15 @@ def _bounded(p: str, q: str, threshold: int) -> Column:
     return both * 100 >= (n + m - both) * threshold
 
 
+def _parity_allows(p: str, q: str, threshold: int) -> Column:
+    """Two sets are at least as many shingles apart as their parity bits; can what is left reach the threshold?"""
+    n, m = F.col(f"{p}.n"), F.col(f"{q}.n")
+    apart = F.aggregate(F.zip_with(f"{p}.parity", f"{q}.parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    # |A & B| = (n + m - apart) / 2, |A | B| = (n + m + apart) / 2; a set without bits excludes nothing
+    apart = F.coalesce(apart, F.lit(0))
+    return (n + m - apart) * 100 >= (n + m + apart) * threshold
+
+
 def _verify(threshold: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -186,11 +207,12 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the documents in ``ids`` (node, set_id), whose texts are read again."""
+    """(node, set_id, shingles, parity) of the documents in ``ids`` (node, set_id), whose texts are read again."""
     ids = ids.withColumnRenamed("node", "doc_id")
     if ids.count() <= BROADCAST_NODES:
         ids = F.broadcast(ids)
-    return id_text(docs).join(ids, "doc_id").mapInArrow(_shingles(words), "node long, shingles binary")
+    return id_text(docs).join(ids, "doc_id").mapInArrow(
+        _shingles(words), "node long, set_id binary, shingles binary, parity array<long>")
 
 
 def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -223,7 +245,7 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     centres = stage(members.groupBy("band", "value").agg(top.alias("top")).select(
         "band", "value", F.col("top.weight").alias("heavy"), (-F.col("top.minus")).alias("first")), "centres", held)
     wanted = members.select("node").distinct()
-    known = reps.join(wanted, "node", "left_semi").select("node", "n", "bands")
+    known = reps.join(wanted, "node", "left_semi").select("node", "set_id", "n", "bands")
     ids = stage(reps.join(wanted, "node", "left_semi").select("node", "set_id"), "ids", held)
     sets = stage(_shingle_sets(docs, ids, words), "sets", held)
 
@@ -263,16 +285,20 @@ def near_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
         "parts > 1").select("band", "value", "main")
     open_rows = stage(at.join(mixed, ["band", "value"]), "open", held)
     # any further link is between two of these, so what none of the others has cannot be shared
-    own = own_shingles(sets.join(open_rows.select("node").distinct(), "node", "left_semi"))
-    facts = known.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    open_sets = sets.join(open_rows.select("node").distinct(), "node", "left_semi")
+    own = own_shingles(open_sets.select("node", "shingles"))
+    bits = open_sets.groupBy("node", "set_id").agg(F.any_value("parity").alias("parity"))
+    facts = known.join(own, "node", "left").join(bits, ["node", "set_id"], "left").withColumn(
+        "own", F.coalesce("own", F.lit(0))).drop("set_id")
     open_rows = stage(open_rows.join(facts, "node"), "bounded", held)
-    p = open_rows.where("component <> main").select(
-        "band", "value", F.struct("node", "component", "main", "n", "own", "bands").alias("p"))
-    q = open_rows.select("band", "value", F.struct("node", "component", "main", "n", "own", "bands").alias("q"))
+    side = F.struct("node", "component", "main", "n", "own", "parity", "bands")
+    p = open_rows.where("component <> main").select("band", "value", side.alias("p"))
+    q = open_rows.select("band", "value", side.alias("q"))
     first_shared = F.array_position(F.zip_with("p.bands", "q.bands", lambda x, y: x == y), F.lit(True)) == F.col("band") + 1
     once = (F.col("q.component") == F.col("q.main")) | (F.col("p.node") < F.col("q.node"))  # both outside: one order
     rest = (p.join(q, ["band", "value"]).where(F.col("p.component") != F.col("q.component")).where(once)
-            .where(_bounded("p", "q", threshold)).where(first_shared).where(_possible("p", "q", threshold))
+            .where(_bounded("p", "q", threshold)).where(first_shared).where(_parity_allows("p", "q", threshold))
+            .where(_possible("p", "q", threshold))
             .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct())
     more = stage(verified(stage(rest.join(stars, ["a", "b"], "left_anti"), "rest", held), sets, threshold), "more", held)
 
