@@ -17,8 +17,11 @@ three fit. What no rule fixes goes to best fit, longest first.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,10 @@ SIZE = 2048
 VOCABULARY = "word_bpe_49k.json"
 PART_ROWS = 50_000
 _CACHE_WORDS = 1_000_000
+#: the split of VOCABULARY, and the same split of a lower-cased word of printable ASCII (which its other steps leave as it is)
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_PRINTABLE = re.compile(rb"[!-~]+")
 
 Pattern = tuple[tuple[int, ...], int]  # lengths in order of their place, number of sequences
 
@@ -159,37 +166,78 @@ class Places:
 
 # ---------------------------------------------------------------- tokens
 
+def _splits_as_known(coder) -> bool:
+    """Are the steps before the merges those that ``_PIECES`` stands for?"""
+    steps = json.loads(coder.to_str())
+    before, split = steps["normalizer"] or {}, steps["pre_tokenizer"] or {}
+    return ([x["type"] for x in before.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and before["normalizers"][1]["pattern"] == {"Regex": r"\s+"} and steps["post_processor"] is None
+            and split.get("pretokenizers") == [
+                {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}])
+
+
+def _ids(numbers: Sequence[int]) -> bytes:
+    return struct.pack(f"<{len(numbers)}I", *numbers)
+
+
+def _words_together(coder, words: list[bytes]) -> list[bytes]:
+    """The ids of each word from one call: an id belongs to the word in which its characters start."""
+    texts = [w.decode() for w in words]
+    found = coder.encode(" ".join(texts), add_special_tokens=False)
+    at = np.fromiter((first for first, _ in found.offsets), np.int64)
+    ends = (4 * np.searchsorted(at, np.cumsum([0, *(len(t) + 1 for t in texts)]))).tolist()
+    whole = _ids(found.ids)
+    return [whole[i:j] for i, j in zip(ends, ends[1:])]
+
+
 def tokenizer(path: str) -> Callable[[bytes], bytes]:
     """Text -> its ids as little-endian 32-bit integers.
 
     The vocabulary drops white space between words and lower-cases, so a text's ids are the ids of its
-    lower-cased words (runs without ASCII white space) in order. Words are encoded once and kept, one
-    at a time: a batch call would start threads beside Spark's own tasks. Of a full cache, the words
-    used since it filled up last stay. A text that quotes a marker of the vocabulary is encoded whole: the
-    tokenizer as loaded gives the marker its own id.
+    lower-cased words (runs without ASCII white space) in order. Words are encoded once and kept: a batch
+    call would start threads beside Spark's own tasks. Of a full cache, the words used since it filled up
+    last stay. A new word of printable ASCII is split into the vocabulary's pieces here and only unknown
+    pieces go through its merges; a text's other new words are encoded in one call. A text that quotes a marker
+    of the vocabulary is encoded whole: the tokenizer as loaded gives the marker its own id.
     """
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(path)
     markers = [t.content.lower().encode() for t in coder.get_added_tokens_decoder().values() if t.content]
+    merges, in_pieces = coder.model, _splits_as_known(coder)
     known: dict[bytes, bytes] = {}
     older: dict[bytes, bytes] = {}
+    pieces: dict[bytes, bytes] = {}
+
+    def piece(part: bytes) -> bytes:
+        found = pieces.get(part)
+        if found is None:
+            found = pieces[part] = _ids([t.id for t in merges.tokenize(part.decode())])
+        return found
 
     def ids(text: bytes) -> bytes:
         nonlocal known, older
         lower = text.lower()
         if any(m in lower for m in markers):
-            return np.array(coder.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            return _ids(coder.encode(text.decode(), add_special_tokens=False).ids)
         words = lower.split()
-        new = {w for w in words if w not in known}
-        for w in new:
+        others = []
+        for w in {w for w in words if w not in known}:
             found = older.get(w)
-            if found is None:
-                found = np.array(coder.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-            known[w] = found
+            if found is not None:
+                known[w] = found
+            elif in_pieces and _PRINTABLE.fullmatch(w):
+                known[w] = b"".join(map(piece, _PIECES.findall(w)))
+            else:
+                others.append(w)
+        if others:
+            known.update(zip(others, _words_together(coder, others), strict=True))
         out = b"".join(map(known.__getitem__, words))
         if len(known) > _CACHE_WORDS:
             known, older = {}, known
+        if len(pieces) > _CACHE_WORDS:
+            pieces.clear()
         return out
 
     return ids
