@@ -105,7 +105,7 @@ def test_score_once_is_score(spark, rows):
     assert table(ML.score_once(model, odd)) == table(ML.score(model, odd))
 
 
-@pytest.mark.parametrize("query", ["predictions_check"])
+@pytest.mark.parametrize("query", ["predictions_check", "confusion_matrix"])
 def test_forest_queries_on_many_rows(spark, monkeypatch, query):
     """As if the table had more than MLLIB_ROWS rows: no training on the rows themselves, all test rows in the results."""
     sf = "/root/testdata/sf0.001"
